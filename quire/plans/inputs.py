@@ -52,3 +52,43 @@ def stop_words(spark: SparkSession, sf_dir: str, n: int = 50) -> DataFrame:
     """No stop-word file ships with the data: the ``n`` most frequent
     vocabulary words stand in (at most ``n`` rows by construction)."""
     return vocabulary(spark, sf_dir).where(F.col("index") < n).select(F.col("keyword").alias("word"))
+
+
+def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.operators.profile import article_profile
+
+    return article_profile(keywords(spark, sf_dir), articles(spark, sf_dir))
+
+
+def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return adapters.word_vectors_from_embeddings(vocabulary(spark, sf_dir), emb)
+
+
+def article_vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = read_table(spark, sf_dir, "embeddings")
+    return adapters.article_vectors_from_embeddings(emb)
+
+
+def new_and_history(spark: SparkSession, sf_dir: str):
+    """The similarity job's two sides: articles since the as-of hour minus 2
+    hours ("new") and since minus 30 days ("history")."""
+    from quire.functions.windows import HISTORY_DAYS, NEW_ARTICLE_HOURS, since_days, since_hours
+
+    av = article_vector_table(spark, sf_dir)
+    as_of = latest(article_vector_table(spark, sf_dir), "article_time")
+    new = av.where(F.col("article_time") >= since_hours(as_of, NEW_ARTICLE_HOURS))
+    history = av.where(F.col("article_time") >= since_days(as_of, HISTORY_DAYS))
+    return new, history
+
+
+def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events").select("user_id", "props", "event_type", "ts")
+    return adapters.behaviour_from_events(ev)
+
+
+def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.operators.recall import user_item_clicks
+
+    ev = read_table(spark, sf_dir, "events")
+    return user_item_clicks(behaviour(spark, sf_dir), latest(ev, "ts"))

@@ -173,3 +173,90 @@ ORACLE["article_keywords_incremental"] = with_ctes(
     f"ntf AS ({tf_of('ntok')})",
     f"nscored AS ({scored_of('ntf', 'hvocab')})",
 ) + keywords_of("nscored", "new")
+
+# --- profile -----------------------------------------------------------------
+
+TOPICS = """
+topics AS (
+  SELECT k.article_id, k.pos, k.topic FROM (
+    SELECT kw.article_id, kw.rank - 1 AS pos, kw.keyword AS topic
+    FROM kw JOIN art a ON kw.article_id = a.article_id
+    WHERE a.source_tags IS NULL OR a.source_tags = 'unknow' OR length(a.source_tags) <= 3) k
+  UNION ALL
+  SELECT article_id, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS pos, unnest(t) AS topic
+  FROM (SELECT a.article_id,
+               string_split(translate(a.source_tags, '[]" ', ''), ',') AS t
+        FROM art a
+        WHERE a.article_id IN (SELECT article_id FROM kw)
+          AND NOT (a.source_tags IS NULL OR a.source_tags = 'unknow' OR length(a.source_tags) <= 3))
+)"""
+
+ORACLE["article_topics"] = with_ctes(*KEYWORDS, TOPICS) + """
+SELECT article_id, CAST(pos AS INTEGER) AS pos, topic FROM topics"""
+
+ORACLE["article_profile"] = with_ctes(*KEYWORDS, TOPICS) + """
+SELECT k.article_id, k.channel_name, k.n_keywords, k.keywords, t.topics, k.article_time
+FROM (SELECT article_id, min(channel_name) AS channel_name, CAST(count(*) AS INTEGER) AS n_keywords,
+             string_agg(keyword, ',' ORDER BY keyword) AS keywords, min(article_time) AS article_time
+      FROM kw GROUP BY article_id) k
+JOIN (SELECT article_id, string_agg(topic, ',' ORDER BY pos) AS topics
+      FROM topics GROUP BY article_id) t ON k.article_id = t.article_id"""
+
+ORACLE["profile_explode"] = with_ctes(*KEYWORDS) + """
+SELECT article_id, channel_name, keyword, tfidf AS weight, article_time FROM kw"""
+
+# --- vectors -----------------------------------------------------------------
+
+ORACLE["article_vector"] = with_ctes(
+    *KEYWORDS,
+    """wv AS (SELECT v.keyword AS word, CAST(e.embedding AS DOUBLE[]) AS vector
+              FROM vocab v JOIN embeddings e ON v.index = e.vec_id)""",
+    """wvec AS (SELECT DISTINCT k.article_id, list_transform(wv.vector, lambda x: x * k.tfidf) AS wvec
+                FROM kw k JOIN wv ON k.keyword = wv.word)""",
+    """attrs AS (SELECT k.article_id, min(k.channel_name) AS channel_name,
+                        min(k.article_time) AS article_time
+                 FROM kw k JOIN wv ON k.keyword = wv.word GROUP BY k.article_id)""",
+) + """
+SELECT c.article_id, a.channel_name, a.article_time, CAST(c.i - 1 AS INTEGER) AS pos,
+       round(avg(c.x), 4) + 0.0 AS x
+FROM (SELECT article_id, unnest(wvec) AS x, generate_subscripts(wvec, 1) AS i FROM wvec) c
+JOIN attrs a ON c.article_id = a.article_id
+GROUP BY c.article_id, a.channel_name, a.article_time, c.i"""
+
+ARTICLE_VECTORS = """
+av AS (SELECT vec_id AS article_id, CAST(embedding AS DOUBLE[]) AS v,
+              TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(vec_id * 43 AS BIGINT)) AS t
+       FROM embeddings),
+av_as_of AS (SELECT max(t) AS t FROM av),
+new_av AS (SELECT av.* FROM av, av_as_of WHERE av.t >= date_trunc('hour', av_as_of.t) - INTERVAL 2 HOUR),
+hist_av AS (SELECT av.* FROM av, av_as_of WHERE av.t >= date_trunc('hour', av_as_of.t) - INTERVAL 30 DAY)"""
+
+ORACLE["similar_articles_exact"] = with_ctes(ARTICLE_VECTORS) + """
+SELECT article_id, similar_id, round(d, 4) + 0.0 AS distance FROM (
+  SELECT n.article_id, h.article_id AS similar_id,
+         sqrt(list_sum(list_transform(list_zip(n.v, h.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS d
+  FROM new_av n, hist_av h)
+WHERE d < 1.2 AND article_id <> similar_id AND d <> 0"""
+
+# --- recall ------------------------------------------------------------------
+
+CLICKS = """
+beh AS (SELECT CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS articles,
+               CAST(event_type = 'click' AS INTEGER) AS click_art, strftime(ts, '%Y-%m-%d') AS dt
+        FROM events),
+ev_as_of AS (SELECT max(ts) AS t FROM events),
+clicks AS (SELECT b.user_id, replace(b.articles, '"', '') AS article_id, max(b.click_art) AS clicked
+           FROM beh b, ev_as_of
+           WHERE b.dt > strftime(date_trunc('hour', ev_as_of.t) - INTERVAL 60 DAY, '%Y-%m-%d')
+           GROUP BY b.user_id, replace(b.articles, '"', ''))"""
+
+ORACLE["user_item_clicks"] = with_ctes(CLICKS) + "SELECT user_id, article_id, clicked FROM clicks"
+
+ORACLE["als_index"] = with_ctes(CLICKS) + """
+SELECT 'user' AS kind, user_id AS key,
+       CAST(row_number() OVER (ORDER BY n DESC, user_id ASC) - 1 AS INTEGER) AS als_id
+FROM (SELECT user_id, count(*) AS n FROM clicks GROUP BY user_id)
+UNION ALL
+SELECT 'article' AS kind, article_id AS key,
+       CAST(row_number() OVER (ORDER BY n DESC, article_id ASC) - 1 AS INTEGER) AS als_id
+FROM (SELECT article_id, count(*) AS n FROM clicks GROUP BY article_id)"""

@@ -16,12 +16,24 @@ from pyspark.sql import functions as F
 
 from quire.functions.windows import day_window, hourly_window
 from quire.operators import prepare, tfidf, tokens
+from quire.operators.profile import article_profile as article_profile_op
+from quire.operators.profile import explode_profile
+from quire.operators.recall import fit_als, index_keys, indexed_ratings, recall_lists, recommendations
+from quire.operators.similar import similar_exact, similar_lsh
+from quire.operators.tokens import token_arrays
+from quire.operators.vectors import article_vectors, fit_word2vec, word_vector_table
 from quire.plans import inputs
+from quire.sources import adapters
+from quire.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # decimals kept for idf / tfidf in compared output
 SCORE_DECIMALS = 6
+# distance threshold of the registered similarity queries: the test
+# embeddings are unit vectors (pair distances about 1.0 to 1.8), where the
+# reference's 380 would keep every pair
+SIMILAR_THRESHOLD = 1.2
 
 
 def article_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +110,89 @@ def article_keywords_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tfidf.keyword_stage(new_tokens, new, vocabulary=vocab)[1]
 
 
+def article_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per article: keyword count, the keywords (sorted, joined) and
+    the topics (joined, in order)."""
+    prof = inputs.profile(spark, sf_dir)
+    return prof.select(
+        "article_id",
+        "channel_name",
+        F.size("keyword").alias("n_keywords"),
+        F.array_join(F.array_sort(F.map_keys("keyword")), ",").alias("keywords"),
+        F.array_join("topics", ",").alias("topics"),
+        "article_time",
+    )
+
+
+def article_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prof = inputs.profile(spark, sf_dir)
+    return prof.select("article_id", F.posexplode("topics").alias("pos", "topic"))
+
+
+def profile_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explode_profile(inputs.profile(spark, sf_dir))
+
+
+def article_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article vectors from the profile and the word vectors, one row per
+    component (rounded to 4 decimals)."""
+    vocab, kw = inputs.keyword_stage(spark, sf_dir)
+    prof = article_profile_op(kw, inputs.articles(spark, sf_dir))
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    wv = adapters.word_vectors_from_embeddings(vocab, emb)
+    av = article_vectors(explode_profile(prof), wv)
+    return av.select(
+        "article_id", "channel_name", "article_time", F.posexplode("articlevector").alias("pos", "x")
+    ).select(
+        "article_id",
+        "channel_name",
+        "article_time",
+        "pos",
+        (F.round("x", 4) + F.lit(0.0)).alias("x"),
+    )
+
+
+def similar_articles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new, history = inputs.new_and_history(spark, sf_dir)
+    return similar_exact(new, history, threshold=SIMILAR_THRESHOLD)
+
+
+def similar_articles_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new, history = inputs.new_and_history(spark, sf_dir)
+    return similar_lsh(new, history, threshold=SIMILAR_THRESHOLD)
+
+
+def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word2Vec trained on the articles' kept words; (word, vector)."""
+    arrays = token_arrays(inputs.articles(spark, sf_dir))
+    return word_vector_table(fit_word2vec(arrays))
+
+
+def user_item_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.clicks(spark, sf_dir)
+
+
+def als_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both id maps in one table: (kind, key, als_id)."""
+    clicks = inputs.clicks(spark, sf_dir)
+    users = index_keys(clicks, "user_id", "als_id").select(
+        F.lit("user").alias("kind"), F.col("user_id").alias("key"), "als_id"
+    )
+    items = index_keys(clicks, "article_id", "als_id").select(
+        F.lit("article").alias("kind"), F.col("article_id").alias("key"), "als_id"
+    )
+    return users.unionByName(items)
+
+
+def als_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-50 ALS recall per user as a JSON id list."""
+    clicks = inputs.clicks(spark, sf_dir)
+    users = index_keys(clicks, "user_id", "als_user_id")
+    items = index_keys(clicks, "article_id", "als_article_id")
+    model = fit_als(indexed_ratings(clicks, users, items))
+    return recall_lists(recommendations(model, users, items))
+
+
 QUERIES: dict[str, Query] = {
     "article_prepare": article_prepare,
     "article_dedup": article_dedup,
@@ -110,4 +205,14 @@ QUERIES: dict[str, Query] = {
     "article_keywords_top20": article_keywords_top20,
     "keyword_count": keyword_count,
     "article_keywords_incremental": article_keywords_incremental,
+    "article_profile": article_profile,
+    "article_topics": article_topics,
+    "profile_explode": profile_explode,
+    "article_vector": article_vector,
+    "similar_articles_exact": similar_articles_exact,
+    "similar_articles_lsh": similar_articles_lsh,
+    "word_vectors": word_vectors,
+    "user_item_clicks": user_item_clicks,
+    "als_index": als_index,
+    "als_recall": als_recall,
 }
