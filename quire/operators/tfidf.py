@@ -13,10 +13,12 @@ Semantics (those of MLlib's CountVectorizer + IDF as the reference uses them):
 * top keywords: the ``k`` highest tfidf per article, ties by ascending index,
   tfidf rounded to 4 decimals after ranking.
 
-Plan shape: tokens -> partial+final aggregate on (article_id, word) -> the
-same shuffle output feeds the vocabulary aggregate on word (exchange reuse)
-and the join with the vocabulary on word (broadcast by AQE when the measured
-vocabulary is small, else sort-merge with skew splitting) -> top-k window per
+Plan shape: tokens -> aggregate on (article_id, word), materialized once in
+the checkpoint folder (the text is read and tokenised a single time) -> the
+vocabulary aggregate on word (partial aggregation map-side, so a word found
+in every article is one row per task before the shuffle) -> distributed
+index -> the scoring join on word (vocabulary broadcast only after a row
+count check, else sort-merge with AQE skew splitting) -> top-k window per
 article with the group limit applied before its shuffle.
 """
 
@@ -25,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.joins import row_count_at_most
 from quire.functions.ranking import consecutive_index, top_k_per_group
 
 # Fixed values of the reference's keyword stage.
@@ -32,6 +35,8 @@ VOCAB_SIZE = 2_000_000
 MIN_DF = 1.0
 TOP_K = 20
 WEIGHT_DECIMALS = 4
+# largest vocabulary broadcast to the scoring join (ours)
+VOCAB_BROADCAST_ROWS = 500_000
 
 
 def term_frequency(tokens: DataFrame) -> DataFrame:
@@ -68,11 +73,22 @@ def fit_vocabulary(
     )
 
 
-def score(tf: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def score(
+    tf: DataFrame, vocabulary: DataFrame, max_broadcast_rows: int = VOCAB_BROADCAST_ROWS
+) -> DataFrame:
     """(article_id, keyword, index, tf, idf, tfidf); out-of-vocabulary words
-    are dropped by the inner join."""
+    are dropped by the inner join.
+
+    The vocabulary is broadcast when its row count is measured under
+    ``max_broadcast_rows``; otherwise both sides are shuffled on the word
+    (sort-merge, hot words split by AQE).  The term-frequency side is never
+    the broadcast side, whatever the size estimate of a checkpointed scan."""
     v = vocabulary.select("keyword", "index", "idf")
-    return tf.join(v, tf["word"] == v["keyword"]).select(
+    if row_count_at_most(v, max_broadcast_rows):
+        v, big = F.broadcast(v), tf
+    else:
+        big = tf.hint("merge")
+    return big.join(v, big["word"] == v["keyword"]).select(
         "article_id",
         "keyword",
         "index",
@@ -115,7 +131,19 @@ def keyword_stage(
 ) -> tuple[DataFrame, DataFrame]:
     """Full build (vocabulary fitted on ``tokens``) or incremental scoring
     (a stored ``vocabulary`` given).  Returns (vocabulary, keywords)."""
-    tf = term_frequency(tokens)
+    return keyword_stage_from_tf(term_frequency(tokens), articles, vocabulary, k, vocab_size, min_df)
+
+
+def keyword_stage_from_tf(
+    tf: DataFrame,
+    articles: DataFrame,
+    vocabulary: DataFrame | None = None,
+    k: int = TOP_K,
+    vocab_size: int = VOCAB_SIZE,
+    min_df: float = MIN_DF,
+) -> tuple[DataFrame, DataFrame]:
+    """As ``keyword_stage`` from a term-frequency table; pass a materialized
+    one when it feeds both the vocabulary fit and the scoring."""
     if vocabulary is None:
         vocabulary = fit_vocabulary(tf, document_count(articles), vocab_size, min_df)
     keywords = with_article(top_keywords(score(tf, vocabulary), k), articles)

@@ -8,9 +8,12 @@ filters (a scalar subquery), never the wall clock.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.lineage import materialize, spread
 from quire.functions.windows import latest
 from quire.operators import prepare, tfidf, tokens
 from quire.sources import adapters
@@ -31,38 +34,51 @@ def news_as_of(spark: SparkSession, sf_dir: str):
 
 
 def article_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.tokenize(articles(spark, sf_dir).select("article_id", "sentence"))
+    arts = articles(spark, sf_dir).select("article_id", "sentence")
+    return tokens.tokenize(spread(arts, "article_id"))
+
+
+@dataclass
+class KeywordStage:
+    articles: DataFrame
+    tf: DataFrame  # checkpointed (article_id, word, tf)
+    vocabulary: DataFrame  # checkpointed index
+    keywords: DataFrame
 
 
-def keyword_stage(spark: SparkSession, sf_dir: str):
+def keyword_stage(spark: SparkSession, sf_dir: str) -> KeywordStage:
+    """Tokens -> term frequencies (materialized once) -> vocabulary + idf ->
+    top-20 keywords per article."""
     arts = articles(spark, sf_dir)
-    toks = tokens.tokenize(arts.select("article_id", "sentence"))
-    return tfidf.keyword_stage(toks, arts)
+    tf = materialize(tfidf.term_frequency(article_tokens(spark, sf_dir)))
+    vocab, kw = tfidf.keyword_stage_from_tf(tf, arts)
+    return KeywordStage(arts, tf, vocab, kw)
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyword_stage(spark, sf_dir)[0]
+    return keyword_stage(spark, sf_dir).vocabulary
 
 
 def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyword_stage(spark, sf_dir)[1]
+    return keyword_stage(spark, sf_dir).keywords
 
 
-def stop_words(spark: SparkSession, sf_dir: str, n: int = 50) -> DataFrame:
+def stop_words(vocab: DataFrame, n: int = 50) -> DataFrame:
     """No stop-word file ships with the data: the ``n`` most frequent
     vocabulary words stand in (at most ``n`` rows by construction)."""
-    return vocabulary(spark, sf_dir).where(F.col("index") < n).select(F.col("keyword").alias("word"))
+    return vocab.where(F.col("index") < n).select(F.col("keyword").alias("word"))
 
 
-def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def profile(spark: SparkSession, sf_dir: str, stage: KeywordStage | None = None) -> DataFrame:
     from quire.operators.profile import article_profile
 
-    return article_profile(keywords(spark, sf_dir), articles(spark, sf_dir))
+    stage = stage or keyword_stage(spark, sf_dir)
+    return article_profile(stage.keywords, stage.articles)
 
 
-def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def word_vectors(spark: SparkSession, sf_dir: str, vocab: DataFrame) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return adapters.word_vectors_from_embeddings(vocabulary(spark, sf_dir), emb)
+    return adapters.word_vectors_from_embeddings(vocab, emb)
 
 
 def article_vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:

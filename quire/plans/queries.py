@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.lineage import spread
 from quire.functions.windows import day_window, hourly_window
 from quire.operators import prepare, tfidf, tokens
 from quire.operators.profile import article_profile as article_profile_op
@@ -23,8 +24,6 @@ from quire.operators.similar import similar_exact, similar_lsh
 from quire.operators.tokens import token_arrays
 from quire.operators.vectors import article_vectors, fit_word2vec, word_vector_table
 from quire.plans import inputs
-from quire.sources import adapters
-from quire.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,15 +60,15 @@ def article_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage = inputs.keyword_stage(spark, sf_dir)
     return tokens.remove_stop_words(
-        inputs.article_tokens(spark, sf_dir), inputs.stop_words(spark, sf_dir)
+        inputs.article_tokens(spark, sf_dir), inputs.stop_words(stage.vocabulary)
     )
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocab = inputs.vocabulary(spark, sf_dir)
-    tf = tfidf.term_frequency(inputs.article_tokens(spark, sf_dir))
-    return tfidf.score(tf, vocab).select(
+    stage = inputs.keyword_stage(spark, sf_dir)
+    return tfidf.score(stage.tf, stage.vocabulary).select(
         "article_id",
         "keyword",
         "index",
@@ -104,9 +103,9 @@ def article_keywords_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = day_window(inputs.news_as_of(spark, sf_dir), 1)
     history = arts.where(F.col("article_time") < start)
     new = arts.where((F.col("article_time") >= start) & (F.col("article_time") < end))
-    hist_tf = tfidf.term_frequency(tokens.tokenize(history.select("article_id", "sentence")))
-    vocab = tfidf.fit_vocabulary(hist_tf, tfidf.document_count(history))
-    new_tokens = tokens.tokenize(new.select("article_id", "sentence"))
+    hist_tokens = tokens.tokenize(spread(history.select("article_id", "sentence"), "article_id"))
+    vocab = tfidf.fit_vocabulary(tfidf.term_frequency(hist_tokens), tfidf.document_count(history))
+    new_tokens = tokens.tokenize(spread(new.select("article_id", "sentence"), "article_id"))
     return tfidf.keyword_stage(new_tokens, new, vocabulary=vocab)[1]
 
 
@@ -136,10 +135,9 @@ def profile_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def article_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article vectors from the profile and the word vectors, one row per
     component (rounded to 4 decimals)."""
-    vocab, kw = inputs.keyword_stage(spark, sf_dir)
-    prof = article_profile_op(kw, inputs.articles(spark, sf_dir))
-    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    wv = adapters.word_vectors_from_embeddings(vocab, emb)
+    stage = inputs.keyword_stage(spark, sf_dir)
+    prof = inputs.profile(spark, sf_dir, stage)
+    wv = inputs.word_vectors(spark, sf_dir, stage.vocabulary)
     av = article_vectors(explode_profile(prof), wv)
     return av.select(
         "article_id", "channel_name", "article_time", F.posexplode("articlevector").alias("pos", "x")

@@ -1,0 +1,115 @@
+"""Similarity join (exact vs brute force, LSH subset) and ALS recall."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+
+from quire.functions.windows import as_of_literal
+from quire.operators import recall, similar
+
+
+def vectors_df(spark, rows):
+    return spark.createDataFrame(rows, "article_id long, articlevector array<double>")
+
+
+def brute(new, hist, t):
+    out = set()
+    for a, va in new:
+        for b, vb in hist:
+            d = math.sqrt(sum((x - y) ** 2 for x, y in zip(va, vb)))
+            if d < t and a != b and d != 0:
+                out.add((a, b, round(d, 4)))
+    return out
+
+
+def random_rows(n, dim, seed, scale=1.0, start=0):
+    rnd = random.Random(seed)
+    return [(start + i, [rnd.gauss(0, scale) for _ in range(dim)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("threshold", [0.5, 1.5, 4.0, 100.0])
+@pytest.mark.parametrize("broadcast_rows", [0, 10_000])
+def test_exact_join_equals_brute_force(spark, threshold, broadcast_rows):
+    hist = random_rows(150, 6, 1)
+    new = hist[:12] + random_rows(8, 6, 2, start=1000)
+    hist = hist + [(2000, list(hist[0][1]))]  # an exact copy: distance 0, dropped
+    got = similar.similar_exact(
+        vectors_df(spark, new),
+        vectors_df(spark, hist),
+        threshold=threshold,
+        salt_buckets=3,
+        max_broadcast_new_rows=broadcast_rows,
+    )
+    rows = {(r.article_id, r.similar_id, r.distance) for r in got.collect()}
+    assert rows == brute(new, hist, threshold)
+
+
+def test_exact_join_plan_has_no_cross_join(spark):
+    hist = vectors_df(spark, random_rows(20, 4, 3))
+    q = similar.similar_exact(hist, hist, threshold=1.0, max_broadcast_new_rows=0)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_lsh_pairs_subset_of_exact(spark):
+    hist = random_rows(120, 5, 4, scale=0.5)
+    new = hist[:15]
+    h, n = vectors_df(spark, hist), vectors_df(spark, new)
+    exact = {(r.article_id, r.similar_id) for r in similar.similar_exact(n, h, threshold=1.0).collect()}
+    approx = {(r.article_id, r.similar_id) for r in similar.similar_lsh(n, h, threshold=1.0).collect()}
+    assert approx <= exact
+    assert len(approx) > 0
+
+
+def behaviour(spark, rows):
+    return spark.createDataFrame(rows, "user_id string, articles string, click_art int, dt string")
+
+
+def test_clicks_quotes_max_and_date_limit(spark):
+    rows = [
+        ("u1", '"12"', 0, "2024-03-01"),
+        ("u1", "12", 1, "2024-03-01"),  # same pair once the quote is stripped
+        ("u1", "13", 0, "2024-03-01"),
+        ("u2", "13", 0, "2024-01-01"),  # dt equal to the limit: excluded
+        ("u2", "14", 1, "2024-01-02"),
+    ]
+    as_of = as_of_literal("2024-03-01 05:30:00")  # limit = 2024-01-01
+    got = {(r.user_id, r.article_id): r.clicked for r in recall.user_item_clicks(behaviour(spark, rows), as_of).collect()}
+    assert got == {("u1", "12"): 1, ("u1", "13"): 0, ("u2", "14"): 1}
+
+
+def test_index_order(spark):
+    clicks = spark.createDataFrame(
+        [("b", "x", 1), ("a", "x", 0), ("b", "y", 1), ("c", "z", 1)], "user_id string, article_id string, clicked int"
+    )
+    users = {r.user_id: r.idx for r in recall.index_keys(clicks, "user_id", "idx").collect()}
+    assert users == {"b": 0, "a": 1, "c": 2}
+
+
+def test_als_recall_invariants(spark):
+    rnd = random.Random(5)
+    rows = [(f"u{u}", str(i), int(rnd.random() < 0.4), "2024-01-10") for u in range(30) for i in range(20) if rnd.random() < 0.5]
+    clicks = recall.user_item_clicks(behaviour(spark, rows), as_of_literal("2024-01-20 00:00:00"))
+    users = recall.index_keys(clicks, "user_id", "als_user_id")
+    items = recall.index_keys(clicks, "article_id", "als_article_id")
+    ratings = recall.indexed_ratings(clicks, users, items)
+    m1 = recall.fit_als(ratings, seed=3, blocks=2)
+    recs = recall.recommendations(m1, users, items, n=5).collect()
+    per_user = {}
+    for r in recs:
+        per_user.setdefault(r.user_id, []).append(r)
+    assert set(per_user) == {r.user_id for r in clicks.collect()}
+    for lst in per_user.values():
+        assert len(lst) <= 5 and len({r.article_id for r in lst}) == len(lst)
+        assert sorted(r.rec_rank for r in lst) == list(range(1, len(lst) + 1))
+    m2 = recall.fit_als(ratings, seed=3, blocks=2)
+    again = recall.recommendations(m2, users, items, n=5).collect()
+    assert sorted((r.user_id, r.article_id) for r in recs) == sorted((r.user_id, r.article_id) for r in again)
+    lists = recall.recall_lists(recall.recommendations(m1, users, items, n=5)).collect()
+    assert all(r.n_items <= 5 and r.als_ids.startswith("[") for r in lists)
+    unseen = recall.recommendations(m1, users, items, n=5, seen=clicks).collect()
+    seen = {(r.user_id, r.article_id) for r in clicks.collect()}
+    assert not ({(r.user_id, r.article_id) for r in unseen} & seen)
