@@ -43,7 +43,9 @@ DISTANCE_DECIMALS = 4
 GRID_PROJECTIONS = 2
 GRID_SEED = 7
 SALT_BUCKETS = 16
-MAX_BROADCAST_NEW_ROWS = 20_000
+# the new side is broadcast only while (rows x 3**projections) stays under
+# this bound; each replica carries one vector
+MAX_BROADCAST_REPLICAS = 20_000
 
 
 def _cells(vcol, threshold: float, k: int, seed: int):
@@ -63,13 +65,13 @@ def similar_exact(
     threshold: float = DISTANCE_THRESHOLD,
     projections: int = GRID_PROJECTIONS,
     salt_buckets: int = SALT_BUCKETS,
-    max_broadcast_new_rows: int = MAX_BROADCAST_NEW_ROWS,
+    max_broadcast_replicas: int = MAX_BROADCAST_REPLICAS,
     seed: int = GRID_SEED,
 ) -> DataFrame:
     """(article_id, similar_id, distance) for new x history with
     distance < threshold.  Inputs: (article_id, articlevector)."""
     k = projections
-    small = row_count_at_most(new, max_broadcast_new_rows)
+    small = row_count_at_most(new, max_broadcast_replicas // 3**k)
     salts = 1 if small else salt_buckets
 
     h = history.select(

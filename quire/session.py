@@ -71,6 +71,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive the loss of an executor
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         configured = tempfile.mkdtemp(prefix="quire-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

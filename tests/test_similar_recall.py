@@ -31,8 +31,8 @@ def random_rows(n, dim, seed, scale=1.0, start=0):
 
 
 @pytest.mark.parametrize("threshold", [0.5, 1.5, 4.0, 100.0])
-@pytest.mark.parametrize("broadcast_rows", [0, 10_000])
-def test_exact_join_equals_brute_force(spark, threshold, broadcast_rows):
+@pytest.mark.parametrize("broadcast_replicas", [0, 10_000])
+def test_exact_join_equals_brute_force(spark, threshold, broadcast_replicas):
     hist = random_rows(150, 6, 1)
     new = hist[:12] + random_rows(8, 6, 2, start=1000)
     hist = hist + [(2000, list(hist[0][1]))]  # an exact copy: distance 0, dropped
@@ -41,7 +41,7 @@ def test_exact_join_equals_brute_force(spark, threshold, broadcast_rows):
         vectors_df(spark, hist),
         threshold=threshold,
         salt_buckets=3,
-        max_broadcast_new_rows=broadcast_rows,
+        max_broadcast_replicas=broadcast_replicas,
     )
     rows = {(r.article_id, r.similar_id, r.distance) for r in got.collect()}
     assert rows == brute(new, hist, threshold)
@@ -49,7 +49,7 @@ def test_exact_join_equals_brute_force(spark, threshold, broadcast_rows):
 
 def test_exact_join_plan_has_no_cross_join(spark):
     hist = vectors_df(spark, random_rows(20, 4, 3))
-    q = similar.similar_exact(hist, hist, threshold=1.0, max_broadcast_new_rows=0)
+    q = similar.similar_exact(hist, hist, threshold=1.0, max_broadcast_replicas=0)
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
