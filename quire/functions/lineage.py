@@ -17,19 +17,35 @@ raw data happens at scale.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 
 from quire.session import checkpoint_dir
 
+# "table": a Parquet table written under the checkpoint folder (columnar,
+# compressed, real file sizes for the planner); "rdd": Dataset.checkpoint
+MATERIALIZE_MODE = os.environ.get("QUIRE_MATERIALIZE", "table")
+
 
 def materialize(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = checkpoint_dir(df.sparkSession)
+    if MATERIALIZE_MODE == "rdd":
+        return df.checkpoint(eager=True)
+    path = os.path.join(folder, "tables", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def input_partitions(df: DataFrame) -> int:
+    """Partition count of the physical plan (no Python RDD is built)."""
+    return df._jdf.rdd().getNumPartitions()
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
+    if input_partitions(df) < parallelism:
         return df.repartition(parallelism, key)
     return df

@@ -9,7 +9,7 @@ within the partition in the lower 33 bits), and each partition's starting
 offset comes from a per-partition count -- a table with one row per
 partition, which is the only thing that is broadcast.
 
-The tagged rows are checkpointed into the session's checkpoint folder, so the
+The tagged rows are materialized into the session's checkpoint folder, so the
 ids are computed once and survive executor loss.
 """
 
@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.lineage import materialize
+
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
@@ -35,7 +37,7 @@ def consecutive_index(
     """
     tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
     if checkpoint:
-        tagged = tagged.checkpoint(eager=True)
+        tagged = materialize(tagged)
     part = F.shiftright(F.col("_mid"), _ROW_BITS)
     counts = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition of the sort: bounded by the partition count

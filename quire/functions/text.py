@@ -17,8 +17,6 @@ SENTENCE_SEPARATOR = ","
 HTML_TAG_PATTERN = "<[^>\n]*>"
 # a word is a maximal run of Unicode letters
 WORD_PATTERN = r"\p{L}+"
-# words made only of ASCII letters are treated as English
-ASCII_WORD_PATTERN = "^[A-Za-z]+$"
 # minimum lengths kept: English words longer than 2, other words longer than 1
 MIN_ASCII_WORD_LENGTH = 3
 MIN_OTHER_WORD_LENGTH = 2
@@ -50,12 +48,16 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(WORD_PATTERN), 0)
 
 
-def keep_word(w: Column) -> Column:
+def keep_word(w: Column, min_other_length: int = MIN_OTHER_WORD_LENGTH) -> Column:
     """Keep rule for a token: English (ASCII) words need more than two
-    characters, any other word more than one."""
+    characters, any other word more than one.
+
+    Tokens are runs of letters, and the only ASCII letters are A-Z and a-z,
+    so a token is English exactly when its UTF-8 byte length equals its
+    character length -- no regex per token."""
     n = F.length(w)
-    return F.when(w.rlike(ASCII_WORD_PATTERN), n >= MIN_ASCII_WORD_LENGTH).otherwise(
-        n >= MIN_OTHER_WORD_LENGTH
+    return F.when(F.octet_length(w) == n, n >= MIN_ASCII_WORD_LENGTH).otherwise(
+        n >= min_other_length
     )
 
 

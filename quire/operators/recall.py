@@ -111,13 +111,20 @@ def recommendations(
     return out
 
 
+def id_list_text(ids: Column) -> Column:
+    """The stored text form of an id list: ["a", "b"] (double quotes, ', '
+    between items), as the reference's recall store holds it."""
+    quoted = F.transform(ids, lambda x: F.concat(F.lit('"'), x, F.lit('"')))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+
+
 def recall_lists(recs: DataFrame) -> DataFrame:
-    """(user_id, als_ids text): the user's articles in rank order without
-    repeats, as a JSON list; users with an empty list are skipped."""
+    """(user_id, n_items, als_ids text): the user's articles in rank order
+    without repeats; users with an empty list are skipped."""
     grouped = recs.groupBy("user_id").agg(
         F.sort_array(F.collect_list(F.struct("rec_rank", "article_id"))).alias("_l")
     )
     ids = F.array_distinct(F.col("_l.article_id"))
     return grouped.select("user_id", ids.alias("article_list")).where(F.size("article_list") > 0).select(
-        "user_id", F.size("article_list").alias("n_items"), F.to_json("article_list").alias("als_ids")
+        "user_id", F.size("article_list").alias("n_items"), id_list_text(F.col("article_list")).alias("als_ids")
     )

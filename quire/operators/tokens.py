@@ -20,13 +20,18 @@ from quire.functions import text
 from quire.functions.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 
-def tokenize(articles: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
+def tokenize(
+    articles: DataFrame,
+    lexicon: DataFrame | None = None,
+    min_other_length: int = text.MIN_OTHER_WORD_LENGTH,
+) -> DataFrame:
     """(article_id, pos, word): one row per kept token; ``pos`` is the 0-based
-    position among all letter runs of the sentence."""
+    position among all letter runs of the sentence.  ``min_other_length=3``
+    gives the stricter variant (every word longer than 2)."""
     tokens = articles.select(
         "article_id",
         F.posexplode(text.words(text.strip_html(F.col("sentence")))).alias("pos", "word"),
-    ).where(text.keep_word(F.col("word")))
+    ).where(text.keep_word(F.col("word"), min_other_length))
     if lexicon is not None:
         tokens = tokens.join(
             sized_broadcast(lexicon.select("word").distinct(), DEFAULT_BROADCAST_ROWS),
@@ -43,7 +48,7 @@ def token_arrays(articles: DataFrame) -> DataFrame:
     return articles.select(
         "article_id",
         "channel_name",
-        F.filter(raw, text.keep_word).alias("words"),
+        F.filter(raw, lambda w: text.keep_word(w)).alias("words"),
         "article_time",
     )
 

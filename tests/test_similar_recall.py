@@ -109,7 +109,8 @@ def test_als_recall_invariants(spark):
     again = recall.recommendations(m2, users, items, n=5).collect()
     assert sorted((r.user_id, r.article_id) for r in recs) == sorted((r.user_id, r.article_id) for r in again)
     lists = recall.recall_lists(recall.recommendations(m1, users, items, n=5)).collect()
-    assert all(r.n_items <= 5 and r.als_ids.startswith("[") for r in lists)
+    assert all(r.n_items <= 5 and r.als_ids.startswith('["') for r in lists)
+    assert all(r.als_ids.count('", "') == r.n_items - 1 for r in lists)
     unseen = recall.recommendations(m1, users, items, n=5, seen=clicks).collect()
     seen = {(r.user_id, r.article_id) for r in clicks.collect()}
     assert not ({(r.user_id, r.article_id) for r in unseen} & seen)

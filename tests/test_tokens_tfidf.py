@@ -28,6 +28,12 @@ def test_keep_rule_and_html(spark):
     assert "<" not in "".join(got)
 
 
+def test_stricter_length_variant(spark):
+    a = arts(spark, [(1, "éé ééé abc ab")])
+    got = [r.word for r in tokens.tokenize(a, min_other_length=3).orderBy("pos").collect()]
+    assert got == ["ééé", "abc"]
+
+
 def test_token_arrays_match_rows(spark):
     a = arts(spark, [(1, "alpha beta <i>gamma</i> beta"), (2, "")])
     arr = {r.article_id: r.words for r in tokens.token_arrays(a).collect()}
