@@ -7,7 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from quire.functions.windows import as_of_literal
+from quire.plans.catalog import register_views
 from quire.plans.jobs import Stores, daily_recall, full_rebuild, hourly_update
+from quire.sources.models import load_word2vec
 from quire.sinks.writers import read_keyed, upsert_keyed, write_partitioned
 from quire.sources import adapters
 from quire.streaming.incremental import start_incremental
@@ -66,6 +68,13 @@ def test_full_then_hourly_jobs(spark, scratch):
     assert sorted(tuple(r) for r in read_keyed(spark, stores.keywords).collect()) == snapshot
     # an empty window stops after the article table
     assert not hourly_update(spark, news, stores, as_of_literal("2030-01-01 00:00:00"))
+    # stored tables are queryable by name
+    views = register_views(spark, stores)
+    assert {"article_profile", "tfidf_keywords_values", "similar_articles"} <= set(views)
+    n = spark.sql("SELECT count(*) AS n FROM article_profile").first().n
+    assert n == read_keyed(spark, stores.profiles).count()
+    model = load_word2vec(stores.word2vec_model)
+    assert model.getVectors().count() == spark.read.parquet(stores.word_vectors).count()
 
 
 def test_daily_recall_job(spark, scratch):
