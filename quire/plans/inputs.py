@@ -34,8 +34,9 @@ def news_as_of(spark: SparkSession, sf_dir: str):
 
 
 def article_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arts = articles(spark, sf_dir).select("article_id", "sentence")
-    return tokens.tokenize(spread(arts, "article_id"))
+    # spread the raw rows, so cleaning and concatenation also run in parallel
+    arts = prepare.prepare_articles(spread(news(spark, sf_dir), "m_id"))
+    return tokens.tokenize(arts.select("article_id", "sentence"))
 
 
 @dataclass
