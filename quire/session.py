@@ -25,9 +25,37 @@ SESSION_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+# target bytes per task: shuffle partitions and scan splits both aim here,
+# which keeps a task's hash tables and sort buffers well inside executor memory
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input on
+    ``total_cores`` cores.
+
+    The initial shuffle partition count is sized so that even the largest
+    intermediate (term frequencies, about the size of the text) splits into
+    ~128 MB pieces, and never below three waves of tasks; AQE then coalesces
+    small partitions and splits skewed ones at runtime.  Text files are
+    read in 128 MB splits (a row group is the smallest unit)."""
+    parts = max(3 * total_cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(8 * 1024 * 1024),
+    }
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        cores = spark.sparkContext.defaultParallelism
+        for key, value in scale_conf(input_bytes, cores).items():
+            spark.conf.set(key, value)
     return spark
 
 

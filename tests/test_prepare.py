@@ -92,3 +92,11 @@ def test_window_filter_reaches_scan(spark, scratch):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "time" in plan
     assert q.count() == 3
+
+
+def test_scale_conf_sizes_partitions():
+    from quire.session import scale_conf
+
+    conf = scale_conf(100 * 1024**4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (128 * 1024**2)
+    assert int(scale_conf(1024, 8)["spark.sql.shuffle.partitions"]) == 24
