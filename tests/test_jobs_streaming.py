@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 
 from quire.functions.windows import as_of_literal
 from quire.plans.catalog import register_views
-from quire.plans.jobs import Stores, daily_recall, full_rebuild, hourly_update
+from quire.plans.jobs import (
+    Stores,
+    daily_merge,
+    daily_recall,
+    full_rebuild,
+    hourly_update,
+    refresh_article_vectors,
+)
 from quire.sources.models import load_word2vec
 from quire.sinks.writers import read_keyed, upsert_keyed, write_partitioned
 from quire.sources import adapters
@@ -115,3 +122,18 @@ def test_streaming_matches_batch(spark, scratch):
     q2 = start_incremental(spark, src + "/*", schema, stores, scratch + "/ckpt")
     q2.awaitTermination(300)
     assert key(read_keyed(spark, stores.keywords)) == key(read_keyed(spark, base.keywords))
+
+
+def test_daily_merge_and_vector_refresh(spark, scratch):
+    stores = Stores(scratch + "/stores")
+    news = _news(spark)
+    as_of = news.select(F.max("time")).first()[0]
+    d = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
+    n = daily_merge(spark, news, stores, as_of_literal(as_of))
+    expect = news.where((F.col("time") >= F.lit(d - dt.timedelta(days=1))) & (F.col("time") < F.lit(d))).count()
+    assert n == expect and read_keyed(spark, stores.articles).count() == expect
+    full_rebuild(spark, news, stores)
+    before = {r.article_id: r.articlevector for r in read_keyed(spark, stores.article_vectors).collect()}
+    after = {r.article_id: r.articlevector for r in refresh_article_vectors(spark, stores, as_of_literal(as_of)).collect()}
+    # recomputing from the same stored profiles and word vectors changes nothing
+    assert after == before
