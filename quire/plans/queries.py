@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from quire.functions.lineage import spread
 from quire.functions.windows import day_window, hourly_window
 from quire.operators import prepare, tfidf, tokens
-from quire.operators.profile import article_profile as article_profile_op
 from quire.operators.profile import explode_profile
 from quire.operators.recall import fit_als, index_keys, indexed_ratings, recall_lists, recommendations
 from quire.operators.similar import similar_exact, similar_lsh
