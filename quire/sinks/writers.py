@@ -8,7 +8,8 @@ key-value stores.  Here every table is a Parquet directory written by name:
   idempotent (a repeated append would duplicate rows);
 * ``upsert_keyed`` -- keyed table, latest version per key wins.  Rows are
   spread over hash buckets of the key (a partition column); an upsert reads
-  and rewrites only the buckets its batch touches;
+  and rewrites only the buckets its batch touches, and rows inside a bucket
+  are ordered by version so time-window reads skip old row groups;
 * ``save_model`` / ``load_*`` -- MLlib model persistence.
 """
 
@@ -68,7 +69,10 @@ def upsert_keyed(
     latest = latest.drop("_rank", "_src")
     # cut the lineage to the files about to be replaced
     latest = materialize(latest)
-    write_partitioned(latest, path, [BUCKET_COL])
+    # rows sorted by version inside each bucket: the Parquet row-group
+    # min/max of the version column let a time-window read (the 30-day
+    # history of the similarity job) skip old row groups
+    write_partitioned(latest.sortWithinPartitions(BUCKET_COL, version_col), path, [BUCKET_COL])
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
