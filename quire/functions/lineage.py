@@ -1,18 +1,20 @@
 """Lineage and input-layout helpers.
 
-``materialize`` writes a DataFrame to the session's checkpoint folder
-(``spark.checkpoint.dir`` on a cluster: shared, reliable storage) and returns
-a DataFrame reading it back: later stages that use it more than once do not
-recompute it, and a lost executor costs a re-read instead of a re-run of the
-whole lineage.  Its output partitioning is kept, so a table checkpointed
-while hash-partitioned by a key still satisfies a later grouping on that key.
+``materialize`` writes a DataFrame as a Parquet table under the session's
+checkpoint folder (``spark.checkpoint.dir`` on a cluster: shared, reliable
+storage) and returns a DataFrame reading it back: later stages that use it
+more than once do not recompute it, a lost executor costs a re-read instead
+of a re-run of the whole lineage, and the planner sees the table's real size
+(a checkpointed RDD would carry only an estimate into join planning).  The
+read-back is columnar and pruned to the columns a stage uses.
 
 ``spread`` fixes under-partitioned inputs: a file with a single row group is
 scanned by one task, which would then run all the text processing alone.  When
 the scan has fewer partitions than the cluster's default parallelism, rows are
-hash-partitioned by the key (deterministic on retry).  Large inputs already
-have more splits than cores and are left alone, so no extra shuffle of the
-raw data happens at scale.
+hash-partitioned by the key (deterministic on retry; the key is the article
+id, unique per row of the raw table).  Large inputs already have more splits
+than cores and are left alone, so no extra shuffle of the raw data happens at
+scale.
 """
 
 from __future__ import annotations
