@@ -91,7 +91,16 @@ def recommendations(
     """(user_id, rec_rank, article_id, rating): top-n per user, ids mapped
     back; unknown ids drop out.  With ``seen`` (user_id, article_id) the
     already-clicked items are removed."""
-    recs = model.recommendForAllUsers(n).select(
+    return map_back(model.recommendForAllUsers(n), users, items, seen)
+
+
+def map_back(
+    recommended: DataFrame, users: DataFrame, items: DataFrame, seen: DataFrame | None = None
+) -> DataFrame:
+    """(als_user_id, recommendations array<struct<als_article_id, rating>>)
+    -> (user_id, rec_rank, article_id, rating); ids missing from a map drop
+    out (the reference's left joins followed by dropna)."""
+    recs = recommended.select(
         "als_user_id", F.posexplode("recommendations").alias("_p", "_r")
     )
     recs = recs.select(

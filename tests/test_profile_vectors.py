@@ -84,3 +84,10 @@ def test_word2vec_invariants(spark):
     assert set(t1) == {"alpha", "beta", "gamma", "delta"}
     assert all(len(v) == 8 for v in t1.values())
     assert t1 == t2  # same seed, same vectors
+
+
+def test_duplicate_keyword_last_wins(spark):
+    # a stored keyword table may hold one keyword twice for an article
+    kw = keywords(spark, [(1, "ka", 0.5, 1), (1, "ka", 0.2, 2)])
+    got = profile.article_profile(kw, articles(spark, [(1, None)])).collect()
+    assert got[0].keyword == {"ka": 0.2}

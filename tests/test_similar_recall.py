@@ -114,3 +114,37 @@ def test_als_recall_invariants(spark):
     unseen = recall.recommendations(m1, users, items, n=5, seen=clicks).collect()
     seen = {(r.user_id, r.article_id) for r in clicks.collect()}
     assert not ({(r.user_id, r.article_id) for r in unseen} & seen)
+
+
+def test_map_back_missing_ids_and_repeats(spark):
+    recs = spark.createDataFrame(
+        [(0, [(5, 0.9), (6, 0.8), (5, 0.7)]), (1, [(6, 0.5)]), (9, [(5, 0.4)])],
+        "als_user_id int, recommendations array<struct<als_article_id:int,rating:float>>",
+    )
+    users = spark.createDataFrame([("u0", 0), ("u1", 1)], "user_id string, als_user_id int")
+    items = spark.createDataFrame([("a5", 5)], "article_id string, als_article_id int")
+    rows = recall.map_back(recs, users, items).collect()
+    # user 9 and item 6 are missing from the maps: dropped
+    assert sorted((r.user_id, r.rec_rank, r.article_id) for r in rows) == [("u0", 1, "a5"), ("u0", 3, "a5")]
+    lists = {r.user_id: r.als_ids for r in recall.recall_lists(recall.map_back(recs, users, items)).collect()}
+    assert lists == {"u0": '["a5"]'}
+
+
+def test_similarity_windows(spark):
+    import datetime as dt
+
+    from quire.functions.windows import HISTORY_DAYS, NEW_ARTICLE_HOURS, since_days, since_hours
+
+    as_of = as_of_literal("2024-02-10 12:34:00")
+    times = {
+        1: "2024-02-10 10:00:00",  # = as_of hour - 2 h: new
+        2: "2024-02-10 09:59:59",  # history only
+        3: "2024-01-11 12:00:00",  # = as_of hour - 30 days: history
+        4: "2024-01-11 11:59:59",  # older than 30 days
+    }
+    df = spark.createDataFrame(
+        [(k, dt.datetime.fromisoformat(v)) for k, v in times.items()], "id long, t timestamp_ntz"
+    )
+    new = {r.id for r in df.where(df.t >= since_hours(as_of, NEW_ARTICLE_HOURS)).collect()}
+    hist = {r.id for r in df.where(df.t >= since_days(as_of, HISTORY_DAYS)).collect()}
+    assert new == {1} and hist == {1, 2, 3}
