@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.joins import row_count_at_most
+from quire.functions.lineage import materialize
 from quire.functions.ranking import consecutive_index, top_k_per_group
 
 # Fixed values of the reference's keyword stage.
@@ -64,13 +65,16 @@ def fit_vocabulary(
     ranked = consecutive_index(stats, [F.col("count").desc(), F.col("word").asc()])
     ranked = ranked.where(F.col("index") < vocab_size)
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
-    return ranked.select(
+    vocabulary = ranked.select(
         F.col("word").alias("keyword"),
         F.col("count"),
         F.col("df"),
         idf.alias("idf"),
         F.col("index"),
     )
+    # at most vocab_size rows, read several times downstream (scoring join,
+    # its size check, stop words, word vectors): store it once
+    return materialize(vocabulary)
 
 
 def score(
