@@ -7,8 +7,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text
+from quire.functions.joins import row_count_at_most
+from quire.functions.lineage import materialize
 from quire.functions.windows import in_window
 
+# largest set of repeated row hashes broadcast by ``dedup`` (8 bytes each)
+DEDUP_BROADCAST_GROUPS = 1_000_000
+
 # column order of the article table (inserts into it are positional)
 ARTICLE_COLUMNS = [
     "article_id",
@@ -65,10 +70,33 @@ def news_in_window(news: DataFrame, bounds: tuple[Column, Column]) -> DataFrame:
     return news.where(in_window(F.col("time"), bounds))
 
 
-def dedup(articles: DataFrame) -> DataFrame:
-    """Exact duplicate rows removed (all columns); partial aggregation drops
-    repeats map-side before the shuffle."""
-    return articles.dropDuplicates()
+def dedup(articles: DataFrame, max_repeated_groups: int | None = DEDUP_BROADCAST_GROUPS) -> DataFrame:
+    """Exact duplicate rows removed (all columns).
+
+    ``dropDuplicates()`` shuffles every full row (the whole text at scale).
+    Instead, every row is hashed (equal rows have equal hashes) and only the
+    8-byte hashes are aggregated to find the hashes seen more than once.
+    When that set is proven small it is broadcast: rows with a unique hash
+    cannot have a copy and pass through without any shuffle; only the rows
+    sharing a hash go through ``dropDuplicates``, which compares full rows
+    (a hash collision only adds a candidate, never merges different rows).
+    A hot group of copies is one hash, and map-side partial aggregation
+    collapses its rows before their shuffle.  With many repeated hashes, or
+    ``max_repeated_groups=None`` (small batches), it is a plain
+    ``dropDuplicates``."""
+    if max_repeated_groups is None:
+        return articles.dropDuplicates()
+    cols = articles.columns
+    hashed = articles.withColumn("_h", F.xxhash64(*cols))
+    repeated = materialize(
+        hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_h")
+    )
+    if not row_count_at_most(repeated, max_repeated_groups):
+        return articles.dropDuplicates()
+    flagged = hashed.join(F.broadcast(repeated.withColumn("_rep", F.lit(True))), "_h", "left")
+    unique = flagged.where(F.col("_rep").isNull()).select(*cols)
+    copies = flagged.where(F.col("_rep")).select(*cols).dropDuplicates()
+    return unique.unionByName(copies)
 
 
 def latest_per_article(articles: DataFrame) -> DataFrame:

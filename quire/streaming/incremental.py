@@ -41,7 +41,7 @@ def news_stream(spark: SparkSession, source_dir: str, schema: StructType, latene
 
 def process_batch(spark: SparkSession, stores: Stores, batch: DataFrame) -> None:
     news = batch.withColumn("time", F.col("time").cast("timestamp_ntz"))
-    arts = materialize(prepare.latest_per_article(prepare.dedup(prepare.prepare_articles(news))))
+    arts = materialize(prepare.latest_per_article(prepare.dedup(prepare.prepare_articles(news), None)))
     if arts.isEmpty():
         return
     upsert_keyed(spark, arts, stores.articles, ["article_id"], "article_time")
