@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.lineage import spread
+from quire.functions.lineage import materialize, spread
 from quire.functions.windows import day_window, hourly_window
 from quire.operators import prepare, tfidf, tokens
 from quire.operators.profile import explode_profile
@@ -171,7 +171,8 @@ def user_item_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def als_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both id maps in one table: (kind, key, als_id)."""
-    clicks = inputs.clicks(spark, sf_dir)
+    # read by both id maps: parse the behaviour table once
+    clicks = materialize(inputs.clicks(spark, sf_dir))
     users = index_keys(clicks, "user_id", "als_id").select(
         F.lit("user").alias("kind"), F.col("user_id").alias("key"), "als_id"
     )
@@ -183,7 +184,8 @@ def als_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def als_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-50 ALS recall per user as a JSON id list."""
-    clicks = inputs.clicks(spark, sf_dir)
+    # read by both id maps and the ratings: parse the behaviour table once
+    clicks = materialize(inputs.clicks(spark, sf_dir))
     users = index_keys(clicks, "user_id", "als_user_id")
     items = index_keys(clicks, "article_id", "als_article_id")
     model = fit_als(indexed_ratings(clicks, users, items))
