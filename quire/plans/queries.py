@@ -161,7 +161,9 @@ def similar_articles_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word2Vec trained on the articles' kept words; (word, vector)."""
-    arrays = token_arrays(inputs.articles(spark, sf_dir))
+    arts = prepare.prepare_articles(spread(inputs.news(spark, sf_dir), "m_id"))
+    # MLlib reads its input twice (vocabulary, then training): tokenise once
+    arrays = materialize(token_arrays(arts).select("words"))
     return word_vector_table(fit_word2vec(arrays))
 
 
