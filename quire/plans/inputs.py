@@ -42,8 +42,8 @@ def article_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @dataclass
 class KeywordStage:
     articles: DataFrame
-    tf: DataFrame  # checkpointed (article_id, word, tf)
-    vocabulary: DataFrame  # checkpointed index
+    tf: DataFrame  # (article_id, word, tf), materialized
+    vocabulary: DataFrame  # (keyword, count, df, idf, index), materialized
     keywords: DataFrame
 
 

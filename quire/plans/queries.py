@@ -98,13 +98,13 @@ def keyword_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def article_keywords_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New articles (yesterday of the newest article) scored against the
     vocabulary and idf fitted on the articles published before them."""
-    arts = inputs.articles(spark, sf_dir)
+    arts = prepare.prepare_articles(spread(inputs.news(spark, sf_dir), "m_id"))
     start, end = day_window(inputs.news_as_of(spark, sf_dir), 1)
     history = arts.where(F.col("article_time") < start)
     new = arts.where((F.col("article_time") >= start) & (F.col("article_time") < end))
-    hist_tokens = tokens.tokenize(spread(history.select("article_id", "sentence"), "article_id"))
+    hist_tokens = tokens.tokenize(history.select("article_id", "sentence"))
     vocab = tfidf.fit_vocabulary(tfidf.term_frequency(hist_tokens), tfidf.document_count(history))
-    new_tokens = tokens.tokenize(spread(new.select("article_id", "sentence"), "article_id"))
+    new_tokens = tokens.tokenize(new.select("article_id", "sentence"))
     return tfidf.keyword_stage(new_tokens, new, vocabulary=vocab)[1]
 
 
