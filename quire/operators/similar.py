@@ -2,7 +2,8 @@
 Euclidean threshold.
 
 ``similar_exact`` is an exact distance join without a cross join.  Each
-vector is projected on ``projections`` fixed random unit directions;
+vector is projected on ``projections`` fixed random unit directions (seeded,
+passed as literal arrays; their length is read from one new row);
 projections never increase distances, so two vectors closer than ``t`` have
 every projection within ``t`` and their grid cells (width ``t``) differ by at
 most one per direction.  The new side is replicated to its 3**k neighbour
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -48,10 +50,22 @@ SALT_BUCKETS = 16
 MAX_BROADCAST_REPLICAS = 20_000
 
 
-def _cells(vcol, threshold: float, k: int, seed: int):
+def _directions(dim: int, k: int, seed: int) -> list[list[float]]:
+    """k fixed random unit vectors of length ``dim`` (Gaussian, normalised)."""
+    rnd = np.random.RandomState(seed)
+    d = rnd.standard_normal((k, dim))
+    d /= np.linalg.norm(d, axis=1, keepdims=True)
+    return d.tolist()
+
+
+def _cells(vcol, threshold: float, directions: list[list[float]]):
+    dim = len(directions[0])
+    checked = F.when(F.size(vcol) == dim, vcol).otherwise(
+        F.raise_error(F.lit(f"similarity join needs vectors of length {dim}"))
+    )
     return [
-        F.floor(vec.random_sign_projection(vcol, seed + i) / F.lit(threshold)).alias(f"_c{i}")
-        for i in range(k)
+        F.floor(vec.dot(checked, F.array(*[F.lit(x) for x in u])) / F.lit(threshold)).alias(f"_c{i}")
+        for i, u in enumerate(directions)
     ]
 
 
@@ -71,13 +85,17 @@ def similar_exact(
     """(article_id, similar_id, distance) for new x history with
     distance < threshold.  Inputs: (article_id, articlevector)."""
     k = projections
+    first = new.select(F.size("articlevector").alias("n")).first()
+    if first is None:  # no new article: no pair
+        return new.sparkSession.createDataFrame([], "article_id long, similar_id long, distance double")
+    directions = _directions(first.n, k, seed)
     small = row_count_at_most(new, max_broadcast_replicas // 3**k)
     salts = 1 if small else salt_buckets
 
     h = history.select(
         F.col("article_id").alias("similar_id"),
         F.col("articlevector").alias("_hv"),
-        *_cells(F.col("articlevector"), threshold, k, seed),
+        *_cells(F.col("articlevector"), threshold, directions),
     ).withColumn("_salt", F.pmod(F.xxhash64("similar_id"), F.lit(salts)).cast("int"))
 
     offsets = F.array(
@@ -89,7 +107,7 @@ def similar_exact(
     n = new.select(
         "article_id",
         F.col("articlevector").alias("_nv"),
-        *_cells(F.col("articlevector"), threshold, k, seed),
+        *_cells(F.col("articlevector"), threshold, directions),
     )
     # one copy per neighbour cell and per salt
     n = n.withColumn("_off", F.explode(offsets)).withColumn(
