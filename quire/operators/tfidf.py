@@ -24,7 +24,7 @@ article with the group limit applied before its shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.joins import row_count_at_most
@@ -50,6 +50,21 @@ def document_count(articles: DataFrame) -> Column:
     return articles.select(F.count(F.lit(1))).scalar()
 
 
+def cap_count(stats: DataFrame, vocab_size: int) -> Column:
+    """The smallest corpus count a word can have and still be among the
+    ``vocab_size`` most frequent (0 when fewer words exist), as a scalar
+    subquery.  Filtering on it before the index sort is exact: every word
+    at that count is kept, so ties keep their order, and the sort only sees
+    about ``vocab_size`` words however many distinct tokens the corpus has.
+    The histogram has one row per distinct count value (at most
+    sqrt(2 x tokens)), so its running sum may run in one task."""
+    hist = stats.groupBy("count").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.orderBy(F.col("count").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    cum = hist.select("count", F.sum("_n").over(running).alias("_cum"))
+    reach = cum.where(F.col("_cum") >= vocab_size).agg(F.max("count")).scalar()
+    return F.coalesce(reach, F.lit(0))
+
+
 def fit_vocabulary(
     tf: DataFrame,
     n_docs: Column,
@@ -62,6 +77,7 @@ def fit_vocabulary(
     )
     floor = F.lit(min_df) if min_df >= 1.0 else F.lit(min_df) * n_docs
     stats = stats.where(F.col("df") >= floor)
+    stats = stats.where(F.col("count") >= cap_count(stats, vocab_size))
     ranked = consecutive_index(stats, [F.col("count").desc(), F.col("word").asc()])
     ranked = ranked.where(F.col("index") < vocab_size)
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))

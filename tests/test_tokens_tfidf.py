@@ -155,3 +155,13 @@ def test_consecutive_index_matches_row_number(spark):
     assert [r.i for r in rows] == list(range(5000))
     expect = sorted(((r.n, r.key) for r in rows), key=lambda t: (-t[0], t[1]))
     assert [(r.n, r.key) for r in rows] == expect
+
+
+def test_vocab_cap_keeps_ties_exactly(spark):
+    # counts: aaa 4, bbb 2, ccc 2, ddd 2, eee 1
+    a = arts(spark, [(1, "aaa aaa bbb ccc ddd eee"), (2, "aaa aaa bbb ccc ddd")])
+    tf = tfidf.term_frequency(tokens.tokenize(a))
+    full = {r.keyword: r["index"] for r in tfidf.fit_vocabulary(tf, tfidf.document_count(a)).collect()}
+    for cap in (1, 2, 3, 4, 5, 9):
+        got = {r.keyword: r["index"] for r in tfidf.fit_vocabulary(tf, tfidf.document_count(a), vocab_size=cap).collect()}
+        assert got == {w: i for w, i in full.items() if i < cap}
