@@ -16,8 +16,9 @@ Semantics (those of MLlib's CountVectorizer + IDF as the reference uses them):
 Plan shape: tokens -> aggregate on (article_id, word), materialized once in
 the checkpoint folder (the text is read and tokenised a single time) -> the
 vocabulary aggregate on word (partial aggregation map-side, so a word found
-in every article is one row per task before the shuffle) -> distributed
-index -> the scoring join on word (vocabulary broadcast only after a row
+in every article is one row per task before the shuffle) -> words below the
+cap's count dropped (exact) -> distributed index -> vocabulary stored ->
+the scoring join on word (vocabulary broadcast only after a row
 count check, else sort-merge with AQE skew splitting) -> top-k window per
 article with the group limit applied before its shuffle.
 """
