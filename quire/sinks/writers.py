@@ -75,6 +75,33 @@ def upsert_keyed(
     write_partitioned(latest.sortWithinPartitions(BUCKET_COL, version_col), path, [BUCKET_COL])
 
 
+def unseen_versions(
+    spark: SparkSession,
+    updates: DataFrame,
+    path: str,
+    keys: list[str],
+    version_col: str,
+    buckets: int = KEY_BUCKETS,
+) -> DataFrame:
+    """Rows of ``updates`` that are newer than what the keyed table at
+    ``path`` stores for their key (all rows when the table does not exist).
+    Only the buckets the updates touch are read."""
+    existing = read_if_exists(spark, path)
+    if existing is None:
+        return updates
+    upd = updates.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    touched = F.broadcast(upd.select(BUCKET_COL).distinct())  # at most ``buckets`` rows
+    stored = (
+        existing.join(touched, BUCKET_COL, "left_semi")
+        .groupBy(*keys)
+        .agg(F.max(version_col).alias("_stored"))
+    )
+    fresh = upd.join(stored, keys, "left").where(
+        F.col("_stored").isNull() | (F.col(version_col) > F.col("_stored"))
+    )
+    return fresh.select(*updates.columns)
+
+
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET_COL)
 
