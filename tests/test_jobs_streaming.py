@@ -71,7 +71,7 @@ def test_full_then_hourly_jobs(spark, scratch):
     assert pairs.where("article_id = similar_id OR distance = 0").count() == 0
     # re-running the same window changes nothing
     snapshot = sorted(tuple(r) for r in read_keyed(spark, stores.keywords).collect())
-    hourly_update(spark, news, stores, as_of_literal(as_of), threshold=1000.0)
+    assert not hourly_update(spark, news, stores, as_of_literal(as_of), threshold=1000.0)
     assert sorted(tuple(r) for r in read_keyed(spark, stores.keywords).collect()) == snapshot
     # an empty window stops after the article table
     assert not hourly_update(spark, news, stores, as_of_literal("2030-01-01 00:00:00"))
