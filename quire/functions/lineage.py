@@ -21,8 +21,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from quire.session import checkpoint_dir
 
@@ -31,15 +32,40 @@ from quire.session import checkpoint_dir
 MATERIALIZE_MODE = os.environ.get("QUIRE_MATERIALIZE", "table")
 
 
+# paths written by ``materialize`` inside the innermost open ``scratch_scope``
+_SCOPES: list[list[str]] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     folder = checkpoint_dir(df.sparkSession)
     if MATERIALIZE_MODE == "rdd":
         return df.checkpoint(eager=True)
     path = os.path.join(folder, "tables", uuid.uuid4().hex)
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the tables materialized inside the block when it ends (a job's
+    intermediates -- the term-frequency table is about the size of the text
+    -- are not needed once its outputs are written).  Only for code that
+    does not return DataFrames reading them."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)
+
+
 def input_partitions(df: DataFrame) -> int:
     """Partition count of the physical plan (no Python RDD is built)."""
     return df._jdf.rdd().getNumPartitions()

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from quire.functions.lineage import materialize
+from quire.functions.lineage import materialize, scratch_scope
 from quire.operators import prepare, profile, vectors
 from quire.plans.jobs import Stores, keyword_outputs
 from quire.sinks.writers import read_if_exists, unseen_versions, upsert_keyed
@@ -46,6 +46,11 @@ def news_stream(
 
 
 def process_batch(spark: SparkSession, stores: Stores, batch: DataFrame) -> None:
+    with scratch_scope(spark):
+        _process_batch(spark, stores, batch)
+
+
+def _process_batch(spark: SparkSession, stores: Stores, batch: DataFrame) -> None:
     news = batch.withColumn("time", F.col("time").cast("timestamp_ntz"))
     arts = prepare.latest_per_article(prepare.dedup(prepare.prepare_articles(news), None))
     arts = materialize(unseen_versions(spark, arts, stores.articles, ["article_id"], "article_time"))

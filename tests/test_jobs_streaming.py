@@ -173,3 +173,17 @@ def test_streaming_keeps_late_and_newer_versions(spark, scratch):
     # quokka"; only words of the stored vocabulary) and carry the new time
     assert kw and {r.keyword for r in kw} <= {"unknow", "zebra", "quokka"}
     assert {r.article_time for r in kw} == {art[0].article_time}
+
+
+def test_jobs_delete_their_intermediates(spark, scratch):
+    import os
+
+    from quire.session import checkpoint_dir
+
+    tables = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "tables")
+    listing = lambda: set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    before = listing()
+    stores = Stores(scratch + "/stores")
+    full_rebuild(spark, _news(spark), stores)
+    assert listing() == before
+    assert read_keyed(spark, stores.profiles).count() > 0
