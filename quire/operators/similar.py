@@ -8,11 +8,14 @@ projections never increase distances, so two vectors closer than ``t`` have
 every projection within ``t`` and their grid cells (width ``t``) differ by at
 most one per direction.  The new side is replicated to its 3**k neighbour
 cells and equi-joined with the history side on the cell key, then the true
-distance is checked.  Hot cells (many vectors in one cell, e.g. when ``t`` is
-near the data's spread) are split: history rows get a salt in [0, S) and the
-new side is replicated over all salts, so no task holds a whole cell.  When
-the new side is proven small, it is broadcast instead and the history side is
-streamed without any shuffle.
+distance is checked.  When the new side is proven small it is broadcast and
+the history side is streamed without any shuffle.  Otherwise both sides are
+shuffled on the cell key, and hot cells (many vectors in one cell, e.g. when
+``t`` is near the data's spread) are split: a cell with more than
+``hot_cell_rows`` history rows gets ceil(rows / hot_cell_rows) salts, its
+history rows are spread over them and the new rows probing it are copied
+once per salt, so no task holds more than about ``hot_cell_rows`` history
+rows of one cell.  Only the hot cells are salted.
 
 ``similar_lsh`` is the reference's approximate join (MLlib
 BucketedRandomProjectionLSH); its pairs are a subset of the exact ones.
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import vectors as vec
 from quire.functions.joins import row_count_at_most
+from quire.functions.lineage import materialize
 
 # Fixed values of the reference's similarity stage.
 LSH_SEED = 125
@@ -44,7 +48,9 @@ DISTANCE_DECIMALS = 4
 # exact join defaults (ours)
 GRID_PROJECTIONS = 2
 GRID_SEED = 7
-SALT_BUCKETS = 16
+# a grid cell holding more history rows than this is split into salts of at
+# most this many rows
+HOT_CELL_ROWS = 1_000_000
 # the new side is broadcast only while (rows x 3**projections) stays under
 # this bound; each replica carries one vector
 MAX_BROADCAST_REPLICAS = 20_000
@@ -78,7 +84,7 @@ def similar_exact(
     history: DataFrame,
     threshold: float = DISTANCE_THRESHOLD,
     projections: int = GRID_PROJECTIONS,
-    salt_buckets: int = SALT_BUCKETS,
+    hot_cell_rows: int = HOT_CELL_ROWS,
     max_broadcast_replicas: int = MAX_BROADCAST_REPLICAS,
     seed: int = GRID_SEED,
 ) -> DataFrame:
@@ -89,15 +95,13 @@ def similar_exact(
     if first is None:  # no new article: no pair
         return new.sparkSession.createDataFrame([], "article_id long, similar_id long, distance double")
     directions = _directions(first.n, k, seed)
-    small = row_count_at_most(new, max_broadcast_replicas // 3**k)
-    salts = 1 if small else salt_buckets
+    cells = [f"_c{i}" for i in range(k)]
 
     h = history.select(
         F.col("article_id").alias("similar_id"),
         F.col("articlevector").alias("_hv"),
         *_cells(F.col("articlevector"), threshold, directions),
-    ).withColumn("_salt", F.pmod(F.xxhash64("similar_id"), F.lit(salts)).cast("int"))
-
+    )
     offsets = F.array(
         *[
             F.struct(*[F.lit(o).alias(f"_o{i}") for i, o in enumerate(combo)])
@@ -108,21 +112,34 @@ def similar_exact(
         "article_id",
         F.col("articlevector").alias("_nv"),
         *_cells(F.col("articlevector"), threshold, directions),
-    )
-    # one copy per neighbour cell and per salt
-    n = n.withColumn("_off", F.explode(offsets)).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    ).withColumn("_off", F.explode(offsets))
+    # one copy per neighbour cell
     n = n.select(
-        "article_id",
-        "_nv",
-        "_salt",
-        *[(F.col(f"_c{i}") + F.col(f"_off._o{i}")).alias(f"_c{i}") for i in range(k)],
+        "article_id", "_nv", *[(F.col(f"_c{i}") + F.col(f"_off._o{i}")).alias(f"_c{i}") for i in range(k)]
     )
-    if small:
-        n = F.broadcast(n)
-    keys = [f"_c{i}" for i in range(k)] + ["_salt"]
-    pairs = h.join(n, keys)
+
+    if row_count_at_most(new, max_broadcast_replicas // 3**k):
+        # small new side: broadcast it, stream the history without a shuffle
+        pairs = h.join(F.broadcast(n), cells)
+    else:
+        # hot cells of the history get ceil(rows / hot_cell_rows) salts; the
+        # table has at most |history| / hot_cell_rows rows, so it is broadcast
+        hot = materialize(
+            h.groupBy(*cells)
+            .agg(F.count(F.lit(1)).alias("_rows"))
+            .where(F.col("_rows") > hot_cell_rows)
+            .select(*cells, F.ceil(F.col("_rows") / F.lit(hot_cell_rows)).cast("int").alias("_salts"))
+        )
+        salts = F.coalesce(F.col("_salts"), F.lit(1))
+        hs = h.join(F.broadcast(hot), cells, "left").withColumn(
+            "_salt", F.pmod(F.xxhash64("similar_id"), salts).cast("int")
+        ).drop("_salts")
+        # new rows are copied once per salt of the cell they probe
+        ns = n.join(F.broadcast(hot), cells, "left").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
+        ).drop("_salts")
+        pairs = hs.join(ns, cells + ["_salt"])
+
     dist = vec.euclidean(F.col("_nv"), F.col("_hv"))
     pairs = pairs.select("article_id", "similar_id", dist.alias("_d")).where(
         (F.col("_d") < F.lit(threshold)) & _keep_pair(F.col("article_id"), F.col("similar_id"), F.col("_d"))

@@ -31,8 +31,8 @@ def random_rows(n, dim, seed, scale=1.0, start=0):
 
 
 @pytest.mark.parametrize("threshold", [0.5, 1.5, 4.0, 100.0])
-@pytest.mark.parametrize("broadcast_replicas", [0, 10_000])
-def test_exact_join_equals_brute_force(spark, threshold, broadcast_replicas):
+@pytest.mark.parametrize("broadcast_replicas, hot_rows", [(0, 7), (0, 1_000_000), (10_000, 7)])
+def test_exact_join_equals_brute_force(spark, threshold, broadcast_replicas, hot_rows):
     hist = random_rows(150, 6, 1)
     new = hist[:12] + random_rows(8, 6, 2, start=1000)
     hist = hist + [(2000, list(hist[0][1]))]  # an exact copy: distance 0, dropped
@@ -40,7 +40,7 @@ def test_exact_join_equals_brute_force(spark, threshold, broadcast_replicas):
         vectors_df(spark, new),
         vectors_df(spark, hist),
         threshold=threshold,
-        salt_buckets=3,
+        hot_cell_rows=hot_rows,
         max_broadcast_replicas=broadcast_replicas,
     )
     rows = {(r.article_id, r.similar_id, r.distance) for r in got.collect()}
