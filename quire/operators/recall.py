@@ -28,6 +28,9 @@ ALS_RANK = 10
 ALS_MAX_ITER = 10
 ALS_REG_PARAM = 0.1
 ALS_CHECKPOINT_INTERVAL = 1
+ALS_DEFAULT_BLOCKS = 10
+# ours: most ALS blocks (user and item) when sized from the cluster
+ALS_MAX_BLOCKS = 2000
 
 
 def user_item_clicks(behaviour: DataFrame, as_of: Column, days: int = 60) -> DataFrame:
@@ -76,8 +79,12 @@ def fit_als(
         checkpointInterval=ALS_CHECKPOINT_INTERVAL,
         seed=seed,
     )
-    if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
+    if blocks is None:
+        # MLlib's default of 10 blocks runs every ALS stage as ~10 tasks;
+        # size the blocks to the cluster (never fewer than the default)
+        cores = ratings.sparkSession.sparkContext.defaultParallelism
+        blocks = max(ALS_DEFAULT_BLOCKS, min(cores, ALS_MAX_BLOCKS))
+    als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
     return als.fit(ratings)
 
 
