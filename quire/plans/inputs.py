@@ -44,7 +44,8 @@ class KeywordStage:
     articles: DataFrame
     tf: DataFrame  # (article_id, word, tf), materialized
     vocabulary: DataFrame  # (keyword, count, df, idf, index), materialized
-    keywords: DataFrame
+    top: DataFrame  # (article_id, keyword, index, tfidf, rank)
+    keywords: DataFrame  # top joined with the article's channel and time
 
 
 def keyword_stage(spark: SparkSession, sf_dir: str) -> KeywordStage:
@@ -52,8 +53,9 @@ def keyword_stage(spark: SparkSession, sf_dir: str) -> KeywordStage:
     top-20 keywords per article."""
     arts = articles(spark, sf_dir)
     tf = materialize(tfidf.term_frequency(article_tokens(spark, sf_dir)))
-    vocab, kw = tfidf.keyword_stage_from_tf(tf, arts)
-    return KeywordStage(arts, tf, vocab, kw)
+    vocab = tfidf.fit_vocabulary(tf, tfidf.document_count(arts))
+    top = tfidf.top_keywords(tfidf.score(tf, vocab))
+    return KeywordStage(arts, tf, vocab, top, tfidf.with_article(top, arts))
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +76,9 @@ def profile(spark: SparkSession, sf_dir: str, stage: KeywordStage | None = None)
     from quire.operators.profile import article_profile
 
     stage = stage or keyword_stage(spark, sf_dir)
-    return article_profile(stage.keywords, stage.articles)
+    # the profile joins the article attributes itself: start from the
+    # un-joined top keywords
+    return article_profile(stage.top, stage.articles)
 
 
 def word_vectors(spark: SparkSession, sf_dir: str, vocab: DataFrame) -> DataFrame:
