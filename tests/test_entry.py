@@ -41,3 +41,11 @@ def test_query_matches_oracle(spark, con, name):
 @pytest.mark.parametrize("name", ["similar_articles_lsh", "als_recall"])
 def test_rows_only_queries_run(spark, name):
     assert entry.queries()[name](spark, SMALL).count() > 0
+
+
+def test_lsh_recall_against_exact_on_driver_tables(spark):
+    exact = {(r.article_id, r.similar_id) for r in entry.queries()["similar_articles_exact"](spark, SMALL).collect()}
+    approx = {(r.article_id, r.similar_id) for r in entry.queries()["similar_articles_lsh"](spark, SMALL).collect()}
+    assert exact and approx <= exact
+    # one hash table, bucket length 1.0 (the reference's settings): 12 of 16
+    assert len(approx) / len(exact) >= 0.5
