@@ -158,7 +158,7 @@ def count_tokens(
     lengths = [len(x) for x in _model(path)[0].encode(words, num_threads=1)] if words else []
     shared = df.sparkSession.sparkContext.broadcast((words, np.array(lengths, "<u4")))
     narrow = df.select(*keep, F.col(text).alias("_text"))
-    schema = narrow.drop("_text").schema.add("n_bytes", "bigint").add("n_tokens", "bigint")
+    schema = narrow.drop("_text").schema.add("n_bytes", "long").add("n_tokens", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, n = shared.value
