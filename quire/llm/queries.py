@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import byte_bpe, token_counts
+from quire.llm import byte_bpe, mixing, token_counts, warc
 from quire.llm.common import table
 
 TOKEN_LIMIT = 4096
@@ -33,8 +33,30 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives and read back: the records' digest columns."""
+    path = warc.write_archives(table(spark, sf_dir, "pages"))
+    page = lambda c: F.expr(f"try_cast(substring_index({c}, ':', -1) as bigint)")
+    return warc.read_archives(spark, path, with_payload=False).select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every document."""
+    return mixing.shares(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_byte_bpe": op4_byte_bpe,
+    "op8_warc": op8_warc,
+    "op10_mixing": op10_mixing,
+}
+ORACLE: dict[str, str] = {
+    "op10_mixing": mixing.oracle_sql(),
 }
-ORACLE: dict[str, str] = {}
