@@ -117,3 +117,54 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = np.minimum(root, root[root])
         if np.array_equal(before, root):
             return root
+
+
+class SpanHash:
+    """64-bit hashes of byte spans of one array, from running sums.
+
+    A span's hash is the sum of (code of the byte) * M^(place in the span)
+    modulo 2^64, so any span costs one subtraction and one product."""
+
+    _m = pow(0x9E3779B97F4A7C15, 3, 1 << 64) | 1
+    _grown = 0
+    _up = _down = None
+
+    def __init__(self, raw: np.ndarray, codes: np.ndarray):
+        self._powers(len(raw) + 1)
+        self.sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(codes[raw] * SpanHash._up[: len(raw)], out=self.sums[1:])
+
+    @classmethod
+    def _powers(cls, n: int) -> None:
+        if n > cls._grown:
+            size = max(n, 1 << 20)
+            with np.errstate(over="ignore"):
+                for name, m in (("_up", cls._m), ("_down", pow(cls._m, -1, 1 << 64))):
+                    powers = np.full(size, m, np.uint64)
+                    powers[0] = 1
+                    setattr(cls, name, np.multiply.accumulate(powers))
+            cls._grown = size
+
+    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.sums[end] - self.sums[start]) * SpanHash._down[start]
+
+    def windows(self, n: int) -> np.ndarray:
+        """Hash of the ``n`` bytes from every position that has so many."""
+        return (self.sums[n:] - self.sums[: len(self.sums) - n]) * SpanHash._down[: len(self.sums) - n]
+
+
+def byte_codes(seed: int, lower: bool = False) -> np.ndarray:
+    """A random 64-bit code per byte; with ``lower``, A-Z share those of a-z."""
+    codes = np.random.default_rng(seed).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    if lower:
+        codes[65:91] = codes[97:123]
+    return codes
+
+
+def document_groups(offsets: np.ndarray, limit: int = 2_000_000):
+    """Ranges (i, j) of consecutive documents with at most ``limit`` bytes, or one document."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
+        yield i, j
+        i = j

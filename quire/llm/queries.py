@@ -8,12 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import byte_bpe, mixing, token_counts, warc
+from quire.llm import byte_bpe, importance, mixing, token_counts, toxicity, warc
 from quire.llm.common import table
 
 TOKEN_LIMIT = 4096
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted for every document; the model is
+    fitted on rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.fit(docs, labels, "toxic")
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every document."""
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -33,6 +48,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, log_weight, draw, selected for every document."""
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return importance.resample(docs, labels, "quality", keep=["doc_id"])
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as archives and read back: the records' digest columns."""
     path = warc.write_archives(table(spark, sf_dir, "pages"))
@@ -52,8 +73,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op4_byte_bpe": op4_byte_bpe,
+    "op7_importance": op7_importance,
     "op8_warc": op8_warc,
     "op10_mixing": op10_mixing,
 }
