@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +21,30 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 512
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="quire-package-"), "quire.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for folder, _, files in os.walk(top):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    packed.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small: a batch of long texts must fit a Python worker."""
+    """Keep Arrow batches small (a batch of long texts must fit a Python worker),
+    and make sure the workers can import the package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

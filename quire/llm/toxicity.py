@@ -33,18 +33,19 @@ BITS = 20
 CHUNK = 1 << 20
 SAMPLE_ROWS = 20_000
 FEATURES = 4096
+PENALTY = 1e-3
 
 
-def text_buckets(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def text_buckets(raw: np.ndarray, offsets: np.ndarray, orders: tuple[int, ...] = ORDERS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(text index, bucket) of every n-gram, in chunks of positions; n-grams
     stay inside their text."""
     codes = byte_codes(1, lower=True)
     for a in range(0, len(raw), CHUNK):
-        b = min(a + CHUNK + max(ORDERS) - 1, len(raw))
+        b = min(a + CHUNK + max(orders) - 1, len(raw))
         hashes = SpanHash(raw[a:b], codes)
         owner = np.searchsorted(offsets, np.arange(a, min(a + CHUNK, len(raw))), "right") - 1
         room = offsets[owner + 1] - np.arange(a, a + len(owner))
-        for n in ORDERS:
+        for n in orders:
             grams = hashes.windows(n)[: len(owner)]
             inside = room[: len(grams)] >= n
             buckets = mix64(grams[inside] + np.uint64(n)) >> np.uint64(64 - BITS)
@@ -58,21 +59,24 @@ class Model:
     buckets: np.ndarray
     weights: np.ndarray
     intercept: float
+    orders: tuple[int, ...] = ORDERS
 
     def scores(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         k, n = len(self.buckets), len(offsets) - 1
         place = np.full(1 << BITS, -1, np.int32)
         place[self.buckets] = np.arange(k)
         total = np.full(n, self.intercept)
-        pairs = present(raw, offsets, place, k)
+        pairs = present(raw, offsets, place, k, self.orders)
         np.add.at(total, pairs // max(k, 1), self.weights[pairs % max(k, 1)])
         return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
 
-def present(raw: np.ndarray, offsets: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
+def present(
+    raw: np.ndarray, offsets: np.ndarray, place: np.ndarray, k: int, orders: tuple[int, ...] = ORDERS
+) -> np.ndarray:
     """Sorted distinct (text index * k + feature) of the chosen features."""
     found = [np.zeros(0, np.int64)]
-    for owner, buckets in text_buckets(raw, offsets):
+    for owner, buckets in text_buckets(raw, offsets, orders):
         feature = place[buckets]
         hit = feature >= 0
         found.append(np.unique(owner[hit] * k + feature[hit]))
@@ -104,7 +108,8 @@ def fit(
     text: str = "text",
     sample_rows: int = SAMPLE_ROWS,
     features: int = FEATURES,
-    penalty: float = 1e-3,
+    penalty: float = PENALTY,
+    orders: tuple[int, ...] = ORDERS,
 ) -> Model:
     """Fit on the labelled rows given (leave held-out rows out of ``labels``)."""
     from pyspark.ml.classification import LogisticRegression
@@ -116,7 +121,7 @@ def fit(
     sample = materialize(labelled_sample(docs, labels, label, id_col, text, sample_rows))
     sizes = {int(r["_label"] > 0): r["n"] for r in sample.groupBy((F.col("_label") > 0).cast("int").alias("_label")).agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
-    none = Model(np.zeros(0, np.int64), np.zeros(0), math.log((pos + 1) / (neg + 1)))
+    none = Model(np.zeros(0, np.int64), np.zeros(0), math.log((pos + 1) / (neg + 1)), orders)
     if not pos or not neg:
         return none
 
@@ -125,7 +130,7 @@ def fit(
         for b in batches:
             toxic = np.array(b.column(1).to_pylist()) > 0
             raw, offsets = string_buffer(b.column(2))
-            pairs = present(raw, offsets, np.arange(1 << BITS, dtype=np.int64), 1 << BITS)
+            pairs = present(raw, offsets, np.arange(1 << BITS, dtype=np.int64), 1 << BITS, orders)
             of = toxic[pairs >> BITS]
             for c in (0, 1):
                 counts[c] += np.bincount(pairs[of == bool(c)] & ((1 << BITS) - 1), minlength=1 << BITS)
@@ -156,7 +161,7 @@ def fit(
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw, offsets = string_buffer(b.column(2))
-            pairs = present(raw, offsets, place, len(buckets))
+            pairs = present(raw, offsets, place, len(buckets), orders)
             cuts = np.searchsorted(pairs, np.arange(b.num_rows + 1) * len(buckets)).astype(np.int32)
             words = pa.array((pairs % len(buckets)).astype(str), pa.string())
             yield pa.RecordBatch.from_arrays(
@@ -174,7 +179,7 @@ def fit(
     scaled = ElementwiseProduct(scalingVec=Vectors.dense(ratios), inputCol="seen", outputCol="features")
     regression = LogisticRegression(regParam=penalty, standardization=False, maxIter=60)
     fitted = regression.fit(scaled.transform(vectorizer.transform(grams)).select("label", "features"))
-    return Model(buckets, fitted.coefficients.toArray() * ratios, float(fitted.intercept))
+    return Model(buckets, fitted.coefficients.toArray() * ratios, float(fitted.intercept), orders)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
