@@ -194,3 +194,27 @@ def document_groups(offsets: np.ndarray, limit: int = 2_000_000):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
         yield i, j
         i = j
+
+
+def with_unique_key(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``df`` with a long ``_key`` in the order of ``id_col`` that names each
+    distinct (id, text): the id itself where ids are unique and not null.
+    Repeated rows share a key; rows that share only the id, and null ids (first
+    in order), are told apart by the hash of the text."""
+    ids = df.select(F.col(id_col).cast("long").alias("_key"))
+    seen = ids.agg(
+        F.count(F.lit(1)).alias("n"), F.count("_key").alias("known"), F.count_distinct("_key").alias("distinct")
+    ).first()
+    if seen["n"] == seen["known"] == seen["distinct"]:
+        return df.withColumn("_key", F.col(id_col).cast("long"))
+    from quire.functions.ranking import consecutive_index
+
+    digest = F.sha2(F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary")), 256)
+    rows = df.withColumn("_digest", digest)
+    names = rows.select(F.col(id_col).alias("_id"), "_digest").distinct()
+    order = [F.col("_id").asc_nulls_first(), F.col("_digest")]
+    names = consecutive_index(names, order, "_key")
+    return rows.join(
+        names.withColumnRenamed("_digest", "_d"),
+        rows[id_col].eqNullSafe(names["_id"]) & (rows["_digest"] == F.col("_d")),
+    ).drop("_id", "_d", "_digest")

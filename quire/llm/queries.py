@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import byte_bpe, importance, mixing, token_counts, toxicity, warc
+from quire.llm import byte_bpe, importance, mixing, suffix_dedup, token_counts, toxicity, warc
 from quire.llm.common import table
 
 TOKEN_LIMIT = 4096
@@ -48,6 +48,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and the digest of what is kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, log_weight, draw, selected for every document."""
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
@@ -76,6 +84,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_importance": op7_importance,
     "op8_warc": op8_warc,
     "op10_mixing": op10_mixing,
