@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import byte_bpe, importance, mixing, suffix_dedup, token_counts, toxicity, warc
+from quire.llm import byte_bpe, importance, jaccard_join, mixing, suffix_dedup, token_counts, toxicity, warc
 from quire.llm.common import table
 
 TOKEN_LIMIT = 4096
@@ -75,6 +75,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, class_id, component_id for every document."""
+    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document."""
     return mixing.shares(table(spark, sf_dir, "documents"))
@@ -87,6 +92,7 @@ QUERIES = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_importance": op7_importance,
     "op8_warc": op8_warc,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
 }
 ORACLE: dict[str, str] = {
