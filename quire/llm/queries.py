@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import byte_bpe, importance, jaccard_join, mixing, suffix_dedup, token_counts, toxicity, warc
+from quire.llm import (
+    byte_bpe,
+    embedding_dedup,
+    importance,
+    jaccard_join,
+    mixing,
+    suffix_dedup,
+    token_counts,
+    topk_search,
+    toxicity,
+    warc,
+)
 from quire.llm.common import table
 
 TOKEN_LIMIT = 4096
@@ -35,6 +46,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the 20 best rows for every id divisible by 20."""
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the bytes they decode to."""
     path = public_tokenizers.path(byte_bpe.RANKS)
@@ -48,6 +64,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every vector."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the digest of what is kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -88,7 +109,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
+    "op3_topk_search": op3_topk_search,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_importance": op7_importance,
     "op8_warc": op8_warc,
