@@ -1,12 +1,12 @@
 """Exact Jaccard join of word shingles with signature trees.
 
-Documents link when PERCENT * (union of their shingle sets) <= 100 *
+Documents link when ``percent`` * (union of their shingle sets) <= 100 *
 (intersection); the result gives every document its class of equal sets and its
 component of links.  Nothing is sampled and no link is lost:
 
 1. *Sets.*  One pass computes each document's set size and a 128-bit key of
    the set; equal keys are one class, which goes on as its first document.
-2. *Shared shingles.*  A link misses at most n - ceil(PERCENT * n / 100) of a
+2. *Shared shingles.*  A link misses at most n - ceil(percent * n / 100) of a
    document's n shingles.  Shingles whose hash falls into a quarter of the hash
    space are brought together (one row per document and block of input, four
    bytes a shingle); a document that has more unshared ones among them
@@ -25,7 +25,7 @@ component of links.  Nothing is sampled and no link is lost:
    by then meets across blocks.
 
 Words are runs of non-white bytes with A-Z lower-cased; a document with fewer
-words than SHINGLE has its whole sequence as one shingle.  Null and empty texts
+words than a shingle has its whole sequence as one shingle.  Null and empty texts
 and texts without words have no shingles, link with nothing and are their own
 component.  Repeated rows (same id and text) get the same result; rows that
 share only the id are told apart by their texts; null ids come first.
@@ -125,9 +125,9 @@ def set_keys(value: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[0], out[1]
 
 
-def allowed_misses(n: Column) -> Column:
+def allowed_misses(n: Column, percent: int) -> Column:
     """Shingles a linked document of ``n`` can lack in its partner."""
-    return (n - F.ceil(F.lit(PERCENT) * n / 100)).cast("long")
+    return (n - F.ceil(F.lit(percent) * n / 100)).cast("long")
 
 
 _DOC = "doc long, n long, sampled long, k1 long, k2 long, shared long"
@@ -145,7 +145,7 @@ def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(np.frombuffer(body, "<i8", n, 4)), np.frombuffer(body, "<u4", n, 4 + 8 * n)
 
 
-def document_sets(keyed: DataFrame, text: str) -> DataFrame:
+def document_sets(keyed: DataFrame, text: str, words: int = SHINGLE) -> DataFrame:
     """(doc, n, sampled, k1, k2, shared) per document key: set size, shingles in
     the sampled quarter, key of the set, and how many of the sampled ones some
     other document has too (for the first document of its set in a block)."""
@@ -158,7 +158,7 @@ def document_sets(keyed: DataFrame, text: str) -> DataFrame:
             docs = np.concatenate([k for k, _, _ in held])
             raw = np.concatenate([r for _, r, _ in held])
             offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(o) for _, _, o in held]))])
-            value, cuts = shingle_sets(raw, offsets)
+            value, cuts = shingle_sets(raw, offsets, words)
             n = np.diff(cuts)
             k1, k2 = set_keys(value, cuts)
             owner = np.repeat(np.arange(len(docs)), n)
@@ -228,12 +228,12 @@ def document_sets(keyed: DataFrame, text: str) -> DataFrame:
     )
 
 
-def full_sets(keyed: DataFrame, text: str) -> DataFrame:
+def full_sets(keyed: DataFrame, text: str, words: int = SHINGLE) -> DataFrame:
     """(doc, n, tokens) with the sorted shingle hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            value, cuts = shingle_sets(*string_buffer(b.column(1)))
+            value, cuts = shingle_sets(*string_buffer(b.column(1)), words)
             tokens = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(value.view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(cuts)), tokens], names=["doc", "n", "tokens"])
 
@@ -244,7 +244,8 @@ class SignatureTree:
     """Nodes of FANOUT children: OR of the bitmaps, size range, and the most
     shingles that share a bit with another one of their document."""
 
-    def __init__(self, bits: np.ndarray, sizes: np.ndarray, excess: np.ndarray):
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray, excess: np.ndarray, percent: int):
+        self.percent = percent
         self.levels = [(bits, sizes, sizes, excess)]
         while len(self.levels[-1][0]) > FANOUT:
             b, low, high, ex = self.levels[-1]
@@ -288,16 +289,18 @@ class SignatureTree:
     def _may_link(self, other, x, y, level):
         bits, low, high, ex = self.levels[level]
         obits, olow, ohigh, oex = other.levels[level]
-        keep = (100 * high[x] >= PERCENT * olow[y]) & (100 * ohigh[y] >= PERCENT * low[x])
+        keep = (100 * high[x] >= self.percent * olow[y]) & (100 * ohigh[y] >= self.percent * low[x])
         keep = np.flatnonzero(keep)
         x, y = x[keep], y[keep]
         most = np.bitwise_count(bits[x] & obits[y]).sum(1, dtype=np.int64) + np.minimum(ex[x], oex[y])
         most = np.minimum(most, np.minimum(high[x], ohigh[y]))
-        # |x & y| * (100 + PERCENT) >= PERCENT * (|x| + |y|) for a link
-        return keep[most * (100 + PERCENT) >= PERCENT * (low[x] + olow[y])]
+        # |x & y| * (100 + percent) >= percent * (|x| + |y|) for a link
+        return keep[most * (100 + self.percent) >= self.percent * (low[x] + olow[y])]
 
 
-def block_links(tokens: np.ndarray, cuts: np.ndarray, group: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def block_links(
+    tokens: np.ndarray, cuts: np.ndarray, group: np.ndarray, side: np.ndarray | None, percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is not connected yet: pairs (i, j) of documents of
     one block (``side`` None), or across the two sides.  ``group`` holds the
     component each document is known to be in."""
@@ -322,7 +325,7 @@ def block_links(tokens: np.ndarray, cuts: np.ndarray, group: np.ndarray, side: n
     members = [order] if side is None else [order[side[order] == s] for s in (0, 1)]
     if any(len(m) == 0 for m in members):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    trees = [SignatureTree(bits[m], sizes[m], excess[m]) for m in members]
+    trees = [SignatureTree(bits[m], sizes[m], excess[m], percent) for m in members]
     _, label = np.unique(group, return_inverse=True)
     links: list[tuple[np.ndarray, np.ndarray]] = []
     for x, y in trees[0].pairs(trees[-1]):
@@ -335,7 +338,7 @@ def block_links(tokens: np.ndarray, cuts: np.ndarray, group: np.ndarray, side: n
             both = np.bitwise_count(bits[i] & bits[j]).sum(1, dtype=np.int64)
         else:
             both = _overlaps(dense, start, i, j, int(names[-1]) + 1)
-        hit = 100 * both >= PERCENT * (sizes[i] + sizes[j] - both)
+        hit = 100 * both >= percent * (sizes[i] + sizes[j] - both)
         if hit.any():
             i, j = i[hit], j[hit]
             # keep the links of a spanning forest of the labels
@@ -378,7 +381,7 @@ def _overlaps(dense, start, i, j, width):
 _LINKS = "src long, dst long"
 
 
-def _join_blocks(rows: DataFrame, across: bool) -> DataFrame:
+def _join_blocks(rows: DataFrame, across: bool, percent: int) -> DataFrame:
     """Links of the groups (cluster, p, q) of ``rows``."""
 
     def run(t: pa.Table) -> pa.Table:
@@ -386,20 +389,20 @@ def _join_blocks(rows: DataFrame, across: bool) -> DataFrame:
         doc, lists = np.asarray(t["doc"]), t["tokens"].combine_chunks()
         cuts = np.asarray(lists.offsets).astype(np.int64)
         tokens = np.asarray(lists.values)[cuts[0] : cuts[-1]]
-        i, j = block_links(tokens, cuts - cuts[0], np.asarray(t["known"]), np.asarray(t["side"]) if across else None)
+        i, j = block_links(tokens, cuts - cuts[0], np.asarray(t["known"]), np.asarray(t["side"]) if across else None, percent)
         return pa.table({"src": doc[i], "dst": doc[j]})
 
     return rows.groupBy("cluster", "p", "q").applyInArrow(run, _LINKS)
 
 
-def links_of(sets: DataFrame) -> DataFrame:
+def links_of(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(src, dst) links that connect every component of ``sets`` (doc, n, tokens)."""
     tokens = sets.select("doc", "n", F.explode("tokens").alias("token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = tokens.join(common, "token")
     have = shared.groupBy("doc").agg(F.count(F.lit(1)).alias("have"))
     rare = Window.partitionBy("doc").orderBy("df", "token")
-    spare = allowed_misses(F.col("n")) - (F.col("n") - F.col("have"))
+    spare = allowed_misses(F.col("n"), percent) - (F.col("n") - F.col("have"))
     leading = (
         shared.withColumn("place", F.row_number().over(rare))
         .join(have, "doc")
@@ -426,7 +429,7 @@ def links_of(sets: DataFrame) -> DataFrame:
         "p", F.explode(F.when(F.col("blocks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     ).withColumn("q", F.when(F.col("p") == 0, cut(0)).otherwise(cut(1)))
     found = materialize(
-        _join_blocks(within.select("cluster", "p", "q", "doc", "tokens", F.col("doc").alias("known")), False)
+        _join_blocks(within.select("cluster", "p", "q", "doc", "tokens", F.col("doc").alias("known")), False, percent)
     )
     large = members.where("blocks > 1")
     if large.isEmpty():
@@ -451,15 +454,13 @@ def links_of(sets: DataFrame) -> DataFrame:
             (F.col("mine") > F.col("with")).cast("int").alias("side"),
         )
     )
-    return found.unionByName(materialize(_join_blocks(pairs, True)))
+    return found.unionByName(materialize(_join_blocks(pairs, True, percent)))
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, class_id, component_id) for every row: ``class_id`` is
-    the smallest id with the same set, ``component_id`` the smallest id that
-    links reach."""
-    keyed = with_unique_key(docs, id_col, text)
-    seen = materialize(document_sets(keyed, text))
+def components(keyed: DataFrame, text: str, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(_key, n_shingles, _class, _component) for each ``_key`` of ``keyed``: set
+    size, smallest key with the same set, smallest key that links reach."""
+    seen = materialize(document_sets(keyed, text, words))
     classes = materialize(
         seen.where("n > 0")
         .groupBy("k1", "k2")
@@ -467,20 +468,40 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         .select("k1", "k2", "r.*")
     )
     lacking = F.col("sampled") - F.col("shared")
-    left = classes.where(lacking <= allowed_misses(F.col("n"))).select(F.col("doc").alias("_key"))
-    sets = materialize(full_sets(keyed.select("_key", text).join(left, "_key").dropDuplicates(["_key"]), text))
-    parts = connected_components(links_of(sets))
+    left = classes.where(lacking <= allowed_misses(F.col("n"), percent)).select(F.col("doc").alias("_key"))
+    sets = materialize(
+        full_sets(keyed.select("_key", text).join(left, "_key").dropDuplicates(["_key"]), text, words)
+    )
+    parts = connected_components(links_of(sets, percent))
     reps = classes.select("k1", "k2", F.col("doc").alias("rep")).join(
         parts.withColumnRenamed("node", "rep"), "rep", "left"
     )
-    found = seen.join(reps, ["k1", "k2"], "left").select(
+    return seen.join(reps, ["k1", "k2"], "left").select(
         F.col("doc").alias("_key"),
         F.col("n").alias("n_shingles"),
         F.coalesce(F.when(F.col("n") > 0, F.col("rep")), F.col("doc")).alias("_class"),
         F.coalesce(F.when(F.col("n") > 0, F.coalesce("component", "rep")), F.col("doc")).alias("_component"),
     )
-    rows = keyed.select(F.col(id_col), "_key").join(found, "_key")
+
+
+def join(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """(id, n_shingles, class_id, component_id) for every row: ``class_id`` is
+    the smallest id with the same set, ``component_id`` the smallest id that
+    links reach."""
+    keyed = with_unique_key(docs, id_col, text)
+    rows = keyed.select(F.col(id_col), "_key").join(components(keyed, text, words, percent), "_key")
     names = rows.select(F.col("_key").alias("_name"), F.col(id_col).alias("_id")).distinct()
     for column, name in (("_class", "class_id"), ("_component", "component_id")):
         rows = rows.join(names.select(F.col("_name").alias(column), F.col("_id").alias(name)), column)
     return rows.select(id_col, "n_shingles", "class_id", "component_id")
+
+
+def first_of_groups(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """``docs`` with one row of each component: its first document."""
+    keyed = with_unique_key(docs, id_col, text)
+    first = components(keyed, text, words, percent).where("_key = _component").select("_key")
+    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")

@@ -380,9 +380,11 @@ def maximal_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     return _repeats(with_unique_key(docs, id_col, text), text, False).withColumnRenamed("doc", "key")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, with n_bytes, n_removed, n_spans and ``kept``
-    (the remaining bytes)."""
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", as_text: bool = False
+) -> DataFrame:
+    """``docs`` without ``text``, with n_bytes, n_removed, n_spans and ``kept``:
+    the remaining bytes, or with ``as_text`` the characters that are whole in them."""
     keyed = with_unique_key(docs, id_col, text)
     spans = materialize(_repeats(keyed, text, True).select("doc", "start", "length"))
     cuts = spans.groupBy(F.col("doc").alias("_key")).agg(
@@ -391,7 +393,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     joined = keyed.join(cuts, "_key", "left").drop("_key")
     others = [f for f in docs.schema.fields if f.name != text]
     added = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
-    schema = T.StructType([*others, *added, T.StructField("kept", T.BinaryType())])
+    schema = T.StructType([*others, *added, T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
     names = [f.name for f in schema.fields]
     rest = [f.name for f in others]
     joined = joined.select(*rest, F.col(text).alias("_text"), "_start", "_length")
@@ -413,9 +415,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
                 removed.append(int(gone.sum()))
                 count.append(int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum()))
                 kept.append(body[~gone].tobytes() if removed[-1] else body.tobytes())
+            rest_of = pa.array([x.decode("utf-8", "ignore") for x in kept]) if as_text else pa.array(kept, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:k], *[pa.array(x, pa.int64()) for x in (size, removed, count)], pa.array(kept, pa.binary())],
-                names=names,
+                [*b.columns[:k], *[pa.array(x, pa.int64()) for x in (size, removed, count)], rest_of], names=names
             )
 
     return joined.mapInArrow(cut, schema)
