@@ -35,8 +35,8 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by the importance of their n-grams for good text."""
-    drawn = importance.resample(docs, table(spark, sf_dir, "labels"), "quality", keep=docs.columns)
-    return drawn.where("selected").select(docs.columns)
+    drawn = importance.resample(docs, table(spark, sf_dir, "labels"), "quality", keep=docs.columns, prefix="_quire_")
+    return drawn.where("_quire_selected").select(docs.columns)
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,13 +46,13 @@ def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what stands earlier; ``n_chars`` follows the text."""
-    cut = suffix_dedup.remove_repeats(docs, as_text=True).withColumnRenamed("kept", "text")
+    cut = suffix_dedup.remove_repeats(docs, as_text=True, prefix="_quire_").withColumnRenamed("_quire_kept", "text")
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture in its order, one row for each copy."""
-    return mixing.mix(docs).select(docs.columns)
+    return mixing.mix(docs, finish="_quire_finish").select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ token by token with an incremental decoder where text pieces are wanted: a
 character split over tokens belongs to the token that completes it.
 
 Empty and null texts give no tokens.  Repeated rows are encoded alike and all
-kept; every input column stays, a clash with an output name is resolved by the
-``prefix`` argument.
+kept; every input column stays, unless an output (behind ``prefix``) has the
+same name, which replaces it.
 """
 
 from __future__ import annotations
@@ -156,17 +156,15 @@ def decode_pieces(ids, path: str) -> list[str]:
 def _append(df: DataFrame, fields: list[T.StructField], run) -> DataFrame:
     """``df`` with columns that ``run`` computes from each Arrow batch."""
     bounded_batches(df.sparkSession)
-    schema = T.StructType([*df.schema.fields, *fields])
-    clash = {f.name.lower() for f in fields} & {c.lower() for c in df.columns}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist; choose another prefix")
+    out = {f.name.lower() for f in fields}
+    stay = [i for i, c in enumerate(df.columns) if c.lower() not in out]
+    schema = T.StructType([*(df.schema.fields[i] for i in stay), *fields])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             columns = run(b)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, *columns],
-                names=[*b.schema.names, *(f.name for f in fields)],
+                [*(b.column(i) for i in stay), *columns], names=schema.names
             )
 
     return df.mapInArrow(over, schema)

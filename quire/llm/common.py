@@ -145,6 +145,12 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
+def without(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` less the columns that an output of this name replaces."""
+    gone = {n.lower() for n in names}
+    return df.select(*[c for c in df.columns if c.lower() not in gone])
+
+
 class SpanHash:
     """64-bit hashes of byte spans of one array, from running sums.
 
@@ -163,7 +169,7 @@ class SpanHash:
     @classmethod
     def _powers(cls, n: int) -> None:
         if n > cls._grown:
-            size = max(n, 1 << 20)
+            size = max(n, 1 << 19)
             with np.errstate(over="ignore"):
                 for name, m in (("_up", cls._m), ("_down", pow(cls._m, -1, 1 << 64))):
                     powers = np.full(size, m, np.uint64)
@@ -187,7 +193,7 @@ def byte_codes(seed: int, lower: bool = False) -> np.ndarray:
     return codes
 
 
-def document_groups(offsets: np.ndarray, limit: int = 2_000_000):
+def document_groups(offsets: np.ndarray, limit: int = 500_000):
     """Ranges (i, j) of consecutive documents with at most ``limit`` bytes, or one document."""
     i, n = 0, len(offsets) - 1
     while i < n:
@@ -197,24 +203,24 @@ def document_groups(offsets: np.ndarray, limit: int = 2_000_000):
 
 
 def with_unique_key(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``df`` with a long ``_key`` in the order of ``id_col`` that names each
+    """``df`` with a long ``_quire_key`` in the order of ``id_col`` that names each
     distinct (id, text): the id itself where ids are unique and not null.
     Repeated rows share a key; rows that share only the id, and null ids (first
     in order), are told apart by the hash of the text."""
-    ids = df.select(F.col(id_col).cast("long").alias("_key"))
+    ids = df.select(F.col(id_col).cast("long").alias("_quire_key"))
     seen = ids.agg(
-        F.count(F.lit(1)).alias("n"), F.count("_key").alias("known"), F.count_distinct("_key").alias("distinct")
+        F.count(F.lit(1)).alias("n"), F.count("_quire_key").alias("known"), F.count_distinct("_quire_key").alias("distinct")
     ).first()
     if seen["n"] == seen["known"] == seen["distinct"]:
-        return df.withColumn("_key", F.col(id_col).cast("long"))
+        return df.withColumn("_quire_key", F.col(id_col).cast("long"))
     from quire.functions.ranking import consecutive_index
 
     digest = F.sha2(F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary")), 256)
-    rows = df.withColumn("_digest", digest)
-    names = rows.select(F.col(id_col).alias("_id"), "_digest").distinct()
-    order = [F.col("_id").asc_nulls_first(), F.col("_digest")]
-    names = consecutive_index(names, order, "_key")
+    rows = df.withColumn("_quire_digest", digest)
+    names = rows.select(F.col(id_col).alias("_quire_id"), "_quire_digest").distinct()
+    order = [F.col("_quire_id").asc_nulls_first(), F.col("_quire_digest")]
+    names = consecutive_index(names, order, "_quire_key")
     return rows.join(
-        names.withColumnRenamed("_digest", "_d"),
-        rows[id_col].eqNullSafe(names["_id"]) & (rows["_digest"] == F.col("_d")),
-    ).drop("_id", "_d", "_digest")
+        names.withColumnRenamed("_quire_digest", "_quire_d"),
+        rows[id_col].eqNullSafe(names["_quire_id"]) & (rows["_quire_digest"] == F.col("_quire_d")),
+    ).drop("_quire_id", "_quire_d", "_quire_digest")

@@ -210,7 +210,7 @@ def near_duplicates(
                 names=["key", "digest", "unit"],
             )
 
-    good = keyed.where(usable("_vector")).select("_key", F.col("_vector").cast("array<double>"))
+    good = keyed.where(usable("_vector")).select("_quire_key", F.col("_vector").cast("array<double>"))
     found = materialize(good.mapInArrow(units, "key long, digest binary, unit binary").dropDuplicates(["key"]))
     classes = found.groupBy("digest").agg(
         F.min("key").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min("unit").alias("unit")
@@ -276,16 +276,16 @@ def near_duplicates(
             F.coalesce("component", "rep").alias("_component"),
         )
     )
-    by_key = found.select(F.col("key").alias("_key"), "digest").join(by_rep, "digest").drop("digest")
+    by_key = found.select(F.col("key").alias("_quire_key"), "digest").join(by_rep, "digest").drop("digest")
     out = (
-        keyed.select(F.col(id_col), "_key")
-        .join(by_key, "_key", "left")
-        .withColumn("_component", F.coalesce("_component", "_key"))
+        keyed.select(F.col(id_col), "_quire_key")
+        .join(by_key, "_quire_key", "left")
+        .withColumn("_component", F.coalesce("_component", "_quire_key"))
     )
-    names = out.select(F.col("_key").alias("_component"), F.col(id_col).alias("component_id")).distinct()
+    names = out.select(F.col("_quire_key").alias("_component"), F.col(id_col).alias("component_id")).distinct()
     return out.join(names, "_component").select(
         id_col,
         F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
         "component_id",
-        (F.col("_key") == F.col("_component")).alias("kept"),
+        (F.col("_quire_key") == F.col("_component")).alias("kept"),
     )

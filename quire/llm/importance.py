@@ -17,8 +17,8 @@ a function of the id, so reruns agree.
 
 Null and empty texts have no n-grams: log weight 0.  Repeated rows get equal
 keys; all rows with the k-th key are kept.  Without labels of both kinds
-nothing can be rejected and every row is kept.  Input columns all stay; the
-outputs ``log_weight``, ``draw`` and ``selected`` must not exist.
+nothing can be rejected and every row is kept.  Input columns stay, unless an
+output (behind ``prefix``) has the same name, which replaces them.
 """
 
 from __future__ import annotations
@@ -33,7 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.lineage import materialize
-from quire.llm.common import SpanHash, bounded_batches, byte_codes, document_groups, mix64, string_buffer
+from quire.llm.common import (
+    SpanHash,
+    bounded_batches,
+    byte_codes,
+    document_groups,
+    mix64,
+    string_buffer,
+    without,
+)
 from quire.llm.toxicity import labelled_sample
 
 BITS = 16
@@ -132,16 +140,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     return ratio, float((edge[at] + edge[at + 1]) / 2)
 
 
-def weigh(docs: DataFrame, ratio: np.ndarray, text: str = "text") -> DataFrame:
-    """``docs`` with ``log_weight``."""
+def weigh(docs: DataFrame, ratio: np.ndarray, text: str = "text", name: str = "log_weight") -> DataFrame:
+    """``docs`` with the log weight of each text."""
     bounded_batches(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, T.StructField("log_weight", T.DoubleType())])
+    if text.lower() != name.lower():
+        docs = without(docs, [name])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = log_weights(*string_buffer(b.column(at)), ratio)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found)], names=[*b.schema.names, "log_weight"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found)], names=[*b.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 
@@ -191,26 +201,29 @@ def resample(
     sample_rows: int = SAMPLE_ROWS,
     k: int | None = None,
     keep: list[str] | None = None,
+    prefix: str = "",
 ) -> DataFrame:
     """``docs`` (or its columns ``keep``) with ``log_weight``, ``draw`` (weight
     plus Gumbel variable) and ``selected``: whether the draw is among the ``k``
     largest."""
     ratio, level = fit(docs, labels, label, id_col, text, sample_rows)
+    names = [prefix + n for n in ("log_weight", "draw", "selected")]
+    weight, draw, selected = names
+    narrow = docs.select(F.col(id_col), F.col(text).alias("_quire_text"))
     weighed = materialize(
-        weigh(docs.select(id_col, text), ratio, text)
-        .drop(text)
-        .withColumn("draw", F.col("log_weight") + gumbel(id_col))
+        weigh(narrow, ratio, "_quire_text", weight).drop("_quire_text").withColumn(draw, F.col(weight) + gumbel(id_col))
     )
     if k is None and level is not None:
-        k = weighed.where(F.col("log_weight") >= level).count()
-    least = None if k is None else kth_largest(weighed, "draw", k)
+        k = weighed.where(F.col(weight) >= level).count()
+    least = None if k is None else kth_largest(weighed, draw, k)
     if k is not None and least is None:
         least = float("inf")
-    chosen = F.lit(True) if least is None else F.col("draw") >= F.lit(least)
+    chosen = F.lit(True) if least is None else F.col(draw) >= F.lit(least)
     if keep is None or set(keep) <= {id_col}:
-        return weighed.withColumn("selected", chosen)
+        return weighed.withColumn(selected, chosen)
+    rows = without(docs.select(*dict.fromkeys([*keep, id_col, text])), names)
     return (
-        weigh(docs.select(*dict.fromkeys([*keep, id_col, text])), ratio, text)
-        .withColumn("draw", F.col("log_weight") + gumbel(id_col))
-        .withColumn("selected", chosen)
+        weigh(rows, ratio, text, weight)
+        .withColumn(draw, F.col(weight) + gumbel(id_col))
+        .withColumn(selected, chosen)
     )

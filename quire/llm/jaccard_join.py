@@ -221,7 +221,7 @@ def document_sets(keyed: DataFrame, text: str, words: int = SHINGLE) -> DataFram
                 [pa.array(who), none, none, none, none, pa.array(times.astype(np.int64))], names=_DOC_NAMES
             )
 
-    routed = keyed.select("_key", F.col(text).alias("_text")).mapInArrow(route, "part int, block binary, " + _DOC)
+    routed = keyed.select("_quire_key", F.col(text).alias("_text")).mapInArrow(route, "part int, block binary, " + _DOC)
     seen = materialize(routed.repartitionById(parts, F.col("part")).mapInArrow(count, _DOC))
     return seen.groupBy("doc").agg(
         *[F.max(c).alias(c) for c in ("n", "sampled", "k1", "k2")], F.sum("shared").alias("shared")
@@ -237,7 +237,7 @@ def full_sets(keyed: DataFrame, text: str, words: int = SHINGLE) -> DataFrame:
             tokens = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(value.view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(cuts)), tokens], names=["doc", "n", "tokens"])
 
-    return keyed.select("_key", F.col(text).alias("_text")).mapInArrow(run, "doc long, n long, tokens array<long>")
+    return keyed.select("_quire_key", F.col(text).alias("_text")).mapInArrow(run, "doc long, n long, tokens array<long>")
 
 
 class SignatureTree:
@@ -458,7 +458,7 @@ def links_of(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def components(keyed: DataFrame, text: str, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(_key, n_shingles, _class, _component) for each ``_key`` of ``keyed``: set
+    """(_quire_key, n_shingles, _class, _component) for each ``_quire_key`` of ``keyed``: set
     size, smallest key with the same set, smallest key that links reach."""
     seen = materialize(document_sets(keyed, text, words))
     classes = materialize(
@@ -468,16 +468,16 @@ def components(keyed: DataFrame, text: str, words: int = SHINGLE, percent: int =
         .select("k1", "k2", "r.*")
     )
     lacking = F.col("sampled") - F.col("shared")
-    left = classes.where(lacking <= allowed_misses(F.col("n"), percent)).select(F.col("doc").alias("_key"))
+    left = classes.where(lacking <= allowed_misses(F.col("n"), percent)).select(F.col("doc").alias("_quire_key"))
     sets = materialize(
-        full_sets(keyed.select("_key", text).join(left, "_key").dropDuplicates(["_key"]), text, words)
+        full_sets(keyed.select("_quire_key", text).join(left, "_quire_key").dropDuplicates(["_quire_key"]), text, words)
     )
     parts = connected_components(links_of(sets, percent))
     reps = classes.select("k1", "k2", F.col("doc").alias("rep")).join(
         parts.withColumnRenamed("node", "rep"), "rep", "left"
     )
     return seen.join(reps, ["k1", "k2"], "left").select(
-        F.col("doc").alias("_key"),
+        F.col("doc").alias("_quire_key"),
         F.col("n").alias("n_shingles"),
         F.coalesce(F.when(F.col("n") > 0, F.col("rep")), F.col("doc")).alias("_class"),
         F.coalesce(F.when(F.col("n") > 0, F.coalesce("component", "rep")), F.col("doc")).alias("_component"),
@@ -491,10 +491,10 @@ def join(
     the smallest id with the same set, ``component_id`` the smallest id that
     links reach."""
     keyed = with_unique_key(docs, id_col, text)
-    rows = keyed.select(F.col(id_col), "_key").join(components(keyed, text, words, percent), "_key")
-    names = rows.select(F.col("_key").alias("_name"), F.col(id_col).alias("_id")).distinct()
+    rows = keyed.select(F.col(id_col), "_quire_key").join(components(keyed, text, words, percent), "_quire_key")
+    names = rows.select(F.col("_quire_key").alias("_name"), F.col(id_col).alias("_quire_id")).distinct()
     for column, name in (("_class", "class_id"), ("_component", "component_id")):
-        rows = rows.join(names.select(F.col("_name").alias(column), F.col("_id").alias(name)), column)
+        rows = rows.join(names.select(F.col("_name").alias(column), F.col("_quire_id").alias(name)), column)
     return rows.select(id_col, "n_shingles", "class_id", "component_id")
 
 
@@ -503,5 +503,5 @@ def first_of_groups(
 ) -> DataFrame:
     """``docs`` with one row of each component: its first document."""
     keyed = with_unique_key(docs, id_col, text)
-    first = components(keyed, text, words, percent).where("_key = _component").select("_key")
-    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    first = components(keyed, text, words, percent).where("_quire_key = _component").select("_quire_key")
+    return keyed.join(first, "_quire_key", "left_semi").dropDuplicates(["_quire_key"]).drop("_quire_key")

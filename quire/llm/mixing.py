@@ -16,9 +16,8 @@ Only the table of sources (one row each) meets in one task.
 Null and empty texts have size 0 and are never taken; a null source is a source
 of its own, last in order; repeated rows queue one by one (rows that tie in
 id, size and text are alike in the result too); an empty table gives an empty
-result.  Columns of the input stay as they are; the added ones carry a prefix
-inside, so clashing names do no harm unless they equal an output name, which
-raises.
+result.  Columns of the input stay as they are, unless an output has the same
+name, which replaces them; the names used inside start with ``_m_``.
 """
 
 from __future__ import annotations
@@ -29,11 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.lineage import materialize
-from quire.llm.common import WORD_PATTERN
+from quire.llm.common import WORD_PATTERN, without
 
 WEIGHTS = (3, 1, 2)
 BUCKET_ROWS = 4096
-ADDED = ("size", "source_size", "target", "virtual_finish")
 
 
 def word_count(text: Column) -> Column:
@@ -136,7 +134,9 @@ def _finish(copy: int | Column) -> Column:
     return (F.col("_m_queued") + F.lit(copy) * F.col("_m_source_size")) / F.col("_m_weight")
 
 
-def shares(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", copies: int = 2, **options) -> DataFrame:
+def shares(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", copies: int = 2, **options
+) -> DataFrame:
     """One row per document: id, size, source_size, target, taken (words of all
     its copies in the mixture).  The text is read once and shuffled never."""
     narrow = docs.select(
@@ -154,37 +154,23 @@ def shares(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source:
     )
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", copies: int = 2, **options) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    copies: int = 2,
+    finish: str = "virtual_finish",
+    **options,
+) -> DataFrame:
     """The mixture itself: rows of ``docs``, one for each copy taken, with its
-    ``virtual_finish``, range-sorted by it."""
-    if clash := {c.lower() for c in docs.columns} & {"virtual_finish"}:
-        raise ValueError(f"columns {sorted(clash)} exist in the input")
+    virtual finish time, range-sorted by it."""
+    docs = without(docs, [finish])
     queued = queue(docs, id_col, text, source, copies=copies, **options)
     times = F.filter(F.array(*[_finish(c) for c in range(copies)]), lambda t: t <= F.col("_m_cut"))
     return (
         queued.where(F.col("_m_size") > 0)
-        .select(*docs.columns, F.explode(times).alias("virtual_finish"))
-        .orderBy("virtual_finish", id_col)
+        .select(*docs.columns, F.explode(times).alias(finish))
+        .orderBy(finish, id_col)
     )
 
-
-def oracle_sql() -> str:
-    """DuckDB statement for ``shares`` of ``documents``."""
-    return r"""
-WITH d AS (SELECT doc_id, source, text,
-    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
-t AS (SELECT source, CAST(sum(size) AS BIGINT) AS total FROM d GROUP BY source),
-w AS (SELECT *, [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight FROM t),
-l AS (SELECT *, 2 * total AS most, row_number() OVER o AS place,
-    (CAST(1.5 AS DOUBLE) * CAST(sum(total) OVER () AS DOUBLE) - CAST(coalesce(sum(2 * total) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE))
-      / CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
-    FROM w WINDOW o AS (ORDER BY 2 * total / CAST(weight AS DOUBLE), source NULLS LAST)),
-c AS (SELECT *, (SELECT arg_min(level, place) FROM l WHERE level <= most / CAST(weight AS DOUBLE)) AS cut FROM l),
-q AS (SELECT d.doc_id, d.size, c.total AS source_size, c.weight, c.cut,
-    least(CAST(c.most AS DOUBLE), c.weight * c.cut) AS target,
-    CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(CAST(d.doc_id AS VARCHAR)), d.doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS queued
-    FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source)
-SELECT doc_id, size, source_size, target,
-    CAST(CASE WHEN queued / CAST(weight AS DOUBLE) <= cut THEN size ELSE 0 END
-       + CASE WHEN (queued + source_size) / CAST(weight AS DOUBLE) <= cut THEN size ELSE 0 END AS BIGINT) AS taken
-FROM q"""

@@ -14,6 +14,7 @@ from quire.llm import (
     importance,
     jaccard_join,
     mixing,
+    oracle,
     suffix_dedup,
     token_counts,
     topk_search,
@@ -97,8 +98,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_shingles, class_id, component_id for every document."""
-    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """doc_id, n_shingles, component_id for every document."""
+    found = jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +120,11 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
 }
+# DuckDB statements for the queries that SQL can express
 ORACLE: dict[str, str] = {
-    "op10_mixing": mixing.oracle_sql(),
+    "op3_topk_search": oracle.TOPK_SEARCH,
+    "op5_embedding_dedup": oracle.EMBEDDING_DEDUP,
+    "op8_warc": oracle.WARC,
+    "op9_jaccard_join": oracle.JACCARD_JOIN,
+    "op10_mixing": oracle.MIXING,
 }

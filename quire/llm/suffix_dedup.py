@@ -23,7 +23,8 @@ earlier (smaller document, or same document and earlier start).
 Documents are ordered by id.  Null and empty texts hold no window.  Repeated
 rows (same id and text) are one document and get the same result; rows that
 share only the id are documents of their own, ordered by the hash of the text;
-null ids come first.  Texts of any length are read in chunks.  Extra columns stay.
+null ids come first.  Texts of any length are read in chunks.  Extra columns stay,
+unless an output has the same name.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ from quire.llm.common import (
 
 LENGTH, GRAM = 100, 20
 REACH = LENGTH - GRAM  # an anchor starts at most so many bytes into its window
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 PLACE = np.uint64((1 << 21) - 1)
 BLOCK_BYTES = 16 << 20
 
@@ -367,7 +368,7 @@ def _repeats(keyed: DataFrame, text: str, spans_only: bool) -> DataFrame:
         else:
             yield from array.all_groups()
 
-    routed = keyed.select("_key", F.col(text).alias("_text")).mapInArrow(route, routed_schema)
+    routed = keyed.select("_quire_key", F.col(text).alias("_text")).mapInArrow(route, routed_schema)
     return routed.repartitionById(parts, F.col("part")).mapInArrow(scan, GROUPS)
 
 
@@ -381,22 +382,24 @@ def maximal_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", as_text: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", as_text: bool = False, prefix: str = ""
 ) -> DataFrame:
     """``docs`` without ``text``, with n_bytes, n_removed, n_spans and ``kept``:
-    the remaining bytes, or with ``as_text`` the characters that are whole in them."""
+    the remaining bytes, or with ``as_text`` the characters that are whole in them;
+    the names stand behind ``prefix`` and replace input columns of the same name."""
     keyed = with_unique_key(docs, id_col, text)
     spans = materialize(_repeats(keyed, text, True).select("doc", "start", "length"))
-    cuts = spans.groupBy(F.col("doc").alias("_key")).agg(
-        F.collect_list("start").alias("_start"), F.collect_list("length").alias("_length")
+    cuts = spans.groupBy(F.col("doc").alias("_quire_key")).agg(
+        F.collect_list("start").alias("_quire_start"), F.collect_list("length").alias("_quire_length")
     )
-    joined = keyed.join(cuts, "_key", "left").drop("_key")
-    others = [f for f in docs.schema.fields if f.name != text]
-    added = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
-    schema = T.StructType([*others, *added, T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
+    joined = keyed.join(cuts, "_quire_key", "left").drop("_quire_key")
+    added = [T.StructField(prefix + n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
+    gone = {text.lower(), (prefix + "kept").lower(), *(f.name.lower() for f in added)}
+    others = [f for f in docs.schema.fields if f.name.lower() not in gone]
+    schema = T.StructType([*others, *added, T.StructField(prefix + "kept", T.StringType() if as_text else T.BinaryType())])
     names = [f.name for f in schema.fields]
     rest = [f.name for f in others]
-    joined = joined.select(*rest, F.col(text).alias("_text"), "_start", "_length")
+    joined = joined.select(*rest, F.col(text).alias("_quire_text"), "_quire_start", "_quire_length")
     k = len(rest)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ from quire.llm.common import SpanHash, bounded_batches, byte_codes, mix64, strin
 
 ORDERS = (3, 4, 5)
 BITS = 20
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 SAMPLE_ROWS = 20_000
 FEATURES = 4096
 PENALTY = 1e-3
