@@ -22,28 +22,24 @@ from __future__ import annotations
 import os
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.session import checkpoint_dir
 
-# "table": a Parquet table written under the checkpoint folder (columnar,
-# compressed, real file sizes for the planner); "rdd": Dataset.checkpoint
-MATERIALIZE_MODE = os.environ.get("QUIRE_MATERIALIZE", "table")
-
-
 # paths written by ``materialize`` inside the innermost open ``scratch_scope``
-_SCOPES: list[list[str]] = []
+# of this thread of control (a stream's batches run beside the main thread)
+_SCOPE: ContextVar[list[str] | None] = ContextVar("quire_scratch", default=None)
 
 
 def materialize(df: DataFrame) -> DataFrame:
     folder = checkpoint_dir(df.sparkSession)
-    if MATERIALIZE_MODE == "rdd":
-        return df.checkpoint(eager=True)
     path = os.path.join(folder, "tables", uuid.uuid4().hex)
     df.write.parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -54,11 +50,11 @@ def scratch_scope(spark: SparkSession):
     -- are not needed once its outputs are written).  Only for code that
     does not return DataFrames reading them."""
     paths: list[str] = []
-    _SCOPES.append(paths)
+    token = _SCOPE.set(paths)
     try:
         yield
     finally:
-        _SCOPES.pop()
+        _SCOPE.reset(token)
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for p in paths:

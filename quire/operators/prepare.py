@@ -7,13 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text
-from quire.functions.joins import row_count_at_most
 from quire.functions.lineage import materialize
 from quire.functions.windows import in_window
 
-# largest set of repeated row hashes broadcast by ``dedup`` (8 bytes each)
-DEDUP_BROADCAST_GROUPS = 1_000_000
-
 # column order of the article table (inserts into it are positional)
 ARTICLE_COLUMNS = [
     "article_id",
@@ -70,30 +66,23 @@ def news_in_window(news: DataFrame, bounds: tuple[Column, Column]) -> DataFrame:
     return news.where(in_window(F.col("time"), bounds))
 
 
-def dedup(articles: DataFrame, max_repeated_groups: int | None = DEDUP_BROADCAST_GROUPS) -> DataFrame:
+def dedup(articles: DataFrame) -> DataFrame:
     """Exact duplicate rows removed (all columns).
 
     ``dropDuplicates()`` shuffles every full row (the whole text at scale).
     Instead, every row is hashed (equal rows have equal hashes) and only the
-    8-byte hashes are aggregated to find the hashes seen more than once.
-    When that set is proven small it is broadcast: rows with a unique hash
-    cannot have a copy and pass through without any shuffle; only the rows
-    sharing a hash go through ``dropDuplicates``, which compares full rows
-    (a hash collision only adds a candidate, never merges different rows).
-    A hot group of copies is one hash, and map-side partial aggregation
-    collapses its rows before their shuffle.  With many repeated hashes, or
-    ``max_repeated_groups=None`` (small batches), it is a plain
-    ``dropDuplicates``."""
-    if max_repeated_groups is None:
-        return articles.dropDuplicates()
+    8-byte hashes are aggregated to find those seen more than once; a hot group
+    of copies is one hash, collapsed map-side.  Rows whose hash is unique cannot
+    have a copy; only the others go through ``dropDuplicates``, which compares
+    full rows (a hash collision only adds a candidate, never merges different
+    rows).  The plan is the same at every size: AQE broadcasts the repeated
+    hashes when they are measured small and shuffles on the hash otherwise."""
     cols = articles.columns
     hashed = articles.withColumn("_h", F.xxhash64(*cols))
     repeated = materialize(
         hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_h")
     )
-    if not row_count_at_most(repeated, max_repeated_groups):
-        return articles.dropDuplicates()
-    flagged = hashed.join(F.broadcast(repeated.withColumn("_rep", F.lit(True))), "_h", "left")
+    flagged = hashed.join(repeated.withColumn("_rep", F.lit(True)), "_h", "left")
     unique = flagged.where(F.col("_rep").isNull()).select(*cols)
     copies = flagged.where(F.col("_rep")).select(*cols).dropDuplicates()
     return unique.unionByName(copies)
@@ -101,8 +90,16 @@ def dedup(articles: DataFrame, max_repeated_groups: int | None = DEDUP_BROADCAST
 
 def latest_per_article(articles: DataFrame) -> DataFrame:
     """One row per article_id, the latest ``article_time`` wins (ties: the
-    greatest row).  Re-delivered or re-published articles collapse instead of
-    fanning out later joins."""
-    cols = [c for c in articles.columns if c != "article_id"]
-    newest = F.max_by(F.struct(*cols), F.struct("article_time", *[c for c in cols if c != "article_time"]))
-    return articles.groupBy("article_id").agg(newest.alias("_r")).select("article_id", "_r.*")
+    greatest row hash).  Re-delivered or re-published articles collapse instead
+    of fanning out later joins.  The winner is chosen on (id, time, hash); the
+    full rows are only filtered by it."""
+    hashed = articles.withColumn("_h", F.xxhash64(*articles.columns))
+    best = (
+        hashed.groupBy("article_id")
+        .agg(F.max(F.struct("article_time", "_h")).alias("_b"))
+        .select("article_id", "_b._h")
+    )
+    # equal rows of a winner tie in everything: keep one
+    best = best.select(F.col("article_id").alias("_a"), F.col("_h").alias("_w"))
+    won = (F.col("_h") == F.col("_w")) & F.col("article_id").eqNullSafe(F.col("_a"))
+    return hashed.join(best, won, "left_semi").select(*articles.columns).transform(dedup)

@@ -28,9 +28,10 @@ ALS_RANK = 10
 ALS_MAX_ITER = 10
 ALS_REG_PARAM = 0.1
 ALS_CHECKPOINT_INTERVAL = 1
-ALS_DEFAULT_BLOCKS = 10
-# ours: most ALS blocks (user and item) when sized from the cluster
-ALS_MAX_BLOCKS = 2000
+# MLlib's default; part of the model's definition (blocks seed their factors)
+ALS_BLOCKS = 10
+# ALS takes int ids
+MAX_ALS_ID = 2**31 - 1
 
 
 def user_item_clicks(behaviour: DataFrame, as_of: Column, days: int = 60) -> DataFrame:
@@ -49,10 +50,14 @@ def user_item_clicks(behaviour: DataFrame, as_of: Column, days: int = 60) -> Dat
 
 
 def index_keys(clicks: DataFrame, key: str, index_col: str) -> DataFrame:
-    """(key, index_col int): rank by (rows desc, key asc) - 1."""
+    """(key, index_col int): rank by (rows desc, key asc) - 1.  MLlib's ALS
+    takes int ids; more keys than that raise."""
     counts = clicks.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     ranked = consecutive_index(counts, [F.col("_n").desc(), F.col(key).asc()], "_i")
-    return ranked.select(key, F.col("_i").cast("int").alias(index_col))
+    small = F.when(F.col("_i") <= MAX_ALS_ID, F.col("_i").cast("int")).otherwise(
+        F.raise_error(F.lit(f"ALS holds at most {MAX_ALS_ID + 1} distinct {key} values"))
+    )
+    return ranked.select(key, small.cast("int").alias(index_col))
 
 
 def indexed_ratings(clicks: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
@@ -67,7 +72,7 @@ def fit_als(
     max_iter: int = ALS_MAX_ITER,
     reg_param: float = ALS_REG_PARAM,
     seed: int = 42,
-    blocks: int | None = None,
+    blocks: int = ALS_BLOCKS,
 ) -> ALSModel:
     als = ALS(
         userCol="als_user_id",
@@ -79,11 +84,6 @@ def fit_als(
         checkpointInterval=ALS_CHECKPOINT_INTERVAL,
         seed=seed,
     )
-    if blocks is None:
-        # MLlib's default of 10 blocks runs every ALS stage as ~10 tasks;
-        # size the blocks to the cluster (never fewer than the default)
-        cores = ratings.sparkSession.sparkContext.defaultParallelism
-        blocks = max(ALS_DEFAULT_BLOCKS, min(cores, ALS_MAX_BLOCKS))
     als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
     return als.fit(ratings)
 

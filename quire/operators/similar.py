@@ -17,10 +17,11 @@ history rows are spread over them and the new rows probing it are copied
 once per salt, so no task holds more than about ``hot_cell_rows`` history
 rows of one cell.  Only the hot cells are salted.
 
-``similar_lsh`` is the reference's approximate join (MLlib
-BucketedRandomProjectionLSH); its pairs are a subset of the exact ones.
+``similar_lsh`` is the approximate join for production, the same hash family
+as the reference's (bucketed random projections) in DataFrame functions; its
+pairs are a subset of the exact ones.  ``similar_mllib_lsh`` is MLlib's own.
 
-Both drop self pairs and pairs at distance 0 (exact copies are not
+All drop self pairs and pairs at distance 0 (exact copies are not
 "similar"), and keep the distance rounded to 4 decimals.
 """
 
@@ -151,7 +152,74 @@ def similar_exact(
     )
 
 
+def _pairs_distances(pairs: DataFrame, new: DataFrame, history: DataFrame, threshold: float) -> DataFrame:
+    """Attach the vectors to distinct id pairs and keep those that are close."""
+    a = new.select("article_id", F.col("articlevector").alias("_nv"))
+    b = history.select(F.col("article_id").alias("similar_id"), F.col("articlevector").alias("_hv"))
+    dist = vec.euclidean(F.col("_nv"), F.col("_hv"))
+    near = (
+        pairs.join(a, "article_id")
+        .join(b, "similar_id")
+        .select("article_id", "similar_id", dist.alias("_d"))
+        .where((F.col("_d") < F.lit(threshold)) & _keep_pair(F.col("article_id"), F.col("similar_id"), F.col("_d")))
+    )
+    return near.select(
+        "article_id", "similar_id", (F.round("_d", DISTANCE_DECIMALS) + F.lit(0.0)).alias("distance")
+    )
+
+
+def lsh_directions(dim: int, tables: int, seed: int = LSH_SEED) -> list[list[float]]:
+    """The unit direction of each table, as short literals (the SQL statement of
+    the query uses the same)."""
+    return [[round(x, 6) for x in u] for u in _directions(dim, tables, seed)]
+
+
 def similar_lsh(
+    new: DataFrame,
+    history: DataFrame,
+    threshold: float,
+    bucket_length: float = LSH_BUCKET_LENGTH,
+    num_hash_tables: int = LSH_HASH_TABLES,
+    seed: int = LSH_SEED,
+    hot_bucket_rows: int = HOT_CELL_ROWS,
+) -> DataFrame:
+    """Bucketed random projections: vectors whose projections on a table's
+    direction fall into the same bucket of ``bucket_length`` are candidates.
+
+    Only (id, table, bucket) rows are joined; candidate ids are made distinct
+    before any vector is attached.  A bucket with more than ``hot_bucket_rows``
+    history rows is salted, its new rows copied once per salt.  The bucket length
+    should match the spread of the vectors: wide buckets make all pairs
+    candidates, narrow ones lose pairs."""
+    first = new.select(F.size("articlevector").alias("n")).first()
+    if first is None:  # no new article: no pair
+        return new.sparkSession.createDataFrame([], "article_id long, similar_id long, distance double")
+    directions = lsh_directions(first.n, num_hash_tables, seed)
+    buckets = F.array(
+        *[
+            F.floor(vec.dot(F.col("articlevector"), F.array(*[F.lit(x) for x in u])) / F.lit(bucket_length))
+            for u in directions
+        ]
+    )
+    key = ["_t", "_b"]
+    h = history.select(F.col("article_id").alias("similar_id"), F.posexplode(buckets).alias(*key))
+    n = new.select("article_id", F.posexplode(buckets).alias(*key))
+    # at most |history| x tables / hot_bucket_rows rows
+    hot = (
+        h.groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > hot_bucket_rows)
+        .select(*key, F.ceil(F.col("_rows") / F.lit(hot_bucket_rows)).cast("int").alias("_salts"))
+    )
+    hot = materialize(hot)
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    h = h.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64("similar_id"), salts).cast("int"))
+    n = n.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    pairs = h.drop("_salts").join(n.drop("_salts"), [*key, "_salt"]).select("article_id", "similar_id").distinct()
+    return _pairs_distances(pairs.where("article_id <> similar_id"), new, history, threshold)
+
+
+def similar_mllib_lsh(
     new: DataFrame,
     history: DataFrame,
     threshold: float = DISTANCE_THRESHOLD,
@@ -159,7 +227,8 @@ def similar_lsh(
     num_hash_tables: int = LSH_HASH_TABLES,
     seed: int = LSH_SEED,
 ) -> DataFrame:
-    """Approximate version with MLlib's bucketed random projection LSH."""
+    """The reference's operator, MLlib's approxSimilarityJoin: it shuffles both
+    vectors with every candidate pair, so it is kept for comparison only."""
     to_vec = lambda df: df.select(
         "article_id", array_to_vector("articlevector").alias("articlevector")
     )

@@ -3,8 +3,8 @@
 Semantics (those of MLlib's CountVectorizer + IDF as the reference uses them):
 
 * vocabulary: words with document frequency >= ``min_df`` (a count, or a
-  fraction of the documents when < 1), the ``vocab_size`` most frequent by
-  corpus count; index = rank by (count desc, word asc).  MLlib breaks count
+  fraction of the documents when < 1), all of them or the ``vocab_size`` most
+  frequent by corpus count (the reference passes PARITY_VOCAB_SIZE); index = rank by (count desc, word asc).  MLlib breaks count
   ties arbitrarily; the word order makes the index reproducible.
 * idf = ln((m + 1) / (df + 1)), m = number of articles (also those without a
   token); a word in every article gets 0 and stays.
@@ -33,7 +33,7 @@ from quire.functions.lineage import materialize
 from quire.functions.ranking import consecutive_index, top_k_per_group
 
 # Fixed values of the reference's keyword stage.
-VOCAB_SIZE = 2_000_000
+PARITY_VOCAB_SIZE = 2_000_000
 MIN_DF = 1.0
 TOP_K = 20
 WEIGHT_DECIMALS = 4
@@ -69,7 +69,7 @@ def cap_count(stats: DataFrame, vocab_size: int) -> Column:
 def fit_vocabulary(
     tf: DataFrame,
     n_docs: Column,
-    vocab_size: int = VOCAB_SIZE,
+    vocab_size: int | None = None,
     min_df: float = MIN_DF,
 ) -> DataFrame:
     """(keyword, count, df, idf, index) from a term-frequency table."""
@@ -78,9 +78,11 @@ def fit_vocabulary(
     )
     floor = F.lit(min_df) if min_df >= 1.0 else F.lit(min_df) * n_docs
     stats = stats.where(F.col("df") >= floor)
-    stats = stats.where(F.col("count") >= cap_count(stats, vocab_size))
+    if vocab_size is not None:
+        stats = stats.where(F.col("count") >= cap_count(stats, vocab_size))
     ranked = consecutive_index(stats, [F.col("count").desc(), F.col("word").asc()])
-    ranked = ranked.where(F.col("index") < vocab_size)
+    if vocab_size is not None:
+        ranked = ranked.where(F.col("index") < vocab_size)
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     vocabulary = ranked.select(
         F.col("word").alias("keyword"),
@@ -89,8 +91,8 @@ def fit_vocabulary(
         idf.alias("idf"),
         F.col("index"),
     )
-    # at most vocab_size rows, read several times downstream (scoring join,
-    # its size check, stop words, word vectors): store it once
+    # read several times downstream (scoring join, its size check, stop words,
+    # word vectors): store it once
     return materialize(vocabulary)
 
 
@@ -147,7 +149,7 @@ def keyword_stage(
     articles: DataFrame,
     vocabulary: DataFrame | None = None,
     k: int = TOP_K,
-    vocab_size: int = VOCAB_SIZE,
+    vocab_size: int | None = None,
     min_df: float = MIN_DF,
 ) -> tuple[DataFrame, DataFrame]:
     """Full build (vocabulary fitted on ``tokens``) or incremental scoring
@@ -160,7 +162,7 @@ def keyword_stage_from_tf(
     articles: DataFrame,
     vocabulary: DataFrame | None = None,
     k: int = TOP_K,
-    vocab_size: int = VOCAB_SIZE,
+    vocab_size: int | None = None,
     min_df: float = MIN_DF,
 ) -> tuple[DataFrame, DataFrame]:
     """As ``keyword_stage`` from a term-frequency table; pass a materialized

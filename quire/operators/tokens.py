@@ -41,16 +41,31 @@ def tokenize(
     return tokens
 
 
-def token_arrays(articles: DataFrame) -> DataFrame:
+def token_arrays(
+    articles: DataFrame, stop_words: DataFrame | None = None, lexicon: DataFrame | None = None
+) -> DataFrame:
     """(article_id, channel_name, words, article_time) with the kept words of
-    each article in text order, built inside the row (no shuffle)."""
+    each article in text order, built inside the row (no shuffle) unless words
+    are filtered by a table."""
     raw = text.words(text.strip_html(F.col("sentence")))
-    return articles.select(
+    arrays = articles.select(
         "article_id",
         "channel_name",
         F.filter(raw, lambda w: text.keep_word(w)).alias("words"),
         "article_time",
     )
+    if stop_words is None and lexicon is None:
+        return arrays
+    toks = tokenize(articles.select("article_id", "sentence"), lexicon)
+    if stop_words is not None:
+        toks = remove_stop_words(toks, stop_words)
+    kept = toks.groupBy("article_id").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("_t"))
+    return (
+        arrays.drop("words")
+        .join(kept, "article_id", "left")
+        .withColumn("words", F.coalesce(F.col("_t.word"), F.array().cast("array<string>")))
+        .select("article_id", "channel_name", "words", "article_time")
+    )
 
 
 def remove_stop_words(

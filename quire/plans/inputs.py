@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.lineage import materialize, spread
-from quire.functions.windows import latest
+from quire.functions.windows import as_of_literal, latest
 from quire.operators import prepare, tfidf, tokens
 from quire.sources import adapters
 from quire.sources.tables import read_table
@@ -29,10 +29,21 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.prepare_articles(news(spark, sf_dir))
 
 
+def redelivered_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare.prepare_articles(adapters.redelivered(news(spark, sf_dir)))
+
+
 def news_as_of(spark: SparkSession, sf_dir: str):
     return latest(news(spark, sf_dir), "time")
 
 
+def as_of_value(spark: SparkSession, sf_dir: str):
+    """The newest publish time as a literal, so that window bounds are constants
+    in the plan (one aggregate over the id column, a single value)."""
+    newest = news(spark, sf_dir).select("time").agg(F.max("time")).first()[0]
+    return F.lit(None).cast("timestamp_ntz") if newest is None else as_of_literal(newest)
+
+
 def article_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     # spread the raw rows, so cleaning and concatenation also run in parallel
     arts = prepare.prepare_articles(spread(news(spark, sf_dir), "m_id"))
@@ -108,8 +119,14 @@ def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.behaviour_from_events(ev)
 
 
+# the recall job of the queries runs so long after the newest event: its 60-day
+# limit then leaves out older events
+RECALL_DELAY_DAYS = 45
+
+
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.operators.recall import user_item_clicks
 
     ev = read_table(spark, sf_dir, "events")
-    return user_item_clicks(behaviour(spark, sf_dir), latest(ev, "ts"))
+    as_of = latest(ev, "ts") + F.make_dt_interval(F.lit(RECALL_DELAY_DAYS))
+    return user_item_clicks(behaviour(spark, sf_dir), as_of)

@@ -12,6 +12,9 @@ common table expressions below restate the adapters and the stage rules:
 
 from __future__ import annotations
 
+from quire.operators.similar import lsh_directions
+from quire.plans.queries import CLOSER_THRESHOLD, LSH_BUCKET, LSH_TABLES, SIMILAR_THRESHOLD
+
 # --- shared CTEs ------------------------------------------------------------
 
 NEWS = r"""
@@ -22,7 +25,7 @@ news AS (
          CASE ((doc_id % 4) + 4) % 4
               WHEN 0 THEN NULL WHEN 1 THEN 'unknow' WHEN 2 THEN '[]'
               ELSE '["' || source || '", "' || lang || '"]' END AS source_tags,
-         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id * 43 AS BIGINT)) AS time
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST((doc_id % 64800) * 7919 % 64800 AS BIGINT)) AS time
   FROM documents
 )"""
 
@@ -84,8 +87,7 @@ SELECT keyword, "count", df, idf, index FROM (
   FROM (SELECT word, CAST(sum(tf) AS BIGINT) AS "count", count(*) AS df
         FROM {tf} GROUP BY word) s,
        (SELECT count(*) AS m FROM {docs}) d
-  WHERE s.df >= 1)
-WHERE index < 2000000"""
+  WHERE s.df >= 1)"""
 
 
 VOCAB = f"vocab AS ({vocab_of('tf', 'art')})"
@@ -127,6 +129,10 @@ ORACLE["article_prepare"] = with_ctes(*BASE) + "SELECT * FROM art"
 
 ORACLE["article_dedup"] = with_ctes(*BASE) + "SELECT DISTINCT * FROM art"
 
+ORACLE["html_words"] = f"""
+SELECT article_id AS page_id, pos, word
+FROM ({tokens_of('(SELECT page_id AS article_id, html AS sentence FROM pages)')})"""
+
 ORACLE["article_window"] = with_ctes(NEWS, AS_OF) + articles_from(
     """(SELECT n.* FROM news n, as_of
        WHERE n.time >= date_trunc('hour', as_of.t) + INTERVAL 30 MINUTE - INTERVAL 2 HOUR
@@ -202,6 +208,9 @@ FROM (SELECT article_id, min(channel_name) AS channel_name, CAST(count(*) AS INT
 JOIN (SELECT article_id, string_agg(topic, ',' ORDER BY pos) AS topics
       FROM topics GROUP BY article_id) t ON k.article_id = t.article_id"""
 
+ORACLE["keyword_index_table"] = with_ctes(*KEYWORDS) + """
+SELECT k.article_id, k.channel_name, v.index, k.tfidf FROM kw k JOIN vocab v ON v.keyword = k.keyword"""
+
 ORACLE["profile_explode"] = with_ctes(*KEYWORDS) + """
 SELECT article_id, channel_name, keyword, tfidf AS weight, article_time FROM kw"""
 
@@ -223,14 +232,66 @@ FROM (SELECT article_id, unnest(wvec) AS x, generate_subscripts(wvec, 1) AS i FR
 JOIN attrs a ON c.article_id = a.article_id
 GROUP BY c.article_id, a.channel_name, a.article_time, c.i"""
 
+ORACLE["article_vector_refresh"] = ORACLE["article_vector"].replace(
+    "GROUP BY c.article_id, a.channel_name, a.article_time, c.i",
+    """WHERE a.article_time >= (SELECT date_trunc('day', max(time)) - INTERVAL 2 DAY FROM news)
+  AND a.article_time < (SELECT date_trunc('day', max(time)) FROM news)
+GROUP BY c.article_id, a.channel_name, a.article_time, c.i""",
+)
+
+# words of an article in order, pairs up to 5 places apart, positive pointwise
+# mutual information, summed with the sign bits of the context word's MD5
+ORACLE["word_vectors"] = with_ctes(
+    *BASE,
+    TOK,
+    "seq AS (SELECT article_id, word, row_number() OVER (PARTITION BY article_id ORDER BY pos) AS i FROM tok)",
+    "kept AS (SELECT word FROM tok GROUP BY word HAVING count(*) >= 3)",
+    """near AS (SELECT x.word AS a, y.word AS b FROM seq x JOIN seq y
+               ON x.article_id = y.article_id AND y.i - x.i BETWEEN 1 AND 5)""",
+    """pairs AS (SELECT a, b, count(*) AS n FROM (SELECT a, b FROM near UNION ALL SELECT b, a FROM near)
+               WHERE a IN (SELECT word FROM kept) AND b IN (SELECT word FROM kept) GROUP BY a, b)""",
+    "margin AS (SELECT a, CAST(sum(n) AS DOUBLE) AS total FROM pairs GROUP BY a)",
+    """ppmi AS (SELECT p.a, p.b, ln(p.n * (SELECT sum(total) FROM margin) / (x.total * y.total)) AS pmi
+              FROM pairs p JOIN margin x ON x.a = p.a JOIN margin y ON y.a = p.b)""",
+    "dims AS (SELECT CAST(unnest(range(16)) AS INTEGER) AS pos)",
+) + """
+SELECT a AS word, pos, round(sum(pmi * (1 - 2 *
+    ((CAST('0x' || substr(md5(b || '#0'), 8 * (pos // 32) + 1, 8) AS BIGINT) >> (pos % 32)) & 1))), 3) + 0.0 AS x
+FROM ppmi, dims WHERE pmi > 0 GROUP BY a, pos"""
+
 ARTICLE_VECTORS = """
 av AS (SELECT vec_id AS article_id, CAST(embedding AS DOUBLE[]) AS v,
-              TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(vec_id * 43 AS BIGINT)) AS t
+              TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(
+                CASE WHEN vec_id % 10 = 0 THEN 64799 - (vec_id % 64800) * 7 % 90
+                     ELSE (vec_id % 64800) * 7919 % 64800 END AS BIGINT)) AS t
        FROM embeddings),
 av_as_of AS (SELECT max(t) AS t FROM av),
 new_av AS (SELECT av.* FROM av, av_as_of WHERE av.t >= date_trunc('hour', av_as_of.t) - INTERVAL 2 HOUR),
 hist_av AS (SELECT av.* FROM av, av_as_of WHERE av.t >= date_trunc('hour', av_as_of.t) - INTERVAL 30 DAY)"""
 
+def _lsh_pairs() -> str:
+    tables = " UNION ALL ".join(
+        f"SELECT {t} AS k, {u}::DOUBLE[] AS u" for t, u in enumerate(lsh_directions(64, LSH_TABLES))
+    )
+    return f"""
+dirs AS ({tables}),
+nb AS (SELECT article_id, v, k, floor(list_dot_product(v, u) / {LSH_BUCKET}) AS b FROM new_av, dirs),
+hb AS (SELECT article_id AS similar_id, v AS w, k, floor(list_dot_product(v, u) / {LSH_BUCKET}) AS b FROM hist_av, dirs),
+lsh AS (SELECT DISTINCT article_id, similar_id, round(d, 4) + 0.0 AS distance FROM (
+  SELECT article_id, similar_id,
+         sqrt(list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS d
+  FROM nb JOIN hb USING (k, b))
+  WHERE d < {SIMILAR_THRESHOLD} AND article_id <> similar_id AND d <> 0)"""
+
+
+LSH_PAIRS = _lsh_pairs()
+
+ORACLE["similar_articles_lsh"] = with_ctes(ARTICLE_VECTORS, LSH_PAIRS) + "SELECT * FROM lsh"
+
+ORACLE["similar_store_upsert"] = with_ctes(ARTICLE_VECTORS, LSH_PAIRS) + f"""
+SELECT *, CASE WHEN article_id % 20 = 0 THEN TIMESTAMP '2024-02-16' ELSE TIMESTAMP '2024-02-15' END AS computed_at
+FROM lsh WHERE article_id % 20 <> 0 OR distance < {CLOSER_THRESHOLD}"""
+
 ORACLE["similar_articles_exact"] = with_ctes(ARTICLE_VECTORS) + """
 SELECT article_id, similar_id, round(d, 4) + 0.0 AS distance FROM (
   SELECT n.article_id, h.article_id AS similar_id,
@@ -241,13 +302,14 @@ WHERE d < 1.2 AND article_id <> similar_id AND d <> 0"""
 # --- recall ------------------------------------------------------------------
 
 CLICKS = """
-beh AS (SELECT CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS articles,
+beh AS (SELECT CAST(user_id AS VARCHAR) AS user_id, CASE WHEN user_id % 3 = 0 THEN '"' || json_extract_string(props, '$.k') || '"'
+                    ELSE json_extract_string(props, '$.k') END AS articles,
                CAST(event_type = 'click' AS INTEGER) AS click_art, strftime(ts, '%Y-%m-%d') AS dt
         FROM events),
 ev_as_of AS (SELECT max(ts) AS t FROM events),
 clicks AS (SELECT b.user_id, replace(b.articles, '"', '') AS article_id, max(b.click_art) AS clicked
            FROM beh b, ev_as_of
-           WHERE b.dt > strftime(date_trunc('hour', ev_as_of.t) - INTERVAL 60 DAY, '%Y-%m-%d')
+           WHERE b.dt > strftime(date_trunc('hour', ev_as_of.t + INTERVAL 45 DAY) - INTERVAL 60 DAY, '%Y-%m-%d')
            GROUP BY b.user_id, replace(b.articles, '"', ''))"""
 
 ORACLE["user_item_clicks"] = with_ctes(CLICKS) + "SELECT user_id, article_id, clicked FROM clicks"
@@ -260,3 +322,25 @@ UNION ALL
 SELECT 'article' AS kind, article_id AS key,
        CAST(row_number() OVER (ORDER BY n DESC, article_id ASC) - 1 AS INTEGER) AS als_id
 FROM (SELECT article_id, count(*) AS n FROM clicks GROUP BY article_id)"""
+
+ORACLE["als_recall_coverage"] = with_ctes(CLICKS) + """
+SELECT user_id, CAST(least(50, (SELECT count(DISTINCT article_id) FROM clicks)) AS INTEGER) AS n_items,
+       least(50, (SELECT count(DISTINCT article_id) FROM clicks)) AS n_known
+FROM clicks GROUP BY user_id"""
+
+ORACLE["recall_table"] = with_ctes(
+    CLICKS,
+    """u AS (SELECT user_id, row_number() OVER (ORDER BY n DESC, user_id) - 1 AS i
+           FROM (SELECT user_id, count(*) AS n FROM clicks GROUP BY user_id))""",
+    """a AS (SELECT article_id, row_number() OVER (ORDER BY n DESC, article_id) - 1 AS i
+           FROM (SELECT article_id, count(*) AS n FROM clicks GROUP BY article_id))""",
+) + """
+SELECT t.user_id, CAST(count(*) AS INTEGER) AS n_items,
+       '[' || string_agg('"' || c.article_id || '"', ', ' ORDER BY c.clicked DESC, a.i) || ']' AS als_ids
+FROM clicks c JOIN u ON u.user_id = c.user_id JOIN a ON a.article_id = c.article_id JOIN u t ON t.i = u.i + 1
+GROUP BY t.user_id"""
+
+ORACLE["article_store_upsert"] = with_ctes(*BASE) + """
+SELECT article_id, channel_name, CASE WHEN article_id % 3 = 0 THEN 'edited' ELSE title END AS title,
+       CASE WHEN article_id % 3 = 0 THEN article_time + INTERVAL 1 DAY ELSE article_time END AS article_time
+FROM art WHERE article_id % 7 <> 0 OR article_id % 3 = 0 OR article_id % 5 = 0"""

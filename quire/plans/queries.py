@@ -9,20 +9,32 @@ only there.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.lineage import materialize, spread
-from quire.functions.windows import day_window, hourly_window
+from quire.functions.windows import day_window, hourly_window, in_window
 from quire.operators import prepare, tfidf, tokens
 from quire.operators.profile import explode_profile
-from quire.operators.recall import fit_als, index_keys, indexed_ratings, recall_lists, recommendations
+from quire.operators.recall import (
+    fit_als,
+    index_keys,
+    indexed_ratings,
+    map_back,
+    recall_lists,
+    recommendations,
+)
 from quire.operators.similar import similar_exact, similar_lsh
 from quire.operators.tokens import token_arrays
-from quire.operators.vectors import article_vectors, fit_word2vec, word_vector_table
+from quire.operators.vectors import article_vectors, cooccurrence_vectors
 from quire.plans import inputs
+from quire.session import checkpoint_dir
+from quire.sinks.writers import read_keyed, upsert_keyed
+from quire.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +44,11 @@ SCORE_DECIMALS = 6
 # embeddings are unit vectors (pair distances about 1.0 to 1.8), where the
 # reference's 380 would keep every pair
 SIMILAR_THRESHOLD = 1.2
+CLOSER_THRESHOLD = 1.1
+# projections of unit vectors of 64 components spread by about 0.125
+LSH_BUCKET, LSH_TABLES = 0.25, 6
+# components of the registered word vectors (production builds take 200)
+WORD_VECTOR_SIZE = 16
 
 
 def article_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,18 +56,26 @@ def article_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def article_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.dedup(inputs.articles(spark, sf_dir))
+    """Exact duplicates removed from a feed that delivers some rows again."""
+    return prepare.dedup(inputs.redelivered_articles(spark, sf_dir))
+
+
+def html_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the raw web pages after the tags are stripped."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
+    rows = spread(pages, "page_id").select(F.col("page_id").alias("article_id"), F.col("html").alias("sentence"))
+    return tokens.tokenize(rows).withColumnRenamed("article_id", "page_id")
 
 
 def article_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     news = inputs.news(spark, sf_dir)
-    bounds = hourly_window(inputs.news_as_of(spark, sf_dir))
+    bounds = hourly_window(inputs.as_of_value(spark, sf_dir))
     return prepare.prepare_articles(prepare.news_in_window(news, bounds))
 
 
 def article_window_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     news = inputs.news(spark, sf_dir)
-    bounds = day_window(inputs.news_as_of(spark, sf_dir), 1)
+    bounds = day_window(inputs.as_of_value(spark, sf_dir), 1)
     return prepare.prepare_articles(prepare.news_in_window(news, bounds))
 
 
@@ -59,10 +84,13 @@ def article_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = inputs.keyword_stage(spark, sf_dir)
-    return tokens.remove_stop_words(
-        inputs.article_tokens(spark, sf_dir), inputs.stop_words(stage.vocabulary)
-    )
+    """The stop list is written as a text file and read back by the list reader;
+    the text is tokenised once, for the list and for the output."""
+    toks = materialize(inputs.article_tokens(spark, sf_dir))
+    vocab = tfidf.fit_vocabulary(tfidf.term_frequency(toks), tfidf.document_count(inputs.articles(spark, sf_dir)))
+    path = os.path.join(checkpoint_dir(spark), "stop_words", uuid.uuid4().hex)
+    inputs.stop_words(vocab).write.text(path)
+    return tokens.remove_stop_words(toks, tokens.stop_words_from_text(spark, path))
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +127,7 @@ def article_keywords_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New articles (yesterday of the newest article) scored against the
     vocabulary and idf fitted on the articles published before them."""
     arts = prepare.prepare_articles(spread(inputs.news(spark, sf_dir), "m_id"))
-    start, end = day_window(inputs.news_as_of(spark, sf_dir), 1)
+    start, end = day_window(inputs.as_of_value(spark, sf_dir), 1)
     history = arts.where(F.col("article_time") < start)
     new = arts.where((F.col("article_time") >= start) & (F.col("article_time") < end))
     hist_tokens = tokens.tokenize(history.select("article_id", "sentence"))
@@ -155,16 +183,71 @@ def similar_articles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similar_articles_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new, history = inputs.new_and_history(spark, sf_dir)
-    return similar_lsh(new, history, threshold=SIMILAR_THRESHOLD)
+    new, history = (materialize(x) for x in inputs.new_and_history(spark, sf_dir))
+    return similar_lsh(new, history, SIMILAR_THRESHOLD, LSH_BUCKET, LSH_TABLES)
+
+
+def article_vector_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of the profiles of the last two whole days, one row per component."""
+    bounds = day_window(inputs.as_of_value(spark, sf_dir), 2)
+    rows = article_vector(spark, sf_dir)
+    return rows.where(in_window(F.col("article_time"), bounds))
+
+
+def keyword_index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords by vocabulary index: (article_id, channel_name, index, tfidf)."""
+    stage = inputs.keyword_stage(spark, sf_dir)
+    return stage.top.join(stage.articles.select("article_id", "channel_name"), "article_id").select(
+        "article_id", "channel_name", "index", "tfidf"
+    )
 
 
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word2Vec trained on the articles' kept words; (word, vector)."""
+    """Co-occurrence word vectors, one row per component."""
     arts = prepare.prepare_articles(spread(inputs.news(spark, sf_dir), "m_id"))
-    # MLlib reads its input twice (vocabulary, then training): tokenise once
     arrays = materialize(token_arrays(arts).select("words"))
-    return word_vector_table(fit_word2vec(arrays))
+    rows = cooccurrence_vectors(arrays, WORD_VECTOR_SIZE)
+    return rows.select("word", F.posexplode("vector").alias("pos", "x")).select(
+        "word", "pos", (F.round("x", 3) + F.lit(0.0)).alias("x")
+    )
+
+
+def _store(spark: SparkSession, name: str) -> str:
+    return os.path.join(checkpoint_dir(spark), "stores", f"{name}-{uuid.uuid4().hex}")
+
+
+def article_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article store after three deltas: all articles; every third again, a
+    day newer with another title, every fifth a day older (which changes
+    nothing) and every seventh without a row (which removes it); and a replay."""
+    arts = materialize(inputs.articles(spark, sf_dir).select("article_id", "channel_name", "title", "article_time"))
+    path, key = _store(spark, "articles"), ["article_id"]
+    upsert_keyed(spark, arts, path, key, "article_time")
+    day = F.make_dt_interval(F.lit(1))
+    kind = lambda n: F.pmod("article_id", F.lit(n)) == 0
+    newer = arts.where(kind(3)).withColumns({"title": F.lit("edited"), "article_time": F.col("article_time") + day})
+    older = arts.where(kind(5) & ~kind(3)).withColumns({"title": F.lit("late"), "article_time": F.col("article_time") - day})
+    gone = arts.where(kind(7) & ~kind(3) & ~kind(5)).select("article_id", "article_time")
+    for _ in range(2):
+        delta = newer.unionByName(older)
+        touched = delta.select("article_id", "article_time").unionByName(gone)
+        upsert_keyed(spark, delta, path, key, "article_time", touched)
+    return read_keyed(spark, path)
+
+
+def similar_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The similar-articles store after a first run and a second one that
+    recomputed the even articles with a closer threshold: their pairs are
+    replaced together, those that have none now are gone."""
+    found = materialize(similar_articles_lsh(spark, sf_dir))
+    path = _store(spark, "similar")
+    at = [F.lit(f"2024-02-1{d} 00:00:00").cast("timestamp_ntz") for d in (5, 6)]
+    upsert_keyed(spark, found.withColumn("computed_at", at[0]), path, ["article_id"], "computed_at")
+    even = found.where(F.pmod("article_id", F.lit(20)) == 0)
+    touched = even.select("article_id", at[1].alias("computed_at"))
+    closer = even.where(F.col("distance") < CLOSER_THRESHOLD).withColumn("computed_at", at[1])
+    upsert_keyed(spark, closer, path, ["article_id"], "computed_at", touched)
+    return read_keyed(spark, path)
 
 
 def user_item_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,6 +277,40 @@ def als_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recall_lists(recommendations(model, users, items))
 
 
+def als_recall_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the recall job must give whatever ALS learned: every user with a
+    click has a list of min(TOP_N, items) different known articles."""
+    items = inputs.clicks(spark, sf_dir).select("article_id").distinct()
+    rows = als_recall(spark, sf_dir).withColumn("article_id", F.explode(F.from_json("als_ids", "array<string>")))
+    known = rows.join(items, "article_id")
+    return known.groupBy("user_id").agg(
+        F.max("n_items").alias("n_items"), F.count_distinct("article_id").alias("n_known")
+    )
+
+
+def recall_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tail of the recall job on recommendations that follow from the
+    events: each user gets the items of the user behind, best first, with a
+    repeat of the best and an id that no article has; user ids without a
+    user drop out."""
+    clicks = materialize(inputs.clicks(spark, sf_dir))
+    users = index_keys(clicks, "user_id", "als_user_id")
+    items = index_keys(clicks, "article_id", "als_article_id")
+    rated = indexed_ratings(clicks, users, items)
+    pick = F.struct((-F.col("clicked")).alias("score"), "als_article_id")
+    lists = rated.groupBy("als_user_id").agg(F.sort_array(F.collect_list(pick)).alias("l"))
+    known = F.transform("l", lambda x: _recommended(x["als_article_id"], -x["score"]))
+    extra = F.array(_recommended(F.lit(-1), F.lit(0.5)), _recommended(F.element_at("l", 1)["als_article_id"], F.lit(0.4)))
+    recommended = lists.select(
+        (F.col("als_user_id") + 1).alias("als_user_id"), F.concat(known, extra).alias("recommendations")
+    )
+    return recall_lists(map_back(recommended, users, items))
+
+
+def _recommended(item, rating):
+    return F.struct(item.cast("int").alias("als_article_id"), rating.cast("float").alias("rating"))
+
+
 QUERIES: dict[str, Query] = {
     "article_prepare": article_prepare,
     "article_dedup": article_dedup,
@@ -216,4 +333,11 @@ QUERIES: dict[str, Query] = {
     "user_item_clicks": user_item_clicks,
     "als_index": als_index,
     "als_recall": als_recall,
+    "als_recall_coverage": als_recall_coverage,
+    "recall_table": recall_table,
+    "html_words": html_words,
+    "keyword_index_table": keyword_index_table,
+    "article_vector_refresh": article_vector_refresh,
+    "article_store_upsert": article_store_upsert,
+    "similar_store_upsert": similar_store_upsert,
 }

@@ -6,23 +6,28 @@ key-value stores.  Here every table is a Parquet directory written by name:
 * ``write_partitioned`` -- overwrite with dynamic partition overwrite: only
   the partitions present in the batch are replaced, so re-running a batch is
   idempotent (a repeated append would duplicate rows);
-* ``upsert_keyed`` -- keyed table, latest version per key wins.  Rows are
-  spread over hash buckets of the key (a partition column); an upsert reads
-  and rewrites only the buckets its batch touches, and rows inside a bucket
-  are ordered by version so time-window reads skip old row groups;
+* ``upsert_keyed`` / ``read_keyed`` -- keyed table of versioned deltas.  An
+  upsert appends one delta to the day partitions of its versions and reads or
+  rewrites nothing else, so its cost follows the batch, not the store.  A read
+  keeps the rows of each key's newest version; ``since`` prunes the days before a
+  time bound first (a key's newest version is in the range if any of them is);
+* ``compact`` -- folds the deltas of a store into one file set per day;
 * ``save_model`` / ``load_*`` -- MLlib model persistence.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import time
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from quire.functions.lineage import materialize
 
-KEY_BUCKETS = 64
-BUCKET_COL = "_bucket"
+# columns of a keyed store that readers never see: partition (day of the
+# version), write sequence (decides between equal versions), tombstone
+DAY_COL, SEQ_COL, GONE_COL = "_day", "_seq", "_gone"
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -35,9 +40,13 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str]) -> No
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None when the path does not exist; any other
+    problem with it (no schema, damaged files) is an error."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -47,64 +56,87 @@ def upsert_keyed(
     path: str,
     keys: list[str],
     version_col: str,
-    buckets: int = KEY_BUCKETS,
+    touched: DataFrame | None = None,
 ) -> None:
-    """Merge ``updates`` into the keyed table at ``path``: for each key, all
-    rows of its newest version are kept (greatest ``version_col``; on a tie
-    the update replaces the stored rows).  A key may own several rows (the
-    keywords of one article): they are replaced together."""
-    upd = updates.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    upd = upd.withColumn("_src", F.lit(1))
-    existing = read_if_exists(spark, path)
-    if existing is not None:
-        # at most ``buckets`` rows: a bounded broadcast; partition pruning
-        # keeps the untouched buckets unread
-        touched = F.broadcast(upd.select(BUCKET_COL).distinct())
-        old = existing.join(touched, BUCKET_COL, "left_semi").withColumn("_src", F.lit(0))
-        merged = old.unionByName(upd.select(*old.columns))
-    else:
-        merged = upd
-    newest = Window.partitionBy(*keys).orderBy(F.col(version_col).desc(), F.col("_src").desc())
-    latest = merged.withColumn("_rank", F.rank().over(newest)).where(F.col("_rank") == 1)
-    latest = latest.drop("_rank", "_src")
-    # cut the lineage to the files about to be replaced
-    latest = materialize(latest)
-    # rows sorted by version inside each bucket: the Parquet row-group
-    # min/max of the version column let a time-window read (the 30-day
-    # history of the similarity job) skip old row groups
-    write_partitioned(latest.sortWithinPartitions(BUCKET_COL, version_col), path, [BUCKET_COL])
+    """Append ``updates`` as a delta: for each key, all rows of its newest
+    version are the ones read back (greatest ``version_col``; of equal versions
+    the one written last).  A key may own several rows (the keywords of one
+    article): they are replaced together.
+
+    ``touched`` (keys and version) lists every key the batch recomputed: one
+    without rows in ``updates`` loses its older rows (a tombstone).  The delta
+    is evaluated once, also when it reads the store itself, and a batch that
+    is written again, after a failure or not, changes nothing."""
+    delta = updates.withColumn(GONE_COL, F.lit(False))
+    if touched is not None:
+        # narrow: keys and versions only
+        left = touched.select(*keys, version_col).distinct()
+        left = left.join(updates.select(*keys).distinct(), keys, "left_anti")
+        delta = delta.unionByName(left.withColumn(GONE_COL, F.lit(True)), allowMissingColumns=True)
+    delta = materialize(delta.withColumn(DAY_COL, F.to_date(version_col)))
+    sequence = F.lit(time.time_ns()).alias(SEQ_COL, metadata={"keys": keys, "version": version_col})
+    # one group of files per day, large days split and small ones packed by AQE;
+    # rows in version order, so a time bound skips row groups inside a day
+    (
+        delta.select("*", sequence)
+        .hint("rebalance", F.col(DAY_COL))
+        .sortWithinPartitions(DAY_COL, version_col, *keys)
+        .write.mode("append")
+        .partitionBy(DAY_COL)
+        .parquet(path)
+    )
+
+
+def _newest(stored: DataFrame) -> DataFrame:
+    about = stored.schema[SEQ_COL].metadata
+    order = Window.partitionBy(*about["keys"]).orderBy(
+        F.col(about["version"]).desc_nulls_last(), F.col(SEQ_COL).desc()
+    )
+    return stored.withColumn("_rank", F.rank().over(order)).where(F.col("_rank") == 1).drop("_rank")
+
+
+def read_keyed(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """The current rows of a keyed store; with ``since`` those whose version is
+    at or after it (days before are not read)."""
+    stored = spark.read.parquet(path)
+    if since is not None:
+        stored = stored.where(F.col(DAY_COL) >= F.to_date(since))
+    rows = _newest(stored).where(~F.col(GONE_COL))
+    if since is not None:
+        rows = rows.where(F.col(stored.schema[SEQ_COL].metadata["version"]) >= since)
+    return rows.drop(DAY_COL, SEQ_COL, GONE_COL)
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Replace the deltas of every day by the rows that still count.  Days that
+    hold nothing current keep their (outdated, never read back) files."""
+    stored = spark.read.parquet(path)
+    about = stored.schema[SEQ_COL].metadata
+    current = materialize(_newest(stored))
+    kept = current.withColumn(SEQ_COL, F.col(SEQ_COL).alias(SEQ_COL, metadata=about))
+    ordered = kept.hint("rebalance", F.col(DAY_COL)).sortWithinPartitions(
+        DAY_COL, about["version"], *about["keys"]
+    )
+    write_partitioned(ordered, path, [DAY_COL])
 
 
 def unseen_versions(
-    spark: SparkSession,
-    updates: DataFrame,
-    path: str,
-    keys: list[str],
-    version_col: str,
-    buckets: int = KEY_BUCKETS,
+    spark: SparkSession, updates: DataFrame, path: str, keys: list[str], version_col: str, hash_col: str
 ) -> DataFrame:
-    """Rows of ``updates`` that are newer than what the keyed table at
-    ``path`` stores for their key (all rows when the table does not exist).
-    Only the buckets the updates touch are read."""
-    existing = read_if_exists(spark, path)
-    if existing is None:
+    """Rows of ``updates`` that the keyed table at ``path`` (keys, version,
+    content hash) does not list yet: newer, or of the same version with other
+    content.  All rows when the table does not exist.  Narrow columns only are
+    read and joined."""
+    if read_if_exists(spark, path) is None:
         return updates
-    upd = updates.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    touched = F.broadcast(upd.select(BUCKET_COL).distinct())  # at most ``buckets`` rows
-    stored = (
-        existing.join(touched, BUCKET_COL, "left_semi")
-        .groupBy(*keys)
-        .agg(F.max(version_col).alias("_stored"))
-    )
-    fresh = upd.join(stored, keys, "left").where(
-        F.col("_stored").isNull() | (F.col(version_col) > F.col("_stored"))
+    stored = read_keyed(spark, path).select(
+        *keys, F.col(version_col).alias("_stored"), F.col(hash_col).alias("_stored_hash")
     )
+    newer = F.col(version_col) > F.col("_stored")
+    edited = (F.col(version_col) == F.col("_stored")) & (F.col(hash_col) != F.col("_stored_hash"))
+    fresh = updates.join(stored, keys, "left").where(F.col("_stored").isNull() | newer | edited)
     return fresh.select(*updates.columns)
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET_COL)
-
-
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)

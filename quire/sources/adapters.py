@@ -19,18 +19,34 @@ from pyspark.sql import functions as F
 
 from quire.functions.vectors import as_double_array
 
-# Fixed values of the synthetic article clock: article i is published
-# ARTICLE_SPACING_MINUTES * i minutes after ARTICLE_EPOCH.
+# Fixed values of the synthetic article clock: ids are spread over 45 days by
+# a prime step, so every window grows with the table and the 30-day history
+# leaves rows out.  Any bigint id has a time.
 ARTICLE_EPOCH = "2024-01-01 00:00:00"
-ARTICLE_SPACING_MINUTES = 43
+ARTICLE_PERIOD_MINUTES = 45 * 24 * 60
+ARTICLE_STEP_MINUTES = 7919
 
 
-def article_clock(article_id: Column) -> Column:
+def _at_minute(minute: Column) -> Column:
     return F.lit(ARTICLE_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), (article_id * ARTICLE_SPACING_MINUTES).cast("int")
+        F.lit(0), F.lit(0), minute.cast("int")
     )
 
 
+def article_clock(article_id: Column) -> Column:
+    period = F.lit(ARTICLE_PERIOD_MINUTES)
+    place = F.pmod(article_id, period) * ARTICLE_STEP_MINUTES
+    return _at_minute(F.pmod(place, period))
+
+
+def vector_clock(article_id: Column) -> Column:
+    """As ``article_clock``, but every tenth vector is from the last 90 minutes:
+    the "new" side of the similarity join is a tenth of the table."""
+    place = F.pmod(F.pmod(article_id, F.lit(ARTICLE_PERIOD_MINUTES)) * 7, F.lit(90))
+    recent = _at_minute(F.lit(ARTICLE_PERIOD_MINUTES - 1) - place)
+    return F.when(F.pmod(article_id, F.lit(10)) == 0, recent).otherwise(article_clock(article_id))
+
+
 def synthetic_source_tags(doc_id: Column, source: Column, lang: Column) -> Column:
     """Tag text covering every branch of the topics rule: null, the
     placeholder, a too-short list and a real list."""
@@ -60,11 +76,22 @@ def news_from_documents(documents: DataFrame) -> DataFrame:
     )
 
 
+def redelivered(news: DataFrame) -> DataFrame:
+    """Raw rows as an overlapping feed delivers them: every tenth comes twice,
+    every hundredth three times."""
+    times = F.when(F.pmod("m_id", F.lit(100)) == 3, 3).when(F.pmod("m_id", F.lit(10)) == 3, 2).otherwise(1)
+    copies = news.withColumn("_copy", F.explode(F.sequence(F.lit(1), times)))
+    return copies.drop("_copy")
+
+
 def behaviour_from_events(events: DataFrame) -> DataFrame:
-    """Behaviour rows (user_id, articles, click_art, dt) from ``events``."""
+    """Behaviour rows (user_id, articles, click_art, dt) from ``events``; the
+    item ids of every third user carry quotes, as some feeds write them."""
+    item = F.get_json_object("props", "$.k")
+    quoted = F.concat(F.lit('"'), item, F.lit('"'))
     return events.select(
         F.col("user_id").cast("string").alias("user_id"),
-        F.get_json_object("props", "$.k").alias("articles"),
+        F.when(F.pmod("user_id", F.lit(3)) == 0, quoted).otherwise(item).alias("articles"),
         (F.col("event_type") == "click").cast("int").alias("click_art"),
         F.date_format("ts", "yyyy-MM-dd").alias("dt"),
     )
@@ -85,5 +112,5 @@ def article_vectors_from_embeddings(embeddings: DataFrame) -> DataFrame:
         F.col("vec_id").alias("article_id"),
         F.col("label").cast("string").alias("channel_name"),
         as_double_array(F.col("embedding")).alias("articlevector"),
-        article_clock(F.col("vec_id")).alias("article_time"),
+        vector_clock(F.col("vec_id")).alias("article_time"),
     )

@@ -4,17 +4,14 @@ The reference re-reads the last two hours of raw news every hour, so each row
 is processed twice and rows outside the cron hours are never processed.  Here
 new raw files are picked up by a file-source stream instead:
 
-* re-delivered rows are recognised against the stored article table, not
-  with streaming state: a micro-batch keeps only (article id, time) versions
-  newer than the stored ones, reading just the key buckets it touches.  No
-  row is ever dropped for arriving late -- a watermark would silently discard
-  an article delivered more than ``lateness`` after newer ones -- and no state
-  grows with the stream.  ``state_lateness`` opts into Spark's
-  ``withWatermark`` + ``dropDuplicatesWithinWatermark`` instead (bounded
-  state, rows later than the lateness are dropped);
+* re-delivered rows are recognised against the stored list of processed
+  versions, not with streaming state: a micro-batch keeps only article versions
+  that list does not hold.  No row is dropped for arriving late and no state
+  grows with the stream;
 * each micro-batch goes through the same stage functions as the batch job
-  (``foreachBatch``), scored against the stored vocabulary, and written with
-  keyed upserts, so a replayed batch changes nothing;
+  (``foreachBatch``), similar pairs included, scored against the stored
+  vocabulary and written with keyed upserts; the list of processed versions is
+  written last, so a batch that failed half-way is replayed whole;
 * ``trigger(availableNow=True)`` processes what has arrived and stops (an
   hourly scheduler run); a long-running query uses a processing-time trigger.
 
@@ -29,40 +26,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from quire.functions.lineage import materialize, scratch_scope
-from quire.operators import prepare, profile, vectors
-from quire.plans.jobs import Stores, keyword_outputs
-from quire.sinks.writers import read_if_exists, unseen_versions, upsert_keyed
+from quire.functions.lineage import scratch_scope
+from quire.functions.windows import as_of_literal
+from quire.operators import prepare
+from quire.plans.jobs import Stores, process_articles
 
-def news_stream(
-    spark: SparkSession, source_dir: str, schema: StructType, state_lateness: str | None = None
-) -> DataFrame:
-    raw = spark.readStream.schema(schema).parquet(source_dir)
-    if state_lateness is None:
-        return raw
-    # event-time operators need TIMESTAMP (not TIMESTAMP_NTZ)
-    raw = raw.withColumn("time", F.col("time").cast("timestamp"))
-    return raw.withWatermark("time", state_lateness).dropDuplicatesWithinWatermark(["m_id", "time"])
 
-
-def process_batch(spark: SparkSession, stores: Stores, batch: DataFrame) -> None:
-    with scratch_scope(spark):
-        _process_batch(spark, stores, batch)
+def news_stream(spark: SparkSession, source_dir: str, schema: StructType) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(source_dir)
 
 
-def _process_batch(spark: SparkSession, stores: Stores, batch: DataFrame) -> None:
-    news = batch.withColumn("time", F.col("time").cast("timestamp_ntz"))
-    arts = prepare.latest_per_article(prepare.dedup(prepare.prepare_articles(news), None))
-    arts = materialize(unseen_versions(spark, arts, stores.articles, ["article_id"], "article_time"))
-    if arts.isEmpty():
-        return
-    upsert_keyed(spark, arts, stores.articles, ["article_id"], "article_time")
-    vocab = spark.read.parquet(stores.vocabulary)
-    _, _, prof = keyword_outputs(spark, stores, arts, vocab)
-    wv = read_if_exists(spark, stores.word_vectors)
-    if wv is not None:
-        av = vectors.article_vectors(profile.explode_profile(prof), wv)
-        upsert_keyed(spark, av, stores.article_vectors, ["article_id"], "article_time")
+def process_batch(
+    spark: SparkSession, stores: Stores, batch: DataFrame, threshold: float, **options
+) -> None:
+    """One micro-batch; its as-of time is its newest article's."""
+    with scratch_scope(spark):
+        news = batch.withColumn("time", F.col("time").cast("timestamp_ntz"))
+        newest = news.agg(F.max("time")).first()[0]
+        if newest is None:
+            return
+        arts = prepare.latest_per_article(prepare.dedup(prepare.prepare_articles(news)))
+        process_articles(spark, stores, arts, as_of_literal(newest), threshold, **options)
 
 
 def start_incremental(
@@ -71,14 +55,16 @@ def start_incremental(
     schema: StructType,
     stores: Stores,
     checkpoint_location: str,
+    threshold: float,
     available_now: bool = True,
     processing_time: str = "1 hour",
-    state_lateness: str | None = None,
+    **options,
 ) -> StreamingQuery:
-    stream = news_stream(spark, source_dir, schema, state_lateness)
-    writer = (
-        stream.writeStream.foreachBatch(lambda df, _epoch: process_batch(spark, stores, df))
-        .option("checkpointLocation", checkpoint_location)
-    )
+    """``threshold`` and ``options`` (exact, stop_words, lexicon) as in
+    ``hourly_update``."""
+    stream = news_stream(spark, source_dir, schema)
+    writer = stream.writeStream.foreachBatch(
+        lambda df, _epoch: process_batch(spark, stores, df, threshold, **options)
+    ).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
