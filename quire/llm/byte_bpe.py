@@ -82,12 +82,11 @@ def tokenizer(path: str, pattern: str):
 
 @lru_cache(maxsize=4)
 def byte_table(path: str) -> list[bytes]:
-    """Bytes of each id, read back from the alphabet spelling."""
-    back = {c: b for b, c in enumerate(byte_alphabet())}
-    model = tokenizer(path, public_tokenizers.PATTERN)
-    table = [b""] * (max(model.get_vocab().values(), default=-1) + 1)
-    for spelled, i in model.get_vocab().items():
-        table[i] = bytes(back[c] for c in spelled)
+    """Bytes of each id: the byte table read backwards (no model is loaded)."""
+    ranks = read_ranks(path)
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, i in ranks.items():
+        table[i] = token
     return table
 
 
@@ -102,6 +101,7 @@ def encode_texts(texts: list[str], path: str, pattern: str) -> tuple[list, list]
 # reach over the cut in front of a space.
 _RUN = re.compile(r"\s (?:\s|\Z)")
 # chunks a worker remembers, about 200 bytes each; forgotten together when full
+# and at the end of a task
 CACHED_CHUNKS = 800_000
 MARKS = (",", ".")
 _known: dict[tuple[str, str], dict[str, bytes]] = {}
@@ -153,8 +153,9 @@ def decode_pieces(ids, path: str) -> list[str]:
     return pieces
 
 
-def _append(df: DataFrame, fields: list[T.StructField], run) -> DataFrame:
-    """``df`` with columns that ``run`` computes from each Arrow batch."""
+def _append(df: DataFrame, fields: list[T.StructField], run, done=lambda: None) -> DataFrame:
+    """``df`` with columns that ``run`` computes from each Arrow batch; ``done``
+    is called after the last one of a task."""
     bounded_batches(df.sparkSession)
     out = {f.name.lower() for f in fields}
     stay = [i for i, c in enumerate(df.columns) if c.lower() not in out]
@@ -166,6 +167,7 @@ def _append(df: DataFrame, fields: list[T.StructField], run) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(i) for i in stay), *columns], names=schema.names
             )
+        done()
 
     return df.mapInArrow(over, schema)
 
@@ -199,7 +201,8 @@ def encode(
             out.append(pa.array([np.array(x, "<u4").tobytes() for x in spans], pa.binary()))
         return out
 
-    return _append(df, fields, run)
+    # the worker outlives the task: other stages need the memory of what it remembers
+    return _append(df, fields, run, _known.clear)
 
 
 def decode(df: DataFrame, ids: str = "ids", path: str | None = None, prefix: str = "") -> DataFrame:

@@ -55,6 +55,9 @@ REACH = LENGTH - GRAM  # an anchor starts at most so many bytes into its window
 CHUNK = 1 << 18
 PLACE = np.uint64((1 << 21) - 1)
 BLOCK_BYTES = 16 << 20
+# partitions of the suffix arrays per shuffle partition: fragments are several
+# times the text, and a task holds those of its partition
+PARTS = 2
 
 
 def fragments(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -189,9 +192,11 @@ class SuffixArray:
     """Enhanced suffix array over the anchored suffixes of fragments."""
 
     def __init__(self, doc, lo, length, at, base, data):
-        """``base``: where each fragment's bytes start in ``data``."""
+        """``data``: arrays of the fragments' bytes, ``base``: where each fragment
+        starts in their concatenation."""
         front = 96
-        padded = np.concatenate([np.zeros(front, np.uint8), data, np.zeros(128, np.uint8)])
+        padded = np.concatenate([np.zeros(front, np.uint8), *data, np.zeros(128, np.uint8)])
+        data.clear()  # one copy is enough
         big, little = _words(padded, ">u8"), _words(padded, "<u8")
         place = base + at + front
         gram = mix64(mix64(mix64(big[place].astype(np.uint64)) + big[place + 8]) + (big[place + 16] >> np.uint64(32)))
@@ -318,7 +323,7 @@ class SuffixArray:
 def _repeats(keyed: DataFrame, text: str, spans_only: bool) -> DataFrame:
     spark = keyed.sparkSession
     bounded_batches(spark)
-    parts = shuffle_partitions(spark)
+    parts = PARTS * shuffle_partitions(spark)
     routed_schema = "part int, block binary, " + GROUPS
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,8 +365,9 @@ def _repeats(keyed: DataFrame, text: str, spans_only: bool) -> DataFrame:
             blocks += [unpack(x.as_py()) for x in b.column(1) if x.is_valid]
         if not blocks:
             return
-        doc, lo, length, at, data = (np.concatenate(c) for c in zip(*blocks))
+        *columns, data = map(list, zip(*blocks))
         del blocks
+        doc, lo, length, at = map(np.concatenate, columns)
         array = SuffixArray(doc, lo, length, at, np.cumsum(length) - length, data)
         if spans_only:
             yield array.repeated_spans()

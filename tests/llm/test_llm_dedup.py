@@ -29,7 +29,8 @@ def _route_and_scan(docs: dict[int, bytes], parts: int, rnd: random.Random):
             routed[p].append(b)
     groups = {}
     for blocks in filter(None, routed.values()):
-        doc, lo, length, at, data = (np.concatenate(c) for c in zip(*map(suffix_dedup.unpack, blocks)))
+        *columns, data = map(list, zip(*map(suffix_dedup.unpack, blocks)))
+        doc, lo, length, at = map(np.concatenate, columns)
         array = suffix_dedup.SuffixArray(doc, lo, length, at, np.cumsum(length) - length, data)
         for r in array.repeated_spans().to_pylist():
             got[r["doc"]][r["start"] : r["start"] + r["length"]] = True
