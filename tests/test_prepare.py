@@ -102,13 +102,15 @@ def test_scale_conf_sizes_partitions():
     assert int(scale_conf(1024, 8)["spark.sql.shuffle.partitions"]) == 24
 
 
-def test_dedup_paths_equal_drop_duplicates(spark):
+def test_dedup_equals_drop_duplicates(spark):
     base = [(i, f"text {i % 7}", "c", None, None, None, "s", None, ts("2024-01-02 10:00:00")) for i in range(60)]
     hot = [(1000, "copy", "c", None, None, None, "s", None, ts("2024-01-02 10:00:00"))] * 90  # a hot group of copies
     rows = base + base[:10] + hot
     arts = prepare.prepare_articles(news(spark, rows).repartition(5))
     expect = sorted(tuple(r) for r in arts.dropDuplicates().collect())
-    for groups in (None, 0, 1000):  # plain, fallback, hashed
-        got = sorted(tuple(r) for r in prepare.dedup(arts, groups).collect())
+    for threshold in ("-1", "10m"):  # the repeated hashes shuffled, broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        got = sorted(tuple(r) for r in prepare.dedup(arts).collect())
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert got == expect
     assert len(expect) == 61
