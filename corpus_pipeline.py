@@ -58,8 +58,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids and the digests of the ids and of the bytes they decode to."""
     path = public_tokenizers.path(byte_bpe.RANKS)
-    coded = byte_bpe.encode(docs.select("doc_id", "source", "text"), path=path).drop("text")
-    return byte_bpe.decode(coded, path=path).select(
+    return byte_bpe.encode(docs.select("doc_id", "source", "text"), path=path, decoded=True).select(
         "doc_id",
         "source",
         "n_tokens",

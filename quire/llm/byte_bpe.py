@@ -179,15 +179,18 @@ def encode(
     pattern: str = public_tokenizers.PATTERN,
     offsets: bool = False,
     prefix: str = "",
+    decoded: bool = False,
 ) -> DataFrame:
     """Add ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit words), with
     ``offsets`` also ``spans`` (pairs of little-endian 32-bit character
-    positions), each name behind ``prefix``."""
+    positions), with ``decoded`` also what ``decode`` makes of the ids, in the same
+    pass; each name behind ``prefix``."""
     path = path or public_tokenizers.path(RANKS)
     fields = [
         T.StructField(prefix + "n_tokens", T.LongType()),
         T.StructField(prefix + "ids", T.BinaryType()),
     ] + [T.StructField(prefix + "spans", T.BinaryType())] * offsets
+    fields += [T.StructField(prefix + "decoded", T.BinaryType())] * decoded
 
     def run(b: pa.RecordBatch):
         texts = [t or "" for t in b.column(b.schema.names.index(text)).to_pylist()]
@@ -199,19 +202,24 @@ def encode(
         out = [pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(packed, pa.binary())]
         if offsets:
             out.append(pa.array([np.array(x, "<u4").tobytes() for x in spans], pa.binary()))
+        if decoded:
+            out.append(_decoded(packed, path))
         return out
 
     # the worker outlives the task: other stages need the memory of what it remembers
     return _append(df, fields, run, _known.clear)
 
 
+def _decoded(packed: list[bytes | None], path: str) -> pa.Array:
+    out = [decode_bytes(np.frombuffer(x or b"", "<u4").tolist(), path) for x in packed]
+    return pa.array(out, pa.binary())
+
+
 def decode(df: DataFrame, ids: str = "ids", path: str | None = None, prefix: str = "") -> DataFrame:
     """Add ``decoded``: the bytes of packed ``ids`` (null: empty)."""
     path = path or public_tokenizers.path(RANKS)
 
     def run(b: pa.RecordBatch):
-        packed = b.column(b.schema.names.index(ids)).to_pylist()
-        out = [decode_bytes(np.frombuffer(x or b"", "<u4").tolist(), path) for x in packed]
-        return [pa.array(out, pa.binary())]
+        return [_decoded(b.column(b.schema.names.index(ids)).to_pylist(), path)]
 
     return _append(df, [T.StructField(prefix + "decoded", T.BinaryType())], run)

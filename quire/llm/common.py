@@ -42,9 +42,11 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small (a batch of long texts must fit a Python worker),
-    and make sure the workers can import the package."""
+    """Keep batches of texts small, those of the Parquet reader (its column
+    arrays are large objects in the executor's heap) and those sent to Python
+    workers, and make sure the workers can import the package."""
     ship_package(spark)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

@@ -58,7 +58,7 @@ from quire.llm.common import (
 
 SHINGLE, PERCENT = 4, 85
 SAMPLED = 4  # one shingle in so many takes part in the test for shared shingles
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 BLOCK_DOCS, BLOCK_TOKENS = 1024, 1 << 20
 SIGNATURE_BITS = 8192
 FANOUT = 16

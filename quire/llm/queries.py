@@ -56,8 +56,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the bytes they decode to."""
     path = public_tokenizers.path(byte_bpe.RANKS)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = byte_bpe.encode(docs, path=path).drop("text")
-    return byte_bpe.decode(coded, path=path).select(
+    return byte_bpe.encode(docs, path=path, decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -54,7 +54,7 @@ LENGTH, GRAM = 100, 20
 REACH = LENGTH - GRAM  # an anchor starts at most so many bytes into its window
 CHUNK = 1 << 18
 PLACE = np.uint64((1 << 21) - 1)
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # partitions of the suffix arrays per shuffle partition: fragments are several
 # times the text, and a task holds those of its partition
 PARTS = 2
