@@ -47,6 +47,8 @@ from quire.llm.toxicity import labelled_sample
 BITS = 16
 SAMPLE_ROWS = 20_000
 SMOOTHING = 1.0
+# a good text lost weighs as much as so many bad ones kept, share for share
+CAUTION = 10
 SEED = 11
 
 _WHITE, _WORD, _MARK = 0, 1, 2
@@ -129,13 +131,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     kind = np.array([r["_label"] > 0 for r in seen], bool)
     if not kind.any() or kind.all():
         return ratio, None
-    # level with the smallest sum of the two error shares, in the middle of its gap
+    # level with the smallest weighted sum of the two error shares, in the middle of its gap
     order = np.argsort(weights, kind="stable")
     w, k = weights[order], kind[order]
     lost = np.concatenate([[0], np.cumsum(k)]) / k.sum()
     kept = 1 - np.concatenate([[0], np.cumsum(~k)]) / (~k).sum()
     cut = np.concatenate([[True], w[1:] > w[:-1], [True]])
-    at = int(np.argmin(np.where(cut, lost + kept, 9)))
+    at = int(np.argmin(np.where(cut, CAUTION * lost + kept, np.inf)))
     edge = np.concatenate([[w[0] - 1], w, [w[-1] + 1]])
     return ratio, float((edge[at] + edge[at + 1]) / 2)
 
