@@ -1,9 +1,9 @@
 """quire: a Spark-native article recommendation pipeline.
 
 The package is a set of DataFrame functions ``f(inputs, params) -> DataFrame``.
-Nothing here collects data to the driver; every stage is expressed with
-DataFrame / Spark SQL / MLlib operators so Catalyst and AQE pick the physical
-plan.
+Every stage is expressed with DataFrame / Spark SQL / MLlib operators so Catalyst
+and AQE pick the physical plan; only single rows and bounded counts reach the
+driver (and MLlib's Word2Vec model, where that is asked for).
 
 Layout
 ------
