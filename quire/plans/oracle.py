@@ -219,7 +219,7 @@ SELECT article_id, channel_name, keyword, tfidf AS weight, article_time FROM kw"
 ORACLE["article_vector"] = with_ctes(
     *KEYWORDS,
     """wv AS (SELECT v.keyword AS word, CAST(e.embedding AS DOUBLE[]) AS vector
-              FROM vocab v JOIN embeddings e ON v.index = e.vec_id)""",
+              FROM vocab v JOIN embeddings e ON v.index % (SELECT count(*) FROM embeddings) = e.vec_id)""",
     """wvec AS (SELECT DISTINCT k.article_id, list_transform(wv.vector, lambda x: x * k.tfidf) AS wvec
                 FROM kw k JOIN wv ON k.keyword = wv.word)""",
     """attrs AS (SELECT k.article_id, min(k.channel_name) AS channel_name,

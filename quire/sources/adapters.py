@@ -8,7 +8,7 @@ query's work grows with those tables:
 * raw news        <- documents (id, text, language, source; a deterministic
                      synthetic publish time and tag text)
 * behaviour       <- events (item = props.k, clicked = event_type 'click')
-* word vectors    <- vocabulary index joined to embeddings.vec_id
+* word vectors    <- vocabulary index, modulo their count, joined to embeddings.vec_id
 * article vectors <- embeddings (article id = vec_id)
 """
 
@@ -98,12 +98,13 @@ def behaviour_from_events(events: DataFrame) -> DataFrame:
 
 
 def word_vectors_from_embeddings(vocabulary: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """(word, vector) with the embedding whose vec_id equals the word's
-    vocabulary index; words without such an embedding have no vector."""
+    """(word, vector): the words take the embeddings in turn by vocabulary
+    index, so every word has a vector (of another word too, where there are more
+    words than embeddings)."""
     emb = embeddings.select(F.col("vec_id"), as_double_array(F.col("embedding")).alias("vector"))
-    return vocabulary.join(emb, vocabulary["index"] == emb["vec_id"]).select(
-        vocabulary["keyword"].alias("word"), "vector"
-    )
+    turn = F.pmod(F.col("index"), embeddings.select(F.count(F.lit(1))).scalar())
+    words = vocabulary.select(F.col("keyword").alias("word"), turn.alias("vec_id"))
+    return words.join(emb, "vec_id").select("word", "vector")
 
 
 def article_vectors_from_embeddings(embeddings: DataFrame) -> DataFrame:
