@@ -30,7 +30,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quire.llm.common import bounded_batches
+from quire.llm.common import bounded_batches, tidy
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -169,7 +169,7 @@ def _append(df: DataFrame, fields: list[T.StructField], run, done=lambda: None)
             )
         done()
 
-    return df.mapInArrow(over, schema)
+    return df.mapInArrow(tidy(over), schema)
 
 
 def encode(

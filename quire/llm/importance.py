@@ -40,6 +40,7 @@ from quire.llm.common import (
     document_groups,
     mix64,
     string_buffer,
+    tidy,
     without,
 )
 from quire.llm.toxicity import labelled_sample
@@ -98,7 +99,7 @@ def ngram_counts(texts: DataFrame) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
 
-    summed = texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    summed = texts.mapInArrow(tidy(count), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(1 << BITS)
     for r in summed.collect():  # at most 2^BITS rows
         out[r["bucket"]] = r["n"]
@@ -155,7 +156,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, text: str = "text", name: str = "l
             found = log_weights(*string_buffer(b.column(at)), ratio)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found)], names=[*b.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def gumbel(id_col: str, seed: int = SEED):

@@ -53,6 +53,7 @@ from quire.llm.common import (
     mix64,
     shuffle_partitions,
     string_buffer,
+    tidy,
     with_unique_key,
 )
 
@@ -180,11 +181,11 @@ def document_sets(keyed: DataFrame, text: str, words: int = SHINGLE) -> DataFram
             by_part = np.lexsort((doc, part))
             token, doc, part = token[by_part] // np.uint64(parts), doc[by_part], part[by_part]
             edge = np.flatnonzero(np.diff(part, prepend=-1))
-            for a, b in zip(edge, np.append(edge[1:], len(part))):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part[a]], pa.int32()), pa.array([_pack(doc[a:b], token[a:b])], pa.binary()), *[pa.nulls(1, pa.int64())] * 6],
-                    names=["part", "block", *_DOC_NAMES],
-                )
+            packed = [_pack(doc[a:b], token[a:b]) for a, b in zip(edge, np.append(edge[1:], len(part)))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[edge], pa.int32()), pa.array(packed, pa.binary()), *[pa.nulls(len(edge), pa.int64())] * 6],
+                names=["part", "block", *_DOC_NAMES],
+            )
 
         held, size = [], 0
         for b in batches:
@@ -221,8 +222,8 @@ def document_sets(keyed: DataFrame, text: str, words: int = SHINGLE) -> DataFram
                 [pa.array(who), none, none, none, none, pa.array(times.astype(np.int64))], names=_DOC_NAMES
             )
 
-    routed = keyed.select("_quire_key", F.col(text).alias("_text")).mapInArrow(route, "part int, block binary, " + _DOC)
-    seen = materialize(routed.repartitionById(parts, F.col("part")).mapInArrow(count, _DOC))
+    routed = keyed.select("_quire_key", F.col(text).alias("_text")).mapInArrow(tidy(route), "part int, block binary, " + _DOC)
+    seen = materialize(routed.repartitionById(parts, F.col("part")).mapInArrow(tidy(count), _DOC))
     return seen.groupBy("doc").agg(
         *[F.max(c).alias(c) for c in ("n", "sampled", "k1", "k2")], F.sum("shared").alias("shared")
     )
@@ -237,7 +238,7 @@ def full_sets(keyed: DataFrame, text: str, words: int = SHINGLE) -> DataFrame:
             tokens = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(value.view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(cuts)), tokens], names=["doc", "n", "tokens"])
 
-    return keyed.select("_quire_key", F.col(text).alias("_text")).mapInArrow(run, "doc long, n long, tokens array<long>")
+    return keyed.select("_quire_key", F.col(text).alias("_text")).mapInArrow(tidy(run), "doc long, n long, tokens array<long>")
 
 
 class SignatureTree:

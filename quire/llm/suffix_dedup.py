@@ -47,6 +47,7 @@ from quire.llm.common import (
     mix64,
     shuffle_partitions,
     string_buffer,
+    tidy,
     with_unique_key,
 )
 
@@ -54,10 +55,7 @@ LENGTH, GRAM = 100, 20
 REACH = LENGTH - GRAM  # an anchor starts at most so many bytes into its window
 CHUNK = 1 << 18
 PLACE = np.uint64((1 << 21) - 1)
-BLOCK_BYTES = 8 << 20
-# partitions of the suffix arrays per shuffle partition: fragments are several
-# times the text, and a task holds those of its partition
-PARTS = 2
+BLOCK_BYTES = 16 << 20
 
 
 def fragments(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -320,10 +318,27 @@ class SuffixArray:
         )
 
 
+def _united(groups: pa.RecordBatch) -> pa.RecordBatch:
+    """One span for each run of spans of a document that touch or overlap."""
+    if not groups.num_rows:
+        return groups
+    label, doc, start, length = (np.asarray(groups.column(c)) for c in range(4))
+    order = np.lexsort((start, doc))
+    label, doc, start, end = label[order], doc[order], start[order], (start + length)[order]
+    # ends that are reached so far, apart for each document
+    step = int(end.max()) + 1
+    place = np.cumsum(np.concatenate([[0], doc[1:] != doc[:-1]])) * step
+    reach = np.maximum.accumulate(end + place)
+    first = np.concatenate([[True], start[1:] + place[1:] > reach[:-1]])
+    at = np.flatnonzero(first)
+    last = np.append(at[1:], len(doc)) - 1
+    return _group_batch(label[at], doc[at], start[at], reach[last] - place[last] - start[at], np.zeros(len(at), bool))
+
+
 def _repeats(keyed: DataFrame, text: str, spans_only: bool) -> DataFrame:
     spark = keyed.sparkSession
     bounded_batches(spark)
-    parts = PARTS * shuffle_partitions(spark)
+    parts = shuffle_partitions(spark)
     routed_schema = "part int, block binary, " + GROUPS
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,16 +348,19 @@ def _repeats(keyed: DataFrame, text: str, spans_only: bool) -> DataFrame:
             sizes = np.concatenate([np.diff(o) for _, _, o in held])
             offsets = np.concatenate([[0], np.cumsum(sizes)])
             groups, packed = route_block(keys, raw, offsets, parts)
+            if groups is not None and spans_only:
+                groups = _united(groups)
             if groups is not None and groups.num_rows:
                 n = groups.num_rows
                 spread = pa.array(np.arange(n, dtype=np.int32) * 1009 // max(n, 1) % parts, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [spread, pa.nulls(n, pa.binary()), *groups.columns], names=["part", "block", *_NAMES]
                 )
-            for p, b in packed:
+            if packed:
+                p, b = zip(*packed)
+                none = [pa.nulls(len(p), c) for c in [pa.int64()] * 4 + [pa.bool_()]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p], pa.int32()), pa.array([b], pa.binary()), *[pa.nulls(1, c) for c in [pa.int64()] * 4 + [pa.bool_()]]],
-                    names=["part", "block", *_NAMES],
+                    [pa.array(p, pa.int32()), pa.array(b, pa.binary()), *none], names=["part", "block", *_NAMES]
                 )
 
         held, size = [], 0
@@ -374,8 +392,8 @@ def _repeats(keyed: DataFrame, text: str, spans_only: bool) -> DataFrame:
         else:
             yield from array.all_groups()
 
-    routed = keyed.select("_quire_key", F.col(text).alias("_text")).mapInArrow(route, routed_schema)
-    return routed.repartitionById(parts, F.col("part")).mapInArrow(scan, GROUPS)
+    routed = keyed.select("_quire_key", F.col(text).alias("_text")).mapInArrow(tidy(route), routed_schema)
+    return routed.repartitionById(parts, F.col("part")).mapInArrow(tidy(scan), GROUPS)
 
 
 def maximal_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -429,4 +447,4 @@ def remove_repeats(
                 [*b.columns[:k], *[pa.array(x, pa.int64()) for x in (size, removed, count)], rest_of], names=names
             )
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(tidy(cut), schema)

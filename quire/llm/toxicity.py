@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.lineage import materialize
-from quire.llm.common import SpanHash, bounded_batches, byte_codes, mix64, string_buffer
+from quire.llm.common import SpanHash, bounded_batches, byte_codes, mix64, string_buffer, tidy
 
 ORDERS = (3, 4, 5)
 BITS = 20
@@ -143,7 +143,7 @@ def fit(
     both = (F.col("p") + F.col("q") + 1) / (pos + neg + 2)
     surprise = F.abs(p - q) / F.sqrt(both * (1 - both * 0.999) * (1 / pos + 1 / neg))
     chosen = (
-        sample.mapInArrow(count, "bucket long, p long, q long")
+        sample.mapInArrow(tidy(count), "bucket long, p long, q long")
         .groupBy("bucket")
         .agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
         .select("bucket", F.log(p / q).alias("ratio"), surprise.alias("surprise"))
@@ -193,4 +193,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
             scores = model.scores(*string_buffer(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores)], names=[id_col, "score"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
