@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.lineage import materialize
@@ -72,6 +72,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
+def bounded_sample(df: DataFrame, id_col: str, columns: dict[str, Column], rows: int) -> list:
+    """``columns`` of the ``rows`` smallest hashes of the id, to the driver: ids
+    are chosen first, so a task sends ids only, whatever the columns' size."""
+    ids = df.select(F.col(id_col).alias("_sampled")).distinct()
+    ids = ids.orderBy(F.xxhash64("_sampled"), "_sampled").limit(rows)
+    found = df.join(F.broadcast(ids), F.col(id_col).eqNullSafe(F.col("_sampled")))
+    found = found.select("_sampled", *[c.alias(n) for n, c in columns.items()])
+    return found.dropDuplicates(["_sampled"]).orderBy("_sampled").collect()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

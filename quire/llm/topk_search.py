@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.lineage import materialize
-from quire.llm.common import bounded_batches, shuffle_partitions
+from quire.llm.common import bounded_batches, bounded_sample, shuffle_partitions
 from quire.llm.vectors import rows_of, usable
 
 SCALE = 64
@@ -132,7 +132,7 @@ def search(
     if facts["n"] != facts["ids"]:
         rows = rows.groupBy("id").agg(F.min("v").alias("v"), F.max("query").alias("query"))
     width = facts["width"] or 1
-    sample = rows.select("v").orderBy(F.xxhash64("id")).limit(PIVOTS).collect()
+    sample = bounded_sample(rows, "id", {"v": F.col("v")}, PIVOTS)
     pivots = _padded([np.array(r["v"]) for r in sample], width)
     pivots = pivots / np.maximum(np.linalg.norm(pivots, axis=1, keepdims=True), 1e-300)
 

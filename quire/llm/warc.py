@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import bounded_batches
+from quire.llm.common import bounded_batches, bounded_sample
 from quire.session import checkpoint_dir
 
 # fixed values of the format
@@ -52,13 +52,9 @@ def payload_digest(payload: bytes) -> str:
 
 def train_dictionary(pages: DataFrame, id_col: str, payload: str) -> bytes:
     """A dictionary fitted on a bounded sample; empty where there is too little."""
-    sample = (
-        pages.where(F.length(payload) > 0)
-        .select(F.substring(payload, 1, SAMPLE_BYTES).alias("head"), F.col(id_col).alias("id"))
-        .orderBy(F.xxhash64("id"), "head")
-        .limit(SAMPLE_PAGES)
-    )
-    heads = [r["head"].encode() for r in sample.collect()]
+    head = {"head": F.substring(payload, 1, SAMPLE_BYTES)}
+    sample = bounded_sample(pages.where(F.length(payload) > 0), id_col, head, SAMPLE_PAGES)
+    heads = [r["head"].encode() for r in sample]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, heads).as_bytes() if len(heads) > 7 else b""
     except zstandard.ZstdError:  # too few different samples
