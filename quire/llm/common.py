@@ -231,16 +231,21 @@ def document_groups(offsets: np.ndarray, limit: int = 500_000):
         i = j
 
 
+def ids_unique(df: DataFrame, id_col: str) -> bool:
+    """No id is null or occurs twice."""
+    ids = df.select(F.col(id_col).cast("long").alias("id"))
+    seen = ids.agg(
+        F.count(F.lit(1)).alias("n"), F.count("id").alias("known"), F.count_distinct("id").alias("distinct")
+    ).first()
+    return seen["n"] == seen["known"] == seen["distinct"]
+
+
 def with_unique_key(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """``df`` with a long ``_quire_key`` in the order of ``id_col`` that names each
     distinct (id, text): the id itself where ids are unique and not null.
     Repeated rows share a key; rows that share only the id, and null ids (first
     in order), are told apart by the hash of the text."""
-    ids = df.select(F.col(id_col).cast("long").alias("_quire_key"))
-    seen = ids.agg(
-        F.count(F.lit(1)).alias("n"), F.count("_quire_key").alias("known"), F.count_distinct("_quire_key").alias("distinct")
-    ).first()
-    if seen["n"] == seen["known"] == seen["distinct"]:
+    if ids_unique(df, id_col):
         return df.withColumn("_quire_key", F.col(id_col).cast("long"))
     from quire.functions.ranking import consecutive_index
 

@@ -49,7 +49,7 @@ from quire.llm.common import (
     byte_codes,
     connected_components,
     document_groups,
-    local_roots,
+    ids_unique,
     mix64,
     shuffle_partitions,
     string_buffer,
@@ -458,9 +458,12 @@ def links_of(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return found.unionByName(materialize(_join_blocks(pairs, True, percent)))
 
 
-def components(keyed: DataFrame, text: str, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def components(
+    keyed: DataFrame, text: str, words: int = SHINGLE, percent: int = PERCENT, unique: bool = False
+) -> DataFrame:
     """(_quire_key, n_shingles, _class, _component) for each ``_quire_key`` of ``keyed``: set
-    size, smallest key with the same set, smallest key that links reach."""
+    size, smallest key with the same set, smallest key that links reach.
+    ``unique``: no key occurs twice."""
     seen = materialize(document_sets(keyed, text, words))
     classes = materialize(
         seen.where("n > 0")
@@ -470,9 +473,11 @@ def components(keyed: DataFrame, text: str, words: int = SHINGLE, percent: int =
     )
     lacking = F.col("sampled") - F.col("shared")
     left = classes.where(lacking <= allowed_misses(F.col("n"), percent)).select(F.col("doc").alias("_quire_key"))
-    sets = materialize(
-        full_sets(keyed.select("_quire_key", text).join(left, "_quire_key").dropDuplicates(["_quire_key"]), text, words)
-    )
+    # keys are hashed, so that no text is sorted; repeated rows give a set once
+    rows = keyed.select("_quire_key", text).join(left.hint("shuffle_hash"), "_quire_key")
+    sets = materialize(full_sets(rows, text, words))
+    if not unique:
+        sets = sets.dropDuplicates(["doc"])
     parts = connected_components(links_of(sets, percent))
     reps = classes.select("k1", "k2", F.col("doc").alias("rep")).join(
         parts.withColumnRenamed("node", "rep"), "rep", "left"
@@ -492,7 +497,8 @@ def join(
     the smallest id with the same set, ``component_id`` the smallest id that
     links reach."""
     keyed = with_unique_key(docs, id_col, text)
-    rows = keyed.select(F.col(id_col), "_quire_key").join(components(keyed, text, words, percent), "_quire_key")
+    found = components(keyed, text, words, percent, ids_unique(docs, id_col))
+    rows = keyed.select(F.col(id_col), "_quire_key").join(found, "_quire_key")
     names = rows.select(F.col("_quire_key").alias("_name"), F.col(id_col).alias("_quire_id")).distinct()
     for column, name in (("_class", "class_id"), ("_component", "component_id")):
         rows = rows.join(names.select(F.col("_name").alias(column), F.col("_quire_id").alias(name)), column)
@@ -504,5 +510,8 @@ def first_of_groups(
 ) -> DataFrame:
     """``docs`` with one row of each component: its first document."""
     keyed = with_unique_key(docs, id_col, text)
-    first = components(keyed, text, words, percent).where("_quire_key = _component").select("_quire_key")
-    return keyed.join(first, "_quire_key", "left_semi").dropDuplicates(["_quire_key"]).drop("_quire_key")
+    unique = ids_unique(docs, id_col)
+    found = components(keyed, text, words, percent, unique)
+    first = found.where("_quire_key = _component").select("_quire_key")
+    kept = keyed.join(first.hint("shuffle_hash"), "_quire_key", "left_semi")
+    return (kept if unique else kept.dropDuplicates(["_quire_key"])).drop("_quire_key")

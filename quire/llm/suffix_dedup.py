@@ -416,7 +416,8 @@ def remove_repeats(
     cuts = spans.groupBy(F.col("doc").alias("_quire_key")).agg(
         F.collect_list("start").alias("_quire_start"), F.collect_list("length").alias("_quire_length")
     )
-    joined = keyed.join(cuts, "_quire_key", "left").drop("_quire_key")
+    # the spans of a partition are small: hash them, so that no text is sorted
+    joined = keyed.join(cuts.hint("shuffle_hash"), "_quire_key", "left").drop("_quire_key")
     added = [T.StructField(prefix + n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
     gone = {text.lower(), (prefix + "kept").lower(), *(f.name.lower() for f in added)}
     others = [f for f in docs.schema.fields if f.name.lower() not in gone]
