@@ -240,12 +240,13 @@ def ids_unique(df: DataFrame, id_col: str) -> bool:
     return seen["n"] == seen["known"] == seen["distinct"]
 
 
-def with_unique_key(df: DataFrame, id_col: str, text: str) -> DataFrame:
+def with_unique_key(df: DataFrame, id_col: str, text: str, unique: bool | None = None) -> DataFrame:
     """``df`` with a long ``_quire_key`` in the order of ``id_col`` that names each
     distinct (id, text): the id itself where ids are unique and not null.
     Repeated rows share a key; rows that share only the id, and null ids (first
-    in order), are told apart by the hash of the text."""
-    if ids_unique(df, id_col):
+    in order), are told apart by the hash of the text.  ``unique``: what
+    ``ids_unique`` gives, if it is known."""
+    if ids_unique(df, id_col) if unique is None else unique:
         return df.withColumn("_quire_key", F.col(id_col).cast("long"))
     from quire.functions.ranking import consecutive_index
 

@@ -44,6 +44,7 @@ from quire.llm.common import (
     SpanHash,
     bounded_batches,
     byte_codes,
+    ids_unique,
     mix64,
     shuffle_partitions,
     string_buffer,
@@ -335,7 +336,9 @@ def _united(groups: pa.RecordBatch) -> pa.RecordBatch:
     return _group_batch(label[at], doc[at], start[at], reach[last] - place[last] - start[at], np.zeros(len(at), bool))
 
 
-def _repeats(keyed: DataFrame, text: str, spans_only: bool) -> DataFrame:
+def _repeats(keyed: DataFrame, text: str, spans_only: bool, unique: bool) -> DataFrame:
+    """Spans or groups of all keys; unless keys are ``unique``, of one row for
+    each, as a repeated row would be found to repeat itself."""
     spark = keyed.sparkSession
     bounded_batches(spark)
     parts = shuffle_partitions(spark)
@@ -392,7 +395,9 @@ def _repeats(keyed: DataFrame, text: str, spans_only: bool) -> DataFrame:
         else:
             yield from array.all_groups()
 
-    routed = keyed.select("_quire_key", F.col(text).alias("_text")).mapInArrow(tidy(route), routed_schema)
+    rows = keyed.select("_quire_key", F.col(text).alias("_text"))
+    rows = rows if unique else rows.dropDuplicates(["_quire_key"])
+    routed = rows.mapInArrow(tidy(route), routed_schema)
     return routed.repartitionById(parts, F.col("part")).mapInArrow(tidy(scan), GROUPS)
 
 
@@ -402,7 +407,8 @@ def maximal_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     come as overlapping groups, one for each anchor.  The earliest occurrence
     is marked where the group was formed in a suffix array; copies that were
     equal within a block follow with the label of their group."""
-    return _repeats(with_unique_key(docs, id_col, text), text, False).withColumnRenamed("doc", "key")
+    unique = ids_unique(docs, id_col)
+    return _repeats(with_unique_key(docs, id_col, text, unique), text, False, unique).withColumnRenamed("doc", "key")
 
 
 def remove_repeats(
@@ -411,8 +417,9 @@ def remove_repeats(
     """``docs`` without ``text``, with n_bytes, n_removed, n_spans and ``kept``:
     the remaining bytes, or with ``as_text`` the characters that are whole in them;
     the names stand behind ``prefix`` and replace input columns of the same name."""
-    keyed = with_unique_key(docs, id_col, text)
-    spans = materialize(_repeats(keyed, text, True).select("doc", "start", "length"))
+    unique = ids_unique(docs, id_col)
+    keyed = with_unique_key(docs, id_col, text, unique)
+    spans = materialize(_repeats(keyed, text, True, unique).select("doc", "start", "length"))
     cuts = spans.groupBy(F.col("doc").alias("_quire_key")).agg(
         F.collect_list("start").alias("_quire_start"), F.collect_list("length").alias("_quire_length")
     )

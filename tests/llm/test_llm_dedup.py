@@ -108,6 +108,28 @@ def test_removal_with_repeated_rows_and_ids(spark, repeated):
     assert len(out) == repeated.count()
 
 
+@pytest.mark.parametrize("parts", [1, 8])
+def test_repeated_rows_do_not_erase_themselves(spark, parts):
+    """Copies that meet in one block and copies in different blocks."""
+    rnd = random.Random(11)
+    passage = brute.prose(rnd, 40)
+    texts = {i: f"{brute.prose(rnd, 30)} {passage} {brute.prose(rnd, 30)}" for i in range(1, 5)}
+    texts[5] = brute.prose(rnd, 60)
+    rows = [(i, t) for i, t in texts.items() for _ in range(1 if i == 2 else 3)]
+    rnd.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    want = brute.repeated_bytes(texts)
+    out = suffix_dedup.remove_repeats(docs).collect()
+    assert sorted(r.doc_id for r in out) == sorted(i for i, _ in rows)
+    for r in out:
+        body, gone = want[r.doc_id]
+        assert (r.n_bytes, r.n_removed) == (len(body), sum(gone))
+        assert bytes(r.kept) == bytes(b for b, g in zip(body, gone) if not g)
+    assert sum(map(sum, (g for _, g in want.values()))) > 0
+    found = [(r.grp, r.key, r.start) for r in suffix_dedup.maximal_repeats(docs).collect()]
+    assert len(found) == len(set(found)) and {k for _, k, _ in found} == {0, 1, 2, 3}  # keys are ranks
+
+
 def test_maximal_repeats_have_all_occurrences(spark):
     passage = brute.prose(random.Random(3), 60)
     rows = [(i, f"{brute.prose(random.Random(i), 20)} {passage} {brute.prose(random.Random(-i - 1), 9)}") for i in range(8)]
