@@ -60,8 +60,8 @@ def start_incremental(
     processing_time: str = "1 hour",
     **options,
 ) -> StreamingQuery:
-    """``threshold`` and ``options`` (exact, stop_words, lexicon) as in
-    ``hourly_update``."""
+    """``threshold`` and ``options`` (exact, stop_words, lexicon, bucket_length,
+    num_hash_tables) as in ``hourly_update``."""
     stream = news_stream(spark, source_dir, schema)
     writer = stream.writeStream.foreachBatch(
         lambda df, _epoch: process_batch(spark, stores, df, threshold, **options)

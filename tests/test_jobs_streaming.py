@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import shutil
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,6 +232,37 @@ def test_a_failed_run_is_repeated_whole(spark, scratch, monkeypatch, path):
         assert _tables(spark, stores) == want
 
 
+@pytest.mark.parametrize("path", ["hourly", "stream"])
+def test_jobs_find_similar_articles_by_lsh(spark, scratch, path):
+    """The default join of the jobs against the exact one, at thresholds that
+    keep a few, many and nearly all pairs."""
+    news = _news(spark)
+    base = scratch + "/base"
+    full_rebuild(spark, news.where("m_id < 190"), Stores(base), vector_size=64)
+    as_of = as_of_literal(news.select(F.max("time")).first()[0])
+    vectors = read_keyed(spark, Stores(base).article_vectors).select("articlevector").collect()
+    v = np.array([r.articlevector for r in vectors])
+    apart = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2))[np.triu_indices(len(v), 1)]
+
+    def pairs(name, threshold, **options):
+        stores = Stores(f"{scratch}/{name}")
+        shutil.copytree(base, stores.root)
+        if path == "hourly":
+            hourly_update(spark, news, stores, as_of, threshold, **options)
+        else:
+            process_batch(spark, stores, news.where("m_id >= 170"), threshold, **options)
+        return {(r.article_id, r.similar_id) for r in read_keyed(spark, stores.similar).collect()}
+
+    for share in (20, 95) if path == "stream" else (60,):
+        threshold = float(np.percentile(apart, share))
+        exact = pairs(f"exact{share}", threshold, exact=True)
+        found = pairs(f"lsh{share}", threshold)
+        print(f"{path} share {share} threshold {threshold:.2f} exact {len(exact)} lsh {len(found)}")
+        assert len(exact) > 20 and found <= exact and len(found) >= 0.9 * len(exact)
+    # the caller's own set-up reaches the join: buckets far too narrow lose pairs
+    assert len(pairs("narrow", threshold, bucket_length=threshold / 1000, num_hash_tables=1)) < len(found) / 2
+
+
 def test_a_newer_version_leaves_no_stale_rows(spark, scratch):
     news = _news(spark).where("m_id < 60")
     stores = Stores(scratch + "/s")

@@ -64,6 +64,29 @@ def test_lsh_pairs_subset_of_exact(spark):
     assert len(approx) > 0
 
 
+@pytest.mark.parametrize("dim", [1, 8, 200])
+def test_lsh_bucket_from_the_threshold(spark, dim):
+    """Pairs just below the threshold, also those on opposite sides of the origin."""
+    rnd = random.Random(dim)
+    new, hist = [], []
+    for i in range(150):
+        step = [rnd.gauss(0, 1) for _ in range(dim)]
+        size = math.sqrt(sum(x * x for x in step))
+        step = [59.0 * x / size for x in step]
+        at = [-x / 2 for x in step] if i % 3 == 0 else [rnd.gauss(0, 300) for _ in range(dim)]
+        new.append((i, at))
+        hist.append((1000 + i, [a + b for a, b in zip(at, step)]))
+    n, h = vectors_df(spark, new), vectors_df(spark, hist)
+    exact = {(r.article_id, r.similar_id) for r in similar.similar_exact(n, h, threshold=60.0).collect()}
+    found = {
+        (r.article_id, r.similar_id)
+        for r in similar.similar_lsh(n, h, 60.0, None, similar.JOB_HASH_TABLES, staggered=True).collect()
+    }
+    planted = {(i, 1000 + i) for i in range(150)}
+    assert planted <= exact and found <= exact
+    assert len(found) >= 0.9 * len(exact) and len(found & planted) >= 0.9 * len(planted)
+
+
 def behaviour(spark, rows):
     return spark.createDataFrame(rows, "user_id string, articles string, click_art int, dt string")
 
