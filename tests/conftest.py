@@ -9,8 +9,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SMALL = "/root/testdata/sf0.001"
-MEDIUM = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")

@@ -10,7 +10,7 @@ from oracle_util import compare, duck
 from quire.plans.oracle import ORACLE
 from quire.plans.queries import QUERIES
 
-from conftest import SMALL
+from paths import SMALL
 
 
 def test_entry_runs(spark):

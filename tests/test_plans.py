@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from quire.operators import tfidf, tokens
 from quire.plans import inputs
 
-from conftest import SMALL
+from paths import SMALL
 
 
 def executed(df) -> str:

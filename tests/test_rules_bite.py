@@ -12,7 +12,7 @@ from quire.plans import inputs, queries
 from quire.sources import adapters
 from quire.sources.tables import read_table
 
-from conftest import MEDIUM, SMALL
+from paths import MEDIUM, SMALL
 
 
 def test_dedup_removes_redelivered_rows(spark):
