@@ -344,3 +344,12 @@ ORACLE["article_store_upsert"] = with_ctes(*BASE) + """
 SELECT article_id, channel_name, CASE WHEN article_id % 3 = 0 THEN 'edited' ELSE title END AS title,
        CASE WHEN article_id % 3 = 0 THEN article_time + INTERVAL 1 DAY ELSE article_time END AS article_time
 FROM art WHERE article_id % 7 <> 0 OR article_id % 3 = 0 OR article_id % 5 = 0"""
+
+ORACLE["store_views"] = with_ctes(*KEYWORDS) + """
+SELECT a.article_id, a.title, a.article_time, count(k.keyword) AS n_keywords,
+       coalesce(string_agg(k.keyword, ',' ORDER BY k.keyword), '') AS keywords
+FROM (SELECT article_id, CASE WHEN article_id % 3 = 0 THEN 'edited' ELSE title END AS title,
+             CASE WHEN article_id % 3 = 0 THEN article_time + INTERVAL 1 DAY ELSE article_time END AS article_time
+      FROM art WHERE article_id % 7 <> 0 OR article_id % 3 = 0) a
+LEFT JOIN kw k ON k.article_id = a.article_id AND k.rank <= CASE WHEN a.article_id % 3 = 0 THEN 2 ELSE 5 END
+GROUP BY a.article_id, a.title, a.article_time"""

@@ -32,6 +32,8 @@ from quire.operators.similar import similar_exact, similar_lsh
 from quire.operators.tokens import token_arrays
 from quire.operators.vectors import article_vectors, cooccurrence_vectors
 from quire.plans import inputs
+from quire.plans.catalog import register_views
+from quire.plans.jobs import Stores
 from quire.session import checkpoint_dir
 from quire.sinks.writers import read_keyed, upsert_keyed
 from quire.sources.tables import read_table
@@ -235,6 +237,32 @@ def article_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_keyed(spark, path)
 
 
+def store_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The named views over the article and keyword stores after a first run, an
+    edit of every third article and the removal of every seventh, asked with
+    SQL: the current articles with their current keywords."""
+    stage = inputs.keyword_stage(spark, sf_dir)
+    stores, key = Stores(_store(spark, "views")), ["article_id"]
+    arts = materialize(stage.articles.select("article_id", "channel_name", "title", "article_time"))
+    top = materialize(stage.keywords.where("rank <= 5"))
+    upsert_keyed(spark, arts, stores.articles, key, "article_time")
+    upsert_keyed(spark, top, stores.keywords, key, "article_time")
+    later = (F.col("article_time") + F.make_dt_interval(F.lit(1))).alias("article_time")
+    kind = lambda n: F.pmod("article_id", F.lit(n)) == 0
+    touched = arts.where(kind(3) | kind(7)).select("article_id", later)
+    edited = arts.where(kind(3)).select("article_id", "channel_name", F.lit("edited").alias("title"), later)
+    upsert_keyed(spark, edited, stores.articles, key, "article_time", touched)
+    kept = top.where(kind(3) & (F.col("rank") <= 2)).withColumn("article_time", later)
+    upsert_keyed(spark, kept, stores.keywords, key, "article_time", touched)
+    register_views(spark, stores)
+    return spark.sql(
+        """SELECT a.article_id, a.title, a.article_time, count(k.keyword) AS n_keywords,
+                  concat_ws(',', sort_array(collect_list(k.keyword))) AS keywords
+           FROM article_data a LEFT JOIN tfidf_keywords_values k ON k.article_id = a.article_id
+           GROUP BY a.article_id, a.title, a.article_time"""
+    )
+
+
 def similar_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The similar-articles store after a first run and a second one that
     recomputed the even articles with a closer threshold: their pairs are
@@ -340,4 +368,5 @@ QUERIES: dict[str, Query] = {
     "article_vector_refresh": article_vector_refresh,
     "article_store_upsert": article_store_upsert,
     "similar_store_upsert": similar_store_upsert,
+    "store_views": store_views,
 }

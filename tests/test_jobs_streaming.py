@@ -26,7 +26,7 @@ from quire.sinks.writers import compact, read_if_exists, read_keyed, upsert_keye
 from quire.sources import adapters
 from quire.streaming.incremental import process_batch, start_incremental
 
-from conftest import SMALL
+from paths import SMALL
 
 
 def test_partitioned_overwrite_is_idempotent(spark, scratch):
@@ -100,6 +100,24 @@ def test_full_then_hourly_jobs(spark, scratch):
     assert model.getVectors().count() == spark.read.parquet(stores.word_vectors).count()
 
 
+def test_views_show_current_rows_only(spark, scratch):
+    stores = Stores(scratch + "/stores")
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    schema = "article_id long, title string, article_time timestamp_ntz"
+    put = lambda rows, **o: upsert_keyed(
+        spark, spark.createDataFrame(rows, schema), stores.articles, ["article_id"], "article_time", **o
+    )
+    put([(1, "a", t1), (2, "b", t1), (3, "c", t1)])
+    gone = spark.createDataFrame([(1, t2), (3, t2)], "article_id long, article_time timestamp_ntz")
+    put([(1, "edited", t2)], touched=gone)
+    spark.createDataFrame([("w", 0.5)], "keyword string, idf double").write.parquet(stores.vocabulary)
+    assert set(register_views(spark, stores)) == {"article_data", "idf_keywords_values"}
+    view = spark.table("article_data")
+    assert view.columns == ["article_id", "title", "article_time"]
+    assert sorted(tuple(r) for r in view.collect()) == [(1, "edited", t2), (2, "b", t1)]
+    assert spark.sql("SELECT keyword FROM idf_keywords_values").collect()[0].keyword == "w"
+
+
 def test_daily_recall_job(spark, scratch):
     stores = Stores(scratch + "/stores")
     ev = spark.read.parquet(SMALL + "/events.parquet")
