@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quire.llm import (
     byte_bpe,
     embedding_dedup,
+    forest_search,
     importance,
     jaccard_join,
     mixing,
@@ -107,6 +108,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(table(spark, sf_dir, "documents"))
 
 
+def op11_forest_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the 10 nearest rows found for every id divisible by 100."""
+    return forest_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -118,6 +124,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
+    "op11_forest_search": op11_forest_search,
 }
 # DuckDB statements for the queries that SQL can express
 ORACLE: dict[str, str] = {
