@@ -68,3 +68,20 @@ SELECT doc_id, size, source_size, target,
     CAST(CASE WHEN queued / CAST(weight AS DOUBLE) <= cut THEN size ELSE 0 END
        + CASE WHEN (queued + source_size) / CAST(weight AS DOUBLE) <= cut THEN size ELSE 0 END AS BIGINT) AS taken
 FROM q"""
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+MASK_SEARCH = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+l AS (SELECT doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+c AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM l),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+i AS (SELECT item_id, term, count(*) AS reps FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+w AS (SELECT i.item_id, i.term, i.reps * CAST(floor(1000 * ln((2 * all_docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM i JOIN f USING (term), c),
+s AS (SELECT item_id, p.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+    FROM w JOIN p USING (term) JOIN l ON l.doc_id = p.doc_id, c GROUP BY item_id, p.doc_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""

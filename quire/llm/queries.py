@@ -14,6 +14,7 @@ from quire.llm import (
     forest_search,
     importance,
     jaccard_join,
+    mask_search,
     mixing,
     oracle,
     suffix_dedup,
@@ -113,6 +114,11 @@ def op11_forest_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op12_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """item_id, rank, doc_id, score: the 10 best documents of every benchmark item."""
+    return mask_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), 10)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -125,6 +131,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
     "op11_forest_search": op11_forest_search,
+    "op12_mask_search": op12_mask_search,
 }
 # DuckDB statements for the queries that SQL can express
 ORACLE: dict[str, str] = {
@@ -133,4 +140,5 @@ ORACLE: dict[str, str] = {
     "op8_warc": oracle.WARC,
     "op9_jaccard_join": oracle.JACCARD_JOIN,
     "op10_mixing": oracle.MIXING,
+    "op12_mask_search": oracle.MASK_SEARCH,
 }
