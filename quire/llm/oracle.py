@@ -85,3 +85,22 @@ s AS (SELECT item_id, p.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf +
     FROM w JOIN p USING (term) JOIN l ON l.doc_id = p.doc_id, c GROUP BY item_id, p.doc_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+
+PHRASES = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+s AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, m, w[i:i + m - 1] AS g FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+    FROM s, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)),
+f AS (SELECT lang, g, m, count(*) AS f FROM t GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, count(*) AS n FROM t WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, g, m, f, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+x AS (SELECT c.*, u.f AS l, v.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.f) // (u.f + v.f) AS BIGINT) AS score
+    FROM c JOIN f u ON u.lang = c.lang AND u.g = c.g[1:k] JOIN f v ON v.lang = c.lang AND v.g = c.g[k + 1:c.m]),
+b AS (SELECT lang, g, f, l, r, score FROM x QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+o AS (SELECT lang, g[i:i + z - 1] AS g, max(f) AS longer FROM (SELECT lang, g, f, m, z, unnest(range(1, m - z + 2)) AS i
+    FROM f, (SELECT unnest([2, 3]) AS z) WHERE z < m) GROUP BY ALL),
+y AS (SELECT b.lang, array_to_string(b.g, ' ') AS phrase, b.f AS a, l, r, n, score FROM b JOIN n USING (lang)
+    LEFT JOIN o ON o.lang = b.lang AND o.g = b.g WHERE o.longer IS NULL OR 100 * o.longer < 80 * b.f),
+z AS (SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INT) AS rank, phrase, a, l, r, n, score FROM y)
+SELECT * FROM z WHERE rank <= 2000"""

@@ -17,6 +17,7 @@ from quire.llm import (
     mask_search,
     mixing,
     oracle,
+    phrases,
     suffix_dedup,
     token_counts,
     topk_search,
@@ -119,6 +120,11 @@ def op12_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), 10)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n, score: the first 2000 phrases of each language."""
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -132,6 +138,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_forest_search": op11_forest_search,
     "op12_mask_search": op12_mask_search,
+    "op13_phrases": op13_phrases,
 }
 # DuckDB statements for the queries that SQL can express
 ORACLE: dict[str, str] = {
@@ -141,4 +148,5 @@ ORACLE: dict[str, str] = {
     "op9_jaccard_join": oracle.JACCARD_JOIN,
     "op10_mixing": oracle.MIXING,
     "op12_mask_search": oracle.MASK_SEARCH,
+    "op13_phrases": oracle.PHRASES,
 }
