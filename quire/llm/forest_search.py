@@ -53,6 +53,8 @@ TARGET = 0.95
 SALT_ROWS = 65_536
 # queries that meet the rows of a leaf at a time
 QUERY_BLOCK = 1_024
+# pairs that a task holds before it hands them over
+HELD_PAIRS = 2_000_000
 
 RESULT = "query_id long, rank int, vec_id long, score double"
 
@@ -282,6 +284,9 @@ def search(
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, queries = None, []
+        # what the leaves of this task gave, brought down to k + 1 points a query
+        pairs: list[tuple] = []
+        held = 0
         for b in batches:
             cell, salt, is_row, pid = (np.asarray(b.column(i)) for i in range(4))
             x = _matrix(b.column(4), width)
@@ -298,7 +303,18 @@ def search(
                         queries.append((pid[part].copy(), x[part].copy(), np.full((part.stop - part.start, k + 1), np.inf)))
                     continue
                 for ids, vectors, best in queries:
-                    yield from _nearest(ids, vectors, best, pid[a:z], x[a:z])
+                    found = _nearest(ids, vectors, best, pid[a:z], x[a:z])
+                    if len(found[0]):
+                        pairs.append(found)
+                        held += len(found[0])
+                if held > HELD_PAIRS:
+                    pairs = [_least(pairs, k + 1)]
+                    held = len(pairs[0][0])
+                    if held > HELD_PAIRS // 2:  # few queries meet twice here: hand over
+                        yield _pairs(pairs[0])
+                        pairs, held = [], 0
+        if pairs:
+            yield _pairs(_least(pairs, k + 1))
 
     found = together.mapInArrow(tidy(rank), "qpid long, pid long, d double")
     by = Window.partitionBy("qpid").orderBy("d", "pid")
@@ -320,9 +336,9 @@ def search(
     )
 
 
-def _nearest(ids, queries, best, pid, x) -> Iterator[pa.RecordBatch]:
-    """Pairs of the queries with those rows that may be among the nearest of this
-    leaf, with exact distances; ``best`` holds the least distances so far."""
+def _nearest(ids, queries, best, pid, x) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, point, exact distance) of those rows that may be among the nearest
+    of this leaf; ``best`` holds each query's least distances here so far."""
     least = best[:, -1]
     squares = _squares(queries, x)
     slack = 1e-9 * ((queries**2).sum(1).max() + (x**2).sum(1).max())
@@ -334,18 +350,32 @@ def _nearest(ids, queries, best, pid, x) -> Iterator[pa.RecordBatch]:
     with np.errstate(invalid="ignore", over="ignore"):
         far = squares > np.minimum(kth, least**2)[:, None] + slack  # not so for NaN: overflow must not lose a row
     q, r = np.nonzero(~far)
-    if not len(q):
-        return
     d = distances(queries[q], x[r])
-    yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(pid[r]), pa.array(d)], names=["qpid", "pid", "d"])
     # the new least distances of each query
     order = np.lexsort((d, q))
-    q, d = q[order], d[order]
-    place = np.arange(len(q)) - np.searchsorted(q, q)
+    by, near = q[order], d[order]
+    place = np.arange(len(by)) - np.searchsorted(by, by)
     some = place < keep
     fresh = np.full(best.shape, np.inf)
-    fresh[q[some], place[some]] = d[some]
+    fresh[by[some], place[some]] = near[some]
     best[:] = np.sort(np.concatenate([best, fresh], axis=1), axis=1)[:, :keep]
+    return ids[q], pid[r], d
+
+
+def _least(pairs: list[tuple], keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``keep`` nearest different points of each query."""
+    q, pid, d = (np.concatenate(x) for x in zip(*pairs))
+    order = np.lexsort((pid, d, q))
+    q, pid, d = q[order], pid[order], d[order]
+    new = np.ones(len(q), bool)  # a point has one distance to a query, so its copies are neighbours
+    new[1:] = (q[1:] != q[:-1]) | (pid[1:] != pid[:-1])
+    q, pid, d = q[new], pid[new], d[new]
+    some = np.arange(len(q)) - np.searchsorted(q, q) < keep
+    return q[some], pid[some], d[some]
+
+
+def _pairs(found: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["qpid", "pid", "d"])
 
 
 def _budget(
