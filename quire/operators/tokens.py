@@ -4,7 +4,8 @@ The reference segments each sentence in Python with a part-of-speech tagger.
 Here a word is a maximal run of Unicode letters taken from the whole text with
 ``regexp_extract_all`` (JVM, no Python), after HTML tags are stripped; the
 keep rule (English words > 2 characters, others > 1) is a row filter.  A
-noun lexicon, when given, restricts words through a semi join.
+noun lexicon, when given, restricts words through a semi join; one with weights
+and flags segments unspaced scripts (``segment``).
 
 Stop words are removed with an anti join on the word (the reference compared
 the part-of-speech flag to the list, which removed almost nothing; the
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text
 from quire.functions.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from quire.operators import segment
 
 
 def tokenize(
@@ -27,7 +29,15 @@ def tokenize(
 ) -> DataFrame:
     """(article_id, pos, word): one row per kept token; ``pos`` is the 0-based
     position among all letter runs of the sentence.  ``min_other_length=3``
-    gives the stricter variant (every word longer than 2)."""
+    gives the stricter variant (every word longer than 2).
+
+    A lexicon with weights and flags (word, weight, flag) segments each run of
+    letters that is not ASCII into its best path of words, and its flags decide
+    what stays (``segment``); one of words only restricts the letter runs."""
+    if lexicon is not None and {"weight", "flag"} <= set(lexicon.columns):
+        found = segment.segment(articles.select("article_id", "sentence"), lexicon, keep=False)
+        kept = segment.keep_flagged(F.col("word"), F.col("flag"), min_length=min_other_length)
+        return found.where(kept).select("article_id", "pos", "word")
     tokens = articles.select(
         "article_id",
         F.posexplode(text.words(text.strip_html(F.col("sentence")))).alias("pos", "word"),

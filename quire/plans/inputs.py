@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.lineage import materialize, spread
 from quire.functions.windows import as_of_literal, latest
-from quire.operators import prepare, tfidf, tokens
+from quire.operators import prepare, segment, tfidf, tokens
 from quire.sources import adapters
 from quire.sources.tables import read_table
 
@@ -83,6 +83,17 @@ def stop_words(vocab: DataFrame, n: int = 50) -> DataFrame:
     return vocab.where(F.col("index") < n).select(F.col("keyword").alias("word"))
 
 
+# flags of the words of the registered segmentation
+FUNCTION_WORD = "u"
+
+
+def word_flag(index: Column, word: Column) -> Column:
+    """The 50 most frequent words are function words, capitalised ones custom
+    words (names), all others nouns."""
+    capital = F.lower(F.substring(word, 1, 1)) != F.substring(word, 1, 1)
+    return F.when(index < 50, FUNCTION_WORD).when(capital, segment.CUSTOM).otherwise(segment.NOUN)
+
+
 def profile(spark: SparkSession, sf_dir: str, stage: KeywordStage | None = None) -> DataFrame:
     from quire.operators.profile import article_profile
 

@@ -147,6 +147,48 @@ ORACLE["article_window_daily"] = with_ctes(NEWS, AS_OF) + articles_from(
 
 ORACLE["article_tokens"] = with_ctes(*BASE, TOK) + "SELECT article_id, pos, word FROM tok"
 
+# the lattice of every letter run from its end to its start: each step keeps the
+# best weights of the places a word can reach; then the path from the start
+ORACLE["article_segments"] = (
+    with_ctes(
+        *BASE,
+        TOK,
+        TF,
+        VOCAB,
+        'total AS (SELECT CAST(sum("count") AS DOUBLE) AS t FROM vocab)',
+        r"""lex AS (SELECT keyword AS word, length(keyword) AS len, CAST(floor(1000 * ln("count" / t)) AS BIGINT) AS w,
+              CASE WHEN index < 50 THEN 'u' WHEN lower(keyword[1:1]) <> keyword[1:1] THEN 'x' ELSE 'n' END AS flag
+            FROM vocab, total WHERE "count" >= t / 200000)""",
+        r"""runs AS (SELECT article_id, run, length(run) AS n, row_number() OVER () AS r, place FROM (
+              SELECT article_id, unnest(w) AS run, generate_subscripts(w, 1) AS place FROM (
+                SELECT article_id, regexp_extract_all(regexp_replace(replace(sentence, ' ', ''), '<[^>\n]*>', '', 'g'), '\p{L}+') AS w
+                FROM art)))""",
+        """spots AS (SELECT r, i, run[i:i + len - 1] AS piece, len FROM (SELECT r, run, n, unnest(range(1, n + 1)) AS i FROM runs),
+              (SELECT DISTINCT len FROM lex UNION SELECT 1) WHERE i + len - 1 <= n)""",
+        """edges AS (SELECT r, i, list({'w': coalesce(lex.w, CAST(floor(1000 * ln(1 / t)) AS BIGINT)), 'len': CAST(spots.len AS BIGINT)}) AS e
+            FROM spots LEFT JOIN lex ON lex.word = piece, total WHERE lex.w IS NOT NULL OR spots.len = 1 GROUP BY r, i)""",
+        # places from the last to the first: weights ahead, length of the word that starts there
+        """folded AS (SELECT r, list_reduce(list(e ORDER BY i DESC), lambda a, x: {
+                'e': CAST([] AS STRUCT(w BIGINT, len BIGINT)[]),
+                'ahead': list_prepend(list_sort(list_transform(x.e, lambda y: {'w': y.w + a.ahead[y.len], 'len': y.len}), 'DESC')[1].w, a.ahead[1:200]),
+                'steps': list_prepend(list_sort(list_transform(x.e, lambda y: {'w': y.w + a.ahead[y.len], 'len': y.len}), 'DESC')[1].len, a.steps)},
+              {'e': CAST([] AS STRUCT(w BIGINT, len BIGINT)[]), 'ahead': [CAST(0 AS BIGINT)], 'steps': CAST([] AS BIGINT[])}).steps AS steps
+            FROM (SELECT r, i, {'e': e, 'ahead': CAST([] AS BIGINT[]), 'steps': CAST([] AS BIGINT[])} AS e FROM edges) GROUP BY r)""",
+        # from the first place on: where a word starts, the next starts its length later
+        """path AS (SELECT r, unnest(list_reduce(list_transform(steps, lambda x, i: {'s': x, 'i': i, 'next': CAST(1 AS BIGINT), 'marks': CAST([] AS BIGINT[])}),
+              lambda a, x: {'s': x.s, 'i': x.i, 'next': CASE WHEN x.i = a.next THEN x.i + x.s ELSE a.next END,
+                            'marks': CASE WHEN x.i = a.next THEN list_append(a.marks, x.i) ELSE a.marks END},
+              {'s': CAST(0 AS BIGINT), 'i': CAST(0 AS BIGINT), 'next': CAST(1 AS BIGINT), 'marks': CAST([] AS BIGINT[])}).marks) AS i, steps
+            FROM folded)""",
+        """cut AS (SELECT article_id, run[i:i + steps[i] - 1] AS word,
+              CAST(row_number() OVER (PARTITION BY article_id ORDER BY place, i) - 1 AS INTEGER) AS pos
+            FROM path JOIN runs USING (r))""",
+    )
+    + """
+SELECT article_id, pos, cut.word, flag FROM cut JOIN lex ON lex.word = cut.word
+WHERE flag IN ('n', 'x') AND length(cut.word) >= 2"""
+)
+
 ORACLE["tokens_filtered"] = with_ctes(*BASE, TOK, TF, VOCAB) + """
 SELECT t.word, t.article_id, t.pos FROM tok t
 WHERE t.word NOT IN (SELECT keyword FROM vocab WHERE index < 50)"""

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.lineage import materialize, spread
 from quire.functions.windows import day_window, hourly_window, in_window
-from quire.operators import prepare, tfidf, tokens
+from quire.operators import prepare, segment, tfidf, tokens
 from quire.operators.profile import explode_profile
 from quire.operators.recall import (
     fit_als,
@@ -85,6 +85,17 @@ def article_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.article_tokens(spark, sf_dir)
 
 
+def article_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The articles with their blanks taken out, cut into words again by a lexicon
+    of the words that make five in a million of the corpus or more; the 50 most
+    frequent have a flag that the keep rule drops."""
+    vocab = inputs.vocabulary(spark, sf_dir)
+    arts = prepare.prepare_articles(spread(inputs.news(spark, sf_dir), "m_id"))
+    unspaced = arts.select("article_id", F.translate("sentence", " ", "").alias("sentence"))
+    lexicon = segment.lexicon_from_counts(vocab, inputs.word_flag(F.col("index"), F.col("keyword")))
+    return segment.segment(unspaced, lexicon, stop_flags=(inputs.FUNCTION_WORD,), whole_latin=False)
+
+
 def tokens_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stop list is written as a text file and read back by the list reader;
     the text is tokenised once, for the list and for the output."""
@@ -345,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "article_window": article_window,
     "article_window_daily": article_window_daily,
     "article_tokens": article_tokens,
+    "article_segments": article_segments,
     "tokens_filtered": tokens_filtered,
     "term_frequency": term_frequency,
     "keyword_vocabulary": keyword_vocabulary,
