@@ -43,6 +43,8 @@ MIXED_RUNS = r"[A-Za-z]+|[\p{L}&&[^A-Za-z]]+"
 
 MAX_LEXICON_ROWS = 500_000
 WEIGHT_SCALE = 1000
+# articles whose words a task holds as Python objects
+SLICE_ROWS = 128
 # a lexicon of the words that make at least this share of a corpus has at most
 # 1 / share rows, however large the corpus is
 LEXICON_SHARE = 1 / 200_000
@@ -136,17 +138,22 @@ def segment(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, flags, unknown, whole = shared.value
         for b in batches:
-            ids, found = b.column(0), []
-            for runs in b.column(1).to_pylist():
-                words = []
-                for r in runs or ():
-                    if whole and r.isascii():
-                        words.append({"word": r, "flag": flags.get(r, ENGLISH)})
-                    else:
-                        words += [{"word": w, "flag": flags.get(w, UNKNOWN_FLAG)} for w in best_path(r, lattice, unknown)]
-                found.append(words)
-            kind = pa.list_(pa.struct([("word", pa.string()), ("flag", pa.string())]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(found, kind)], names=["article_id", "words"])
+            for at in range(0, b.num_rows, SLICE_ROWS):
+                part = b.slice(at, SLICE_ROWS)
+                words, tags, edge = [], [], [0]
+                for runs in part.column(1).to_pylist():
+                    for r in runs or ():
+                        if whole and r.isascii():
+                            words.append(r)
+                            tags.append(flags.get(r, ENGLISH))
+                        else:
+                            path = best_path(r, lattice, unknown)
+                            words += path
+                            tags += [flags.get(w, UNKNOWN_FLAG) for w in path]
+                    edge.append(len(words))
+                pairs = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(tags, pa.string())], ["word", "flag"])
+                found = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pairs)
+                yield pa.RecordBatch.from_arrays([part.column(0), found], names=["article_id", "words"])
 
     pattern = MIXED_RUNS if whole_latin else text.WORD_PATTERN
     runs = F.regexp_extract_all(text.strip_html(F.col("sentence")), F.lit(pattern), 0)
