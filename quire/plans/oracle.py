@@ -395,3 +395,17 @@ FROM (SELECT article_id, CASE WHEN article_id % 3 = 0 THEN 'edited' ELSE title E
       FROM art WHERE article_id % 7 <> 0 OR article_id % 3 = 0) a
 LEFT JOIN kw k ON k.article_id = a.article_id AND k.rank <= CASE WHEN a.article_id % 3 = 0 THEN 2 ELSE 5 END
 GROUP BY a.article_id, a.title, a.article_time"""
+
+ORACLE["delivery_windows"] = with_ctes(
+    NEWS,
+    """own AS (SELECT m_id, platform, coalesce(length(context), 0) AS n_chars, time,
+              least(CAST(floor(date_diff('minute', TIMESTAMP '2024-01-01', time) * 4 / 64800) AS INTEGER)
+                + CASE WHEN m_id % 7 = 2 THEN 2 WHEN m_id % 11 = 4 THEN 1 ELSE 0 END, 3) AS d FROM news)""",
+    "feed AS (SELECT * FROM own UNION ALL SELECT m_id, platform, n_chars, time, least(d + 1, 3) FROM own WHERE m_id % 10 = 3)",
+    """marks AS (SELECT x.d, (SELECT max(time) - INTERVAL 2 DAY FROM feed WHERE feed.d < x.d) AS mark
+            FROM (SELECT DISTINCT d FROM feed) x)""",
+    """kept AS (SELECT DISTINCT m_id, platform, n_chars, time FROM feed JOIN marks USING (d) WHERE mark IS NULL OR time > mark)""",
+) + """
+SELECT date_trunc('day', time)::TIMESTAMP AS window_start, platform AS channel_name, count(*) AS n_articles,
+       CAST(sum(n_chars) AS BIGINT) AS n_chars, max(time) AS newest
+FROM kept WHERE date_trunc('day', time) + INTERVAL 1 DAY <= (SELECT max(time) - INTERVAL 2 DAY FROM feed) GROUP BY 1, 2"""

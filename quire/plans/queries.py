@@ -36,7 +36,9 @@ from quire.plans.catalog import register_views
 from quire.plans.jobs import Stores
 from quire.session import checkpoint_dir
 from quire.sinks.writers import read_keyed, upsert_keyed
+from quire.sources import adapters
 from quire.sources.tables import read_table
+from quire.streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -274,6 +276,19 @@ def store_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delivery_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles, characters and newest time per day and channel, from a stream over
+    four deliveries with repeated and late rows, one run after each delivery."""
+    feed = materialize(adapters.deliveries(inputs.news(spark, sf_dir)))
+    path = _store(spark, "deliveries")
+    schema = feed.drop("delivery").schema
+    for d in range(adapters.DELIVERIES):
+        feed.where(F.col("delivery") == d).drop("delivery").write.mode("append").parquet(path + "/feed")
+        windows.run_available(spark, path + "/feed", schema, path + "/windows", path + "/progress")
+    rows = spark.read.parquet(path + "/windows")
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "newest")})
+
+
 def similar_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The similar-articles store after a first run and a second one that
     recomputed the even articles with a closer threshold: their pairs are
@@ -381,4 +396,5 @@ QUERIES: dict[str, Query] = {
     "article_store_upsert": article_store_upsert,
     "similar_store_upsert": similar_store_upsert,
     "store_views": store_views,
+    "delivery_windows": delivery_windows,
 }

@@ -84,6 +84,30 @@ def redelivered(news: DataFrame) -> DataFrame:
     return copies.drop("_copy")
 
 
+# the period comes in so many deliveries
+DELIVERIES = 4
+
+
+def deliveries(news: DataFrame) -> DataFrame:
+    """The news as a feed (article_id, content_hash, channel_name, n_chars, time,
+    delivery): each row in the delivery of its quarter of the period; every tenth
+    again in the next one, every seventh two deliveries late, every eleventh one."""
+    minute = F.timestamp_diff("MINUTE", F.lit(ARTICLE_EPOCH).cast("timestamp_ntz"), F.col("time"))
+    last = F.lit(DELIVERIES - 1)
+    own = F.floor(minute * DELIVERIES / ARTICLE_PERIOD_MINUTES).cast("int")
+    late = F.when(F.pmod("m_id", F.lit(7)) == 2, 2).when(F.pmod("m_id", F.lit(11)) == 4, 1).otherwise(0)
+    first = F.least(own + late, last)
+    every = F.when(F.pmod("m_id", F.lit(10)) == 3, F.array(first, F.least(first + 1, last))).otherwise(F.array(first))
+    return news.select(
+        F.col("m_id").alias("article_id"),
+        F.xxhash64("context").alias("content_hash"),
+        F.col("platform").alias("channel_name"),
+        F.coalesce(F.length("context"), F.lit(0)).cast("long").alias("n_chars"),
+        F.col("time").cast("timestamp").alias("time"),
+        F.explode(every).alias("delivery"),
+    )
+
+
 def behaviour_from_events(events: DataFrame) -> DataFrame:
     """Behaviour rows (user_id, articles, click_art, dt) from ``events``; the
     item ids of every third user carry quotes, as some feeds write them."""
