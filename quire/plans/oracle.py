@@ -370,6 +370,21 @@ SELECT user_id, CAST(least(50, (SELECT count(DISTINCT article_id) FROM clicks))
        least(50, (SELECT count(DISTINCT article_id) FROM clicks)) AS n_known
 FROM clicks GROUP BY user_id"""
 
+ORACLE["factor_recall"] = with_ctes(
+    CLICKS,
+    "e AS (SELECT CAST(vec_id AS VARCHAR) AS article_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)",
+    "pop AS (SELECT article_id, count(*) AS n FROM clicks WHERE clicked = 1 GROUP BY article_id)",
+    """uf AS (SELECT user_id, list(x ORDER BY pos) AS u FROM (
+             SELECT user_id, pos, sum(v[pos]) AS x
+             FROM clicks JOIN e USING (article_id), range(1, 65) AS r(pos) WHERE clicked = 1 GROUP BY user_id, pos)
+           GROUP BY user_id)""",
+    """scored AS (SELECT user_id, article_id, list_dot_product(u, v) * (1 + coalesce(n, 0)) AS s
+               FROM uf, e LEFT JOIN pop USING (article_id))""",
+) + """
+SELECT user_id, rank, article_id, round(s, 6) + 0.0 AS score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY s DESC, article_id) AS INTEGER) AS rank FROM scored)
+WHERE rank <= 50"""
+
 ORACLE["recall_table"] = with_ctes(
     CLICKS,
     """u AS (SELECT user_id, row_number() OVER (ORDER BY n DESC, user_id) - 1 AS i

@@ -16,11 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions import vectors as vec
 from quire.functions.lineage import materialize, spread
 from quire.functions.windows import day_window, hourly_window, in_window
-from quire.operators import prepare, segment, tfidf, tokens
+from quire.operators import als, prepare, segment, tfidf, tokens, topn
 from quire.operators.profile import explode_profile
 from quire.operators.recall import (
+    TOP_N,
     fit_als,
     index_keys,
     indexed_ratings,
@@ -331,6 +333,33 @@ def als_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recall_lists(recommendations(model, users, items))
 
 
+def als_recall_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ALS by normal equations and its exact top 50 for every user."""
+    users, items = als.fit(inputs.clicks(spark, sf_dir))
+    best = topn.top_products(users, items, TOP_N)
+    return best.select(
+        "user_id", F.col("rank").alias("rec_rank"), "article_id", (F.round("score", 6) + F.lit(0.0)).alias("rating")
+    )
+
+
+def factor_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact top 50 of stored factors: users are the sum of the vectors of what
+    they clicked, articles their vector times one more than their clickers."""
+    articles = inputs.article_vector_table(spark, sf_dir).select(
+        F.col("article_id").cast("string").alias("article_id"), F.col("articlevector").alias("v")
+    )
+    clicked = materialize(inputs.clicks(spark, sf_dir).where("clicked = 1").select("user_id", "article_id"))
+    counts = clicked.groupBy("article_id").agg(F.count(F.lit(1)).alias("n"))
+    weight = F.lit(1.0) + F.coalesce(F.col("n"), F.lit(0))
+    items = articles.join(counts, "article_id", "left").select("article_id", vec.scale(F.col("v"), weight).alias("factor"))
+    # one sum a component: a user of any number of clicks is a row a task
+    parts = clicked.join(articles, "article_id").select("user_id", F.posexplode("v").alias("pos", "x"))
+    sums = parts.groupBy("user_id", "pos").agg(F.sum("x").alias("x"))
+    users = sums.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("l"))
+    best = topn.top_products(users.select("user_id", F.col("l.x").alias("factor")), items, TOP_N)
+    return best.withColumn("score", F.round("score", 6) + F.lit(0.0))
+
+
 def als_recall_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the recall job must give whatever ALS learned: every user with a
     click has a list of min(TOP_N, items) different known articles."""
@@ -388,7 +417,9 @@ QUERIES: dict[str, Query] = {
     "user_item_clicks": user_item_clicks,
     "als_index": als_index,
     "als_recall": als_recall,
+    "als_recall_exact": als_recall_exact,
     "als_recall_coverage": als_recall_coverage,
+    "factor_recall": factor_recall,
     "recall_table": recall_table,
     "html_words": html_words,
     "keyword_index_table": keyword_index_table,
