@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.joins import sized_broadcast
+from quire.functions.joins import row_count_at_most
 from quire.functions.lineage import materialize
 from quire.functions.workers import ship_package
 from quire.operators.recall import ALS_MAX_ITER, ALS_RANK, ALS_REG_PARAM
@@ -62,23 +62,14 @@ def half_step(
     rating: str,
     rank: int,
     reg_param: float,
-    max_broadcast: int = MAX_BROADCAST_FACTORS,
+    small: bool = False,
 ) -> DataFrame:
-    """(key, factor): the factors of ``key`` for the given ones of ``other``."""
-    rows = ratings.join(sized_broadcast(fixed, max_broadcast), other)
-    x = [F.col("factor")[j] for j in range(rank)]
-    upper = [(i, j) for i in range(rank) for j in range(i, rank)]
-    sums = rows.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(x[i] * x[j]).alias(f"_a{i}_{j}") for i, j in upper],
-        *[F.sum(F.col(rating) * x[i]).alias(f"_b{i}") for i in range(rank)],
-    )
-    packed = sums.select(
-        key,
-        F.col("_n").cast("double").alias("n"),
-        F.array(*[F.col(f"_a{i}_{j}") for i, j in upper]).alias("a"),
-        F.array(*[F.col(f"_b{i}") for i in range(rank)]).alias("b"),
-    )
+    """(key, factor): the factors of ``key`` for the given ones of ``other``, which
+    are broadcast if ``small``."""
+    rows = ratings.join(F.broadcast(fixed) if small else fixed, other)
+    upper = ", ".join(f"sum(factor[{i}] * factor[{j}])" for i in range(rank) for j in range(i, rank))
+    right = ", ".join(f"sum({rating} * factor[{i}])" for i in range(rank))
+    packed = rows.groupBy(key).agg(F.expr("double(count(1)) AS n"), F.expr(f"array({upper}) AS a"), F.expr(f"array({right}) AS b"))
     at = np.triu_indices(rank)
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,10 +106,11 @@ def fit(
         raise ValueError(f"rank is 1 to {MAX_RANK}, max_iter at least 1, reg_param above 0")
     ship_package(ratings.sparkSession)
     value = F.col(rating).cast("double")
-    rows = ratings.select(user, item, value.alias("_r")).dropna()  # NaN counts as missing
-    rows = materialize(rows)
+    rows = materialize(ratings.select(user, item, value.alias("_r")).dropna())  # NaN counts as missing
     items = materialize(start_factors(rows, item, rank, seed))
+    # the keys of a side stay the same, so each is counted once
+    small = [row_count_at_most(side, max_broadcast) for side in (items, rows.select(user).distinct())]
     for _ in range(max_iter):
-        users = materialize(half_step(rows, items, user, item, "_r", rank, reg_param, max_broadcast))
-        items = materialize(half_step(rows, users, item, user, "_r", rank, reg_param, max_broadcast))
+        users = materialize(half_step(rows, items, user, item, "_r", rank, reg_param, small[0]))
+        items = materialize(half_step(rows, users, item, user, "_r", rank, reg_param, small[1]))
     return users, items
