@@ -15,7 +15,7 @@ user's n-th score any more:
 A task of step 1 or 3 holds one block and at most about ``CHUNK_USERS`` users:
 users are dealt into chunks by hash, and (block, chunk) is the key both sides
 are grouped by, so neither a popular block nor many users fall on one task.
-Nothing but the ladder reaches the driver.
+Nothing but the ladder and n item ids reaches the driver.
 
 Ids are unique on both sides, as they are in factor tables.  A null id, a null
 vector and a vector that holds null, NaN or an infinity take no part; vectors
@@ -180,10 +180,11 @@ def top_products(
 
 
 def _smallest_ids(everyone: DataFrame, items: DataFrame, item: str, vector: str, n: int) -> DataFrame:
-    """(_user, _item, _score) of the users of length 0; n ids are broadcast."""
-    ids = _usable(items, item, vector).select(F.col("_id").alias("_item")).orderBy("_item").limit(n)
-    idle = everyone.where("_length = 0").select(F.col("_id").alias("_user"), F.lit(0.0).alias("_score"), F.lit(0).alias("_k"))
-    return idle.join(F.broadcast(ids.withColumn("_k", F.lit(0))), "_k").select("_user", "_item", "_score")
+    """(_user, _item, _score) of the users of length 0; n ids come to the driver."""
+    ids = _usable(items, item, vector).select("_id").orderBy("_id").limit(n).collect()
+    smallest = F.array(*[F.lit(r["_id"]) for r in ids]).cast(f"array<{items.schema[item].dataType.simpleString()}>")
+    idle = everyone.where("_length = 0")
+    return idle.select(F.col("_id").alias("_user"), F.explode(smallest).alias("_item"), F.lit(0.0).alias("_score"))
 
 
 def block_ladder(blocks: DataFrame, total: int) -> list[tuple[int, float]]:

@@ -135,9 +135,12 @@ def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
 RECALL_DELAY_DAYS = 45
 
 
+def recall_as_of(spark: SparkSession, sf_dir: str) -> Column:
+    ev = read_table(spark, sf_dir, "events")
+    return latest(ev, "ts") + F.make_dt_interval(F.lit(RECALL_DELAY_DAYS))
+
+
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.operators.recall import user_item_clicks
 
-    ev = read_table(spark, sf_dir, "events")
-    as_of = latest(ev, "ts") + F.make_dt_interval(F.lit(RECALL_DELAY_DAYS))
-    return user_item_clicks(behaviour(spark, sf_dir), as_of)
+    return user_item_clicks(behaviour(spark, sf_dir), recall_as_of(spark, sf_dir))

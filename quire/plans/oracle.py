@@ -356,6 +356,9 @@ clicks AS (SELECT b.user_id, replace(b.articles, '"', '') AS article_id, max(b.c
 
 ORACLE["user_item_clicks"] = with_ctes(CLICKS) + "SELECT user_id, article_id, clicked FROM clicks"
 
+# batches and repeated deliveries change no row of the table
+ORACLE["behaviour_store_clicks"] = ORACLE["user_item_clicks"]
+
 ORACLE["als_index"] = with_ctes(CLICKS) + """
 SELECT 'user' AS kind, user_id AS key,
        CAST(row_number() OVER (ORDER BY n DESC, user_id ASC) - 1 AS INTEGER) AS als_id

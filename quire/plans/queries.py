@@ -30,6 +30,7 @@ from quire.operators.recall import (
     recall_lists,
     recommendations,
 )
+from quire.operators.recall import user_item_clicks as clicks_of
 from quire.operators.similar import similar_exact, similar_lsh
 from quire.operators.tokens import token_arrays
 from quire.operators.vectors import article_vectors, cooccurrence_vectors
@@ -38,7 +39,7 @@ from quire.plans.catalog import register_views
 from quire.plans.jobs import Stores
 from quire.session import checkpoint_dir
 from quire.sinks.writers import read_keyed, upsert_keyed
-from quire.sources import adapters
+from quire.sources import adapters, behaviour
 from quire.sources.tables import read_table
 from quire.streaming import windows
 
@@ -310,6 +311,17 @@ def user_item_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.clicks(spark, sf_dir)
 
 
+def behaviour_store_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks from the behaviour store after three batches, each with rows of every
+    day, the second of them delivered twice; only the days within the limit are
+    scanned."""
+    rows, path = materialize(inputs.behaviour(spark, sf_dir)), _store(spark, "behaviour")
+    part = F.pmod(F.xxhash64("user_id", "articles"), F.lit(3))
+    for batch in (0, 1, 1, 2):
+        behaviour.store_batch(rows.where(part == batch), path, str(batch))
+    return clicks_of(behaviour.read_behaviour(spark, path), inputs.recall_as_of(spark, sf_dir))
+
+
 def als_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both id maps in one table: (kind, key, als_id)."""
     # read by both id maps: parse the behaviour table once
@@ -415,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "similar_articles_lsh": similar_articles_lsh,
     "word_vectors": word_vectors,
     "user_item_clicks": user_item_clicks,
+    "behaviour_store_clicks": behaviour_store_clicks,
     "als_index": als_index,
     "als_recall": als_recall,
     "als_recall_exact": als_recall_exact,
