@@ -85,8 +85,9 @@ def needed_blocks(length: Column, score: Column, ladder: list[tuple[int, float]]
     return stop
 
 
-def _score(needs: DataFrame, blocks: DataFrame, n: int, user_type: str, item_type: str) -> DataFrame:
-    """(_user, _item, _score): the best n of each user in each block needed."""
+def _score(needs: DataFrame, dealt: DataFrame, n: int, user_type: str, item_type: str) -> DataFrame:
+    """(_user, _item, _score): the best n of each user in each block needed;
+    ``dealt`` holds a copy of a block (_to) for each chunk (_part) that needs it."""
 
     def best(users: pa.Table, block: pa.Table) -> pa.Table:
         out = {"_user": [], "_item": [], "_score": []}
@@ -126,9 +127,6 @@ def _score(needs: DataFrame, blocks: DataFrame, n: int, user_type: str, item_typ
         columns = [pa.chunked_array(out[name], kind) for name, kind in zip(out, types)]
         return pa.table(columns, names=list(out))
 
-    # a block is copied once for each chunk that needs it
-    wanted = needs.select(F.col("_block").alias("_to"), F.col("_chunk").alias("_part")).distinct()
-    dealt = wanted.join(blocks, F.col("_to") == F.col("_block")).drop("_block")
     return (
         needs.groupBy("_block", "_chunk")
         .cogroup(dealt.groupBy("_to", "_part"))
@@ -161,7 +159,9 @@ def top_products(
     nothing = F.lit(float("-inf"))
 
     first = ready.select("*", nothing.alias("_floor"), F.lit(0).cast("long").alias("_block"))
-    head = materialize(_score(first, blocks, n, *types))
+    every_chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+    longest = blocks.where("_block = 0").withColumnRenamed("_block", "_to").withColumn("_part", every_chunk)
+    head = materialize(_score(first, longest, n, *types))
     total = blocks.count()
     found = head.unionByName(_smallest_ids(everyone, items, item, vector, n))
     if total > 1:
@@ -172,7 +172,10 @@ def top_products(
         later = ready.join(floors, "_id").withColumn("_need", needed_blocks(F.col("_length"), F.col("_floor"), ladder))
         later = later.where("_need > 1").withColumn("_block", F.explode(F.sequence(F.lit(1), F.col("_need") - 1)))
         later = later.withColumn("_block", F.col("_block").cast("long")).drop("_need")
-        found = found.unionByName(_score(materialize(later), blocks, n, *types))
+        later = materialize(later)
+        wanted = later.select(F.col("_block").alias("_to"), F.col("_chunk").alias("_part")).distinct()
+        dealt = wanted.join(blocks, F.col("_to") == F.col("_block")).drop("_block")
+        found = found.unionByName(_score(later, dealt, n, *types))
     ranked = top_k_per_group(found, "_user", [F.col("_score").desc(), F.col("_item").asc()], n, "rank")
     return ranked.select(
         F.col("_user").alias(user), "rank", F.col("_item").alias(item), F.col("_score").alias("score")

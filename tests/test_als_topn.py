@@ -137,6 +137,20 @@ def test_many_ties_at_the_last_place(spark):
     assert got == brute(users, items, 5)
 
 
+def test_no_cross_join(spark, monkeypatch):
+    """Neither the last plan nor those of the tables written on the way."""
+    plans = []
+    write = topn.materialize
+    keep = lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df)
+    monkeypatch.setattr(topn, "materialize", keep)
+    users = factors(spark, [(u, [1.0 + u, 0.5]) for u in range(30)], "user_id")
+    items = factors(spark, [(i, [1.0, float(i % 7)]) for i in range(60)], "article_id")
+    last = topn.top_products(users, items, 5, block_items=8, chunk_users=7)
+    plans.append(last._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 5
+    assert not any(w in p for p in plans for w in ("Join Cross", "Join Inner\n", "CartesianProduct", "NestedLoop"))
+
+
 def test_unusable_rows_and_empty_sides(spark):
     nan, inf = float("nan"), float("inf")
     users = factors(spark, [(1, [1.0, 2.0]), (2, None), (3, [nan, 1.0]), (None, [1.0, 1.0]), (4, [None, 1.0])], "user_id")
