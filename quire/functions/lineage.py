@@ -33,14 +33,26 @@ from quire.session import checkpoint_dir
 _SCOPE: ContextVar[list[str] | None] = ContextVar("quire_scratch", default=None)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def write_scratch(df: DataFrame, partition_cols: list[str] | None = None) -> str:
+    """Write a table under the checkpoint folder; returns its path."""
     folder = checkpoint_dir(df.sparkSession)
     path = os.path.join(folder, "tables", uuid.uuid4().hex)
-    df.write.parquet(path)
+    df.write.partitionBy(*(partition_cols or [])).parquet(path)
     scope = _SCOPE.get()
     if scope is not None:
         scope.append(path)
-    return df.sparkSession.read.parquet(path)
+    return path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    return df.sparkSession.read.parquet(write_scratch(df))
+
+
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``write_scratch`` that no DataFrame reads any more."""
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
 
 
 @contextmanager
@@ -55,11 +67,8 @@ def scratch_scope(spark: SparkSession):
         yield
     finally:
         _SCOPE.reset(token)
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for p in paths:
-            hp = jvm.org.apache.hadoop.fs.Path(p)
-            hp.getFileSystem(conf).delete(hp, True)
+            delete_scratch(spark, p)
 
 
 def input_partitions(df: DataFrame) -> int:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quire.functions import vectors as vec
 from quire.functions.lineage import materialize, spread
 from quire.functions.windows import day_window, hourly_window, in_window
-from quire.operators import als, prepare, segment, tfidf, tokens, topn
+from quire.operators import als, prepare, segment, skipgram, tfidf, tokens, topn
 from quire.operators.profile import explode_profile
 from quire.operators.recall import (
     TOP_N,
@@ -230,6 +230,12 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def skip_gram_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skip-gram vectors of all words of the articles, at the reference's size."""
+    arts = prepare.prepare_articles(spread(inputs.news(spark, sf_dir), "m_id"))
+    return skipgram.fit(materialize(token_arrays(arts).select("words")))
+
+
 def _store(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "stores", f"{name}-{uuid.uuid4().hex}")
 
@@ -426,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "similar_articles_exact": similar_articles_exact,
     "similar_articles_lsh": similar_articles_lsh,
     "word_vectors": word_vectors,
+    "skip_gram_vectors": skip_gram_vectors,
     "user_item_clicks": user_item_clicks,
     "behaviour_store_clicks": behaviour_store_clicks,
     "als_index": als_index,
