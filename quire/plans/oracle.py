@@ -330,9 +330,17 @@ LSH_PAIRS = _lsh_pairs()
 
 ORACLE["similar_articles_lsh"] = with_ctes(ARTICLE_VECTORS, LSH_PAIRS) + "SELECT * FROM lsh"
 
-ORACLE["similar_store_upsert"] = with_ctes(ARTICLE_VECTORS, LSH_PAIRS) + f"""
-SELECT *, CASE WHEN article_id % 20 = 0 THEN TIMESTAMP '2024-02-16' ELSE TIMESTAMP '2024-02-15' END AS computed_at
-FROM lsh WHERE article_id % 20 <> 0 OR distance < {CLOSER_THRESHOLD}"""
+ORACLE["similar_store_upsert"] = with_ctes(
+    ARTICLE_VECTORS,
+    LSH_PAIRS,
+    "even AS (SELECT DISTINCT article_id AS t FROM lsh WHERE article_id % 20 = 0)",
+    """sides AS (SELECT article_id, similar_id, distance FROM lsh
+              UNION SELECT similar_id AS article_id, article_id AS similar_id, distance FROM lsh)""",
+    "runs AS (SELECT *, article_id IN (FROM even) OR similar_id IN (FROM even) AS again FROM sides)",
+) + f"""
+SELECT article_id, similar_id, distance,
+       CASE WHEN again THEN TIMESTAMP '2024-02-16' ELSE TIMESTAMP '2024-02-15' END AS computed_at
+FROM runs WHERE NOT again OR distance < {CLOSER_THRESHOLD}"""
 
 ORACLE["similar_articles_exact"] = with_ctes(ARTICLE_VECTORS) + """
 SELECT article_id, similar_id, round(d, 4) + 0.0 AS distance FROM (
@@ -405,6 +413,14 @@ SELECT article_id, channel_name, CASE WHEN article_id % 3 = 0 THEN 'edited' ELSE
        CASE WHEN article_id % 3 = 0 THEN article_time + INTERVAL 1 DAY ELSE article_time END AS article_time
 FROM art WHERE article_id % 7 <> 0 OR article_id % 3 = 0 OR article_id % 5 = 0"""
 
+ORACLE["snapshot_reads"] = with_ctes(*BASE) + """
+SELECT 'between' AS moment, article_id, title, length(content) AS n_chars, article_time FROM art
+UNION ALL
+SELECT 'after' AS moment, article_id, CASE WHEN article_id % 5 = 0 THEN 'edit 2' ELSE title END AS title,
+       length(content) + CASE WHEN article_id % 5 = 0 THEN 2 ELSE 0 END AS n_chars,
+       CASE WHEN article_id % 5 = 0 THEN article_time + INTERVAL 2 DAY ELSE article_time END AS article_time
+FROM art"""
+
 ORACLE["store_views"] = with_ctes(*KEYWORDS) + """
 SELECT a.article_id, a.title, a.article_time, count(k.keyword) AS n_keywords,
        coalesce(string_agg(k.keyword, ',' ORDER BY k.keyword), '') AS keywords

@@ -38,6 +38,8 @@ from quire.plans import inputs
 from quire.plans.catalog import register_views
 from quire.plans.jobs import Stores
 from quire.session import checkpoint_dir
+from quire.sinks.pairs import PAIR_KEYS, both_sides
+from quire.sinks.snapshots import batch_of, begin, committed
 from quire.sinks.writers import read_keyed, upsert_keyed
 from quire.sources import adapters, behaviour
 from quire.sources.tables import read_table
@@ -298,18 +300,51 @@ def delivery_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "newest")})
 
 
+def snapshot_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles with their length from two stores, read twice: between the two
+    writes of a batch that edits every third article and never ends, and after one that
+    edits every fifth."""
+    stores, key = Stores(_store(spark, "snapshots")), ["article_id"]
+    arts = materialize(
+        inputs.articles(spark, sf_dir).select("article_id", "title", F.length("content").alias("n_chars"), "article_time")
+    )
+
+    def read() -> DataFrame:
+        seen = committed(spark, stores.root)
+        articles = read_keyed(spark, stores.articles, batches=seen)
+        lengths = read_keyed(spark, stores.profiles, batches=seen)
+        return materialize(articles.join(lengths, ["article_id", "article_time"]))
+
+    def write(batch: int, rows: DataFrame, path: str) -> None:
+        upsert_keyed(spark, rows, path, key, "article_time", batch=batch)
+
+    def edited(every: int, days: int) -> DataFrame:
+        later = F.col("article_time") + F.make_dt_interval(F.lit(days))
+        rows = arts.where(F.pmod("article_id", F.lit(every)) == 0)
+        return rows.withColumns({"title": F.lit(f"edit {days}"), "n_chars": F.col("n_chars") + days, "article_time": later})
+
+    for rows in (arts, edited(5, 2)):
+        with batch_of(spark, stores.root) as batch:
+            write(batch, rows.drop("n_chars"), stores.articles)
+            write(batch, rows.drop("title"), stores.profiles)
+        if rows is arts:
+            write(begin(spark, stores.root), edited(3, 1).drop("n_chars"), stores.articles)
+            between = read()
+    return between.withColumn("moment", F.lit("between")).unionByName(read().withColumn("moment", F.lit("after")))
+
+
 def similar_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The similar-articles store after a first run and a second one that
-    recomputed the even articles with a closer threshold: their pairs are
-    replaced together, those that have none now are gone."""
+    """The similar-articles store, kept on both sides, after a first run and a
+    second one that recomputed the even articles with a closer threshold: all their
+    pairs are replaced in both lists, those that are not found now are gone."""
     found = materialize(similar_articles_lsh(spark, sf_dir))
     path = _store(spark, "similar")
-    at = [F.lit(f"2024-02-1{d} 00:00:00").cast("timestamp_ntz") for d in (5, 6)]
-    upsert_keyed(spark, found.withColumn("computed_at", at[0]), path, ["article_id"], "computed_at")
     even = found.where(F.pmod("article_id", F.lit(20)) == 0)
-    touched = even.select("article_id", at[1].alias("computed_at"))
-    closer = even.where(F.col("distance") < CLOSER_THRESHOLD).withColumn("computed_at", at[1])
-    upsert_keyed(spark, closer, path, ["article_id"], "computed_at", touched)
+    runs = [(5, found, found), (6, even.where(F.col("distance") < CLOSER_THRESHOLD), even)]
+    for day, pairs, touched in runs:
+        at = F.lit(f"2024-02-1{day} 00:00:00").cast("timestamp_ntz")
+        rows, replaced = both_sides(spark, pairs, path, touched, at)
+        upsert_keyed(spark, rows, path, PAIR_KEYS, "computed_at", replaced)
     return read_keyed(spark, path)
 
 
@@ -446,6 +481,7 @@ QUERIES: dict[str, Query] = {
     "article_vector_refresh": article_vector_refresh,
     "article_store_upsert": article_store_upsert,
     "similar_store_upsert": similar_store_upsert,
+    "snapshot_reads": snapshot_reads,
     "store_views": store_views,
     "delivery_windows": delivery_windows,
 }

@@ -23,6 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.functions.joins import sized_broadcast
 from quire.functions.lineage import materialize
 
 # columns of a keyed store that readers never see: partition (day of the
@@ -57,6 +58,7 @@ def upsert_keyed(
     keys: list[str],
     version_col: str,
     touched: DataFrame | None = None,
+    batch: int | None = None,
 ) -> None:
     """Append ``updates`` as a delta: for each key, all rows of its newest
     version are the ones read back (greatest ``version_col``; of equal versions
@@ -66,7 +68,8 @@ def upsert_keyed(
     ``touched`` (keys and version) lists every key the batch recomputed: one
     without rows in ``updates`` loses its older rows (a tombstone).  The delta
     is evaluated once, also when it reads the store itself, and a batch that
-    is written again, after a failure or not, changes nothing."""
+    is written again, after a failure or not, changes nothing.  ``batch`` (see
+    ``snapshots``) is the write's sequence number; else it is the clock's."""
     delta = updates.withColumn(GONE_COL, F.lit(False))
     if touched is not None:
         # narrow: keys and versions only
@@ -74,7 +77,7 @@ def upsert_keyed(
         left = left.join(updates.select(*keys).distinct(), keys, "left_anti")
         delta = delta.unionByName(left.withColumn(GONE_COL, F.lit(True)), allowMissingColumns=True)
     delta = materialize(delta.withColumn(DAY_COL, F.to_date(version_col)))
-    sequence = F.lit(time.time_ns()).alias(SEQ_COL, metadata={"keys": keys, "version": version_col})
+    sequence = F.lit(time.time_ns() if batch is None else batch).alias(SEQ_COL, metadata={"keys": keys, "version": version_col})
     # one group of files per day, large days split and small ones packed by AQE;
     # rows in version order, so a time bound skips row groups inside a day
     (
@@ -87,32 +90,58 @@ def upsert_keyed(
     )
 
 
-def _newest(stored: DataFrame) -> DataFrame:
-    about = stored.schema[SEQ_COL].metadata
+def _newest(stored: DataFrame, about: dict) -> DataFrame:
     order = Window.partitionBy(*about["keys"]).orderBy(
         F.col(about["version"]).desc_nulls_last(), F.col(SEQ_COL).desc()
     )
     return stored.withColumn("_rank", F.rank().over(order)).where(F.col("_rank") == 1).drop("_rank")
 
 
-def read_keyed(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+def _of_batches(stored: DataFrame, batches: DataFrame, how: str) -> DataFrame:
+    numbers = sized_broadcast(batches.select(F.col("batch").alias("_batch")).distinct())
+    return stored.join(numbers, stored[SEQ_COL] == numbers["_batch"], how)
+
+
+def read_keyed(
+    spark: SparkSession,
+    path: str,
+    since: Column | None = None,
+    only: DataFrame | None = None,
+    batches: DataFrame | None = None,
+) -> DataFrame:
     """The current rows of a keyed store; with ``since`` those whose version is
-    at or after it (days before are not read)."""
+    at or after it (days before are not read), with ``only`` (some of the key
+    columns) those of its keys, with ``batches`` as these batches left the store.
+    All three apply before versions are compared, so no other row is shuffled."""
     stored = spark.read.parquet(path)
+    about = stored.schema[SEQ_COL].metadata
     if since is not None:
         stored = stored.where(F.col(DAY_COL) >= F.to_date(since))
-    rows = _newest(stored).where(~F.col(GONE_COL))
+    if batches is not None:
+        stored = _of_batches(stored, batches, "left_semi")
+    if only is not None:
+        if not set(only.columns) <= set(about["keys"]):
+            raise ValueError(f"{only.columns} are not among the keys {about['keys']}")
+        stored = stored.join(only, only.columns, "left_semi")
+    rows = _newest(stored, about).where(~F.col(GONE_COL))
     if since is not None:
-        rows = rows.where(F.col(stored.schema[SEQ_COL].metadata["version"]) >= since)
+        rows = rows.where(F.col(about["version"]) >= since)
     return rows.drop(DAY_COL, SEQ_COL, GONE_COL)
 
 
-def compact(spark: SparkSession, path: str) -> None:
+def compact(spark: SparkSession, path: str, batches: DataFrame | None = None) -> None:
     """Replace the deltas of every day by the rows that still count.  Days that
-    hold nothing current keep their (outdated, never read back) files."""
+    hold nothing current keep their (outdated, never read back) files.  With
+    ``batches`` only their rows are folded; those of others, perhaps still being
+    written, stay."""
     stored = spark.read.parquet(path)
     about = stored.schema[SEQ_COL].metadata
-    current = materialize(_newest(stored))
+    if batches is None:
+        current = _newest(stored, about)
+    else:
+        current = _newest(_of_batches(stored, batches, "left_semi"), about)
+        current = current.unionByName(_of_batches(stored, batches, "left_anti"))
+    current = materialize(current)
     kept = current.withColumn(SEQ_COL, F.col(SEQ_COL).alias(SEQ_COL, metadata=about))
     ordered = kept.hint("rebalance", F.col(DAY_COL)).sortWithinPartitions(
         DAY_COL, about["version"], *about["keys"]
@@ -121,15 +150,21 @@ def compact(spark: SparkSession, path: str) -> None:
 
 
 def unseen_versions(
-    spark: SparkSession, updates: DataFrame, path: str, keys: list[str], version_col: str, hash_col: str
+    spark: SparkSession,
+    updates: DataFrame,
+    path: str,
+    keys: list[str],
+    version_col: str,
+    hash_col: str,
+    batches: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``updates`` that the keyed table at ``path`` (keys, version,
     content hash) does not list yet: newer, or of the same version with other
     content.  All rows when the table does not exist.  Narrow columns only are
-    read and joined."""
+    read, and of these only the keys of ``updates`` (read twice) are shuffled."""
     if read_if_exists(spark, path) is None:
         return updates
-    stored = read_keyed(spark, path).select(
+    stored = read_keyed(spark, path, only=updates.select(*keys).distinct(), batches=batches).select(
         *keys, F.col(version_col).alias("_stored"), F.col(hash_col).alias("_stored_hash")
     )
     newer = F.col(version_col) > F.col("_stored")

@@ -22,6 +22,7 @@ from quire.plans.jobs import (
 )
 from quire.plans import jobs
 from quire.sources.models import load_als, load_word2vec
+from quire.sinks.snapshots import committed
 from quire.sinks.writers import compact, read_if_exists, read_keyed, upsert_keyed, write_partitioned
 from quire.sources import adapters
 from quire.streaming.incremental import process_batch, start_incremental
@@ -61,13 +62,21 @@ def _news(spark):
     return adapters.news_from_documents(docs).withColumn("time", time)
 
 
+def _seen(spark, path):
+    """As readers of complete batches see it; nothing if there is no table yet."""
+    if read_if_exists(spark, path) is None:
+        return []
+    rows = read_keyed(spark, path, batches=committed(spark, os.path.dirname(path)))
+    return sorted(map(repr, rows.drop("computed_at").collect()))
+
+
 def _rows(spark, path):
     return sorted(map(repr, read_keyed(spark, path).drop("computed_at").collect()))
 
 
-def _tables(spark, stores):
+def _tables(spark, stores, rows=_rows):
     paths = (stores.articles, stores.index_keywords, stores.keywords, stores.profiles, stores.article_vectors, stores.similar, stores.processed)
-    return {p.rsplit("/", 1)[1]: _rows(spark, p) for p in paths}
+    return {p.rsplit("/", 1)[1]: rows(spark, p) for p in paths}
 
 
 def test_full_then_hourly_jobs(spark, scratch):
@@ -231,6 +240,8 @@ def test_a_failed_run_is_repeated_whole(spark, scratch, monkeypatch, path):
     run(clean)
     want = _tables(spark, clean)
     assert len(want["article_data"]) > 36 and want["similar_articles"]
+    assert _tables(spark, clean, _seen) == want
+    before = _tables(spark, Stores(base), _seen)
     write = jobs.upsert_keyed
     # the hourly job after each of its writes, the stream (the same chain) after some
     for writes in range(7) if path == "hourly" else (0, 3, 6):
@@ -246,6 +257,8 @@ def test_a_failed_run_is_repeated_whole(spark, scratch, monkeypatch, path):
         with pytest.raises(RuntimeError, match="lost"):
             run(stores)
         monkeypatch.setattr(jobs, "upsert_keyed", write)
+        if writes in (3, 6):  # readers see nothing of the run that failed
+            assert _tables(spark, stores, _seen) == before
         run(stores)
         assert _tables(spark, stores) == want
 
