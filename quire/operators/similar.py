@@ -10,12 +10,13 @@ most one per direction.  The new side is replicated to its 3**k neighbour
 cells and equi-joined with the history side on the cell key, then the true
 distance is checked.  When the new side is proven small it is broadcast and
 the history side is streamed without any shuffle.  Otherwise both sides are
-shuffled on the cell key, and hot cells (many vectors in one cell, e.g. when
-``t`` is near the data's spread) are split: a cell with more than
-``hot_cell_rows`` history rows gets ceil(rows / hot_cell_rows) salts, its
-history rows are spread over them and the new rows probing it are copied
-once per salt, so no task holds more than about ``hot_cell_rows`` history
-rows of one cell.  Only the hot cells are salted.
+shuffled on the cell key, without the rows of cells that only one of them has.
+A cell is cut into blocks of at most about ``hot_cell_rows`` rows (``BLOCK_ROWS`` at
+most) by a hash of the id on both sides; each pair of blocks is one group, small
+cells share one.  A task thus holds two blocks, compares them by products of
+matrices of ``SCORED_PAIRS`` pairs and checks the true distance of what is left, so
+a cell that holds the whole table (``t`` near the data's spread) costs the
+arithmetic of its pairs and no shuffle of candidates.
 
 ``similar_lsh`` is the approximate join for production, the same hash family
 as the reference's (bucketed random projections) in DataFrame functions; its
@@ -29,8 +30,10 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -39,6 +42,7 @@ from pyspark.sql import functions as F
 from quire.functions import vectors as vec
 from quire.functions.joins import row_count_at_most
 from quire.functions.lineage import materialize
+from quire.functions.workers import ship_package
 
 # Fixed values of the reference's similarity stage.
 LSH_SEED = 125
@@ -56,9 +60,16 @@ JOB_HASH_TABLES = 6
 # exact join defaults (ours)
 GRID_PROJECTIONS = 2
 GRID_SEED = 7
-# a grid cell holding more history rows than this is split into salts of at
-# most this many rows
+# a grid cell holding more rows than this is split into salts of at most about
+# this many rows
 HOT_CELL_ROWS = 1_000_000
+# ... and no block of either side holds more (8,192 vectors of 64 components: 4 MB)
+BLOCK_ROWS = 8_192
+# pairs of a block compared at a time (doubles), candidates checked at a time
+SCORED_PAIRS = 4_000_000
+CHECKED_PAIRS = 65_536
+# relative rounding error allowed for in a square distance by products
+SQUARE_SLACK = 1e-9
 # the new side is broadcast only while (rows x 3**projections) stays under
 # this bound; each replica carries one vector
 MAX_BROADCAST_REPLICAS = 20_000
@@ -128,30 +139,16 @@ def similar_exact(
 
     if row_count_at_most(new, max_broadcast_replicas // 3**k):
         # small new side: broadcast it, stream the history without a shuffle
-        pairs = h.join(F.broadcast(n), cells)
+        dist = vec.euclidean(F.col("_nv"), F.col("_hv"))
+        pairs = h.join(F.broadcast(n), cells).select("article_id", "similar_id", dist.alias("_d"))
+        pairs = pairs.where(
+            (F.col("_d") < F.lit(threshold)) & _keep_pair(F.col("article_id"), F.col("similar_id"), F.col("_d"))
+        )
     else:
-        # hot cells of the history get ceil(rows / hot_cell_rows) salts; the
-        # table has at most |history| / hot_cell_rows rows, so it is broadcast
-        hot = materialize(
-            h.groupBy(*cells)
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > hot_cell_rows)
-            .select(*cells, F.ceil(F.col("_rows") / F.lit(hot_cell_rows)).cast("int").alias("_salts"))
+        none = [F.lit(0).alias("_t"), F.array().cast("array<bigint>").alias("_bs")]
+        pairs = _close_pairs(
+            n.select("*", *none), h.select("*", *none), cells, threshold, min(hot_cell_rows, BLOCK_ROWS)
         )
-        salts = F.coalesce(F.col("_salts"), F.lit(1))
-        hs = h.join(F.broadcast(hot), cells, "left").withColumn(
-            "_salt", F.pmod(F.xxhash64("similar_id"), salts).cast("int")
-        ).drop("_salts")
-        # new rows are copied once per salt of the cell they probe
-        ns = n.join(F.broadcast(hot), cells, "left").withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-        ).drop("_salts")
-        pairs = hs.join(ns, cells + ["_salt"])
-
-    dist = vec.euclidean(F.col("_nv"), F.col("_hv"))
-    pairs = pairs.select("article_id", "similar_id", dist.alias("_d")).where(
-        (F.col("_d") < F.lit(threshold)) & _keep_pair(F.col("article_id"), F.col("similar_id"), F.col("_d"))
-    )
     return pairs.select(
         "article_id",
         "similar_id",
@@ -159,22 +156,103 @@ def similar_exact(
     )
 
 
-def _pairs_distances(pairs: DataFrame, new: DataFrame, history: DataFrame, threshold: float) -> DataFrame:
-    """Attach the vectors to distinct id pairs and keep those that are close."""
-    a = new.select("article_id", F.col("articlevector").alias("_nv"))
-    b = history.select(F.col("article_id").alias("similar_id"), F.col("articlevector").alias("_hv"))
-    dist = vec.euclidean(F.col("_nv"), F.col("_hv"))
-    near = (
-        pairs.join(a, "article_id")
-        .join(b, "similar_id")
-        .select("article_id", "similar_id", dist.alias("_d"))
-        .where((F.col("_d") < F.lit(threshold)) & _keep_pair(F.col("article_id"), F.col("similar_id"), F.col("_d")))
+def _close_pairs(new: DataFrame, history: DataFrame, cell: list[str], threshold: float, block_rows: int) -> DataFrame:
+    """(article_id, similar_id, _d): the pairs of a cell that are closer than ``threshold``.
+
+    ``new`` (article_id, _nv) and ``history`` (similar_id, _hv) come with the columns of
+    ``cell``, ``_t`` and ``_bs``: a pair whose ``_bs`` agree at a place before ``_t`` is left
+    to the cell of that place, so a pair that meets in several tables is given once.
+    Only rows of cells that both sides have are shuffled."""
+    spark = new.sparkSession
+    ship_package(spark)
+    new = new.where(F.col("article_id").isNotNull()).dropna(subset=cell)
+    history = history.where(F.col("similar_id").isNotNull()).dropna(subset=cell)
+    rows = lambda df, name: df.groupBy(*cell).agg(F.count(F.lit(1)).alias(name))
+    salts = lambda name: F.ceil(F.col(name) / F.lit(block_rows)).cast("int")
+    # one row for each cell that both sides have, numbered
+    sizes = rows(new, "_n").join(rows(history, "_h"), cell)
+    sizes = sizes.select(*cell, (F.col("_n") + F.col("_h")).alias("_rows"), salts("_n").alias("_ns"), salts("_h").alias("_hs"))
+    sizes = materialize(sizes.withColumn("_cell", F.monotonically_increasing_id()))
+    alone = (F.col("_ns") == 1) & (F.col("_hs") == 1)
+    small = sizes.where(alone).agg(F.sum("_rows")).first()[0] or 0
+    packs = max(1, -(-small // (2 * block_rows)))
+    # small cells share a task by hash, the blocks of a larger one have one each
+    pack = F.when(alone, -1 - F.pmod(F.xxhash64("_cell"), F.lit(packs))).otherwise(F.col("_cell")).alias("_pack")
+
+    def dealt(df: DataFrame, side: int, key: str, vector: str, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64(key), F.col(own)).cast("int").alias(own)
+        copies = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other)
+        kept = [F.lit(side).alias("_side"), F.col(key).alias("_id"), F.col(vector).alias("_v"), "_t", "_bs"]
+        out = df.join(sizes, cell).select(pack, "_cell", mine, copies, *kept)
+        return out.select("_pack", "_ns", "_hs", "_cell", "_side", "_id", "_v", "_t", "_bs")
+
+    both = dealt(new, 0, "article_id", "_nv", "_ns", "_hs").unionByName(
+        dealt(history, 1, "similar_id", "_hv", "_hs", "_ns")
     )
-    return near.select(
-        "article_id", "similar_id", (F.round("_d", DISTANCE_DECIMALS) + F.lit(0.0)).alias("distance")
+    kind = both.schema["_id"].dataType.simpleString()
+    # few bytes, much arithmetic: not packed into fewer tasks by AQE
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(tasks, "_pack", "_ns", "_hs")
+    return both.groupBy("_pack", "_ns", "_hs").applyInArrow(
+        _compare(threshold), f"article_id {kind}, similar_id {kind}, _d double"
     )
 
 
+def _compare(threshold: float):
+    """A task's pairs: the squared distance by a product of matrices, in blocks, leaves
+    the candidates; their distance is summed component by component."""
+
+    def matrix(column: pa.ChunkedArray) -> np.ndarray:
+        column = pa.concat_arrays(column.chunks)
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        side, cell = table.column("_side").to_numpy(), table.column("_cell").to_numpy()
+        places = []
+        for s in (0, 1):
+            mine = np.flatnonzero(side == s)
+            places.append(mine[np.argsort(cell[mine], kind="stable")])
+        if not (len(places[0]) and len(places[1])):
+            return
+        (x, y), (xb, yb) = ([matrix(table.column(c).take(pa.array(p))) for p in places] for c in ("_v", "_bs"))
+        ids = table.column("_id").combine_chunks()
+        xid, yid = (ids.take(pa.array(p)) for p in places)
+        xn, yn = xid.to_numpy(zero_copy_only=False), yid.to_numpy(zero_copy_only=False)
+        at = table.column("_t").to_numpy()[places[0]]
+        with np.errstate(all="ignore"):
+            xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+            # no distance from a vector with NaN or an infinity is below the threshold
+            live = [np.isfinite(m).all(axis=1) for m in (x, y)]
+            for c in np.intersect1d(cell[places[0]], cell[places[1]]):
+                a, b = (np.flatnonzero((cell[p] == c) & ok) for p, ok in zip(places, live))
+                right, t = y[b], at[np.searchsorted(cell[places[0]], c)]
+                step = max(1, SCORED_PAIRS // max(1, len(b)))
+                for k in range(0, len(a), step):
+                    i = a[k : k + step]
+                    rough = x[i] @ right.T
+                    rough *= -2.0
+                    # the expanded square may be off by rounding; one that overflows stays
+                    rough += (xx[i] * (1.0 - SQUARE_SLACK))[:, None]
+                    rough += (yy[b] * (1.0 - SQUARE_SLACK))[None, :]
+                    r, q = np.nonzero(~(rough > threshold * threshold * (1.0 + SQUARE_SLACK)))
+                    for m in range(0, len(r), CHECKED_PAIRS):
+                        left, other = i[r[m : m + CHECKED_PAIRS]], b[q[m : m + CHECKED_PAIRS]]
+                        steps = x[left].T - y[other].T
+                        total = np.zeros(len(left))
+                        for d in steps:  # in the order of the components
+                            total += d * d
+                        total = np.sqrt(total)
+                        keep = (total < threshold) & (total != 0) & (xn[left] != yn[other])
+                        if t:
+                            keep &= ~(xb[left, :t] == yb[other, :t]).any(axis=1)
+                        if keep.any():
+                            found = [xid.take(pa.array(left[keep])), yid.take(pa.array(other[keep])), pa.array(total[keep])]
+                            yield pa.RecordBatch.from_arrays(found, names=["article_id", "similar_id", "_d"])
+
+    return run
+
+
 def lsh_directions(dim: int, tables: int, seed: int = LSH_SEED) -> list[list[float]]:
     """The unit direction of each table, as short literals (the SQL statement of
     the query uses the same)."""
@@ -194,9 +272,10 @@ def similar_lsh(
     """Bucketed random projections: vectors whose projections on a table's
     direction fall into the same bucket of ``bucket_length`` are candidates.
 
-    Only (id, table, bucket) rows are joined; candidate ids are made distinct
-    before any vector is attached.  A bucket with more than ``hot_bucket_rows``
-    history rows is salted, its new rows copied once per salt.  The bucket length
+    Vectors meet in the blocks of a bucket; a pair that shares several buckets is
+    given by the first of their tables, so no list of candidates is written or made
+    distinct.  A bucket is cut into blocks of ``hot_bucket_rows`` rows, ``BLOCK_ROWS``
+    at most, on both sides.  The bucket length
     should match the spread of the vectors: wide buckets make all pairs
     candidates, narrow ones lose pairs.  None derives it from the threshold.
     ``staggered`` tables have their edges apart: else each has one at 0, and
@@ -214,21 +293,12 @@ def similar_lsh(
         places = [p + F.lit(t / num_hash_tables) for t, p in enumerate(places)]
     buckets = F.array(*[F.floor(p) for p in places])
     key = ["_t", "_b"]
-    h = history.select(F.col("article_id").alias("similar_id"), F.posexplode(buckets).alias(*key))
-    n = new.select("article_id", F.posexplode(buckets).alias(*key))
-    # at most |history| x tables / hot_bucket_rows rows
-    hot = (
-        h.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_bucket_rows)
-        .select(*key, F.ceil(F.col("_rows") / F.lit(hot_bucket_rows)).cast("int").alias("_salts"))
-    )
-    hot = materialize(hot)
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    h = h.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64("similar_id"), salts).cast("int"))
-    n = n.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    pairs = h.drop("_salts").join(n.drop("_salts"), [*key, "_salt"]).select("article_id", "similar_id").distinct()
-    return _pairs_distances(pairs.where("article_id <> similar_id"), new, history, threshold)
+    bucketed = lambda df, own, v: df.select(
+        F.col("article_id").alias(own), F.col("articlevector").alias(v), buckets.alias("_bs")
+    ).select("*", F.posexplode("_bs").alias(*key))
+    n, h = bucketed(new, "article_id", "_nv"), bucketed(history, "similar_id", "_hv")
+    pairs = _close_pairs(n, h, key, threshold, min(hot_bucket_rows, BLOCK_ROWS))
+    return pairs.select("article_id", "similar_id", (F.round("_d", DISTANCE_DECIMALS) + F.lit(0.0)).alias("distance"))
 
 
 def similar_mllib_lsh(

@@ -64,6 +64,34 @@ def test_lsh_pairs_subset_of_exact(spark):
     assert len(approx) > 0
 
 
+@pytest.mark.parametrize("block_rows", [5, 8192])
+def test_lsh_pairs_once_without_a_list_of_candidates(spark, monkeypatch, block_rows):
+    """Pairs that share several buckets come once; copies, null, NaN and infinite
+    vectors; the candidates are neither shuffled nor made distinct."""
+    monkeypatch.setattr(similar, "BLOCK_ROWS", block_rows)
+    hist = random_rows(60, 3, 8)
+    odd = [(900, None), (901, [1.0, None, 0.0]), (902, [float("nan")] * 3), (903, [float("inf"), 0.0, 0.0]), (None, hist[0][1])]
+    new = hist[:20] + [(500, hist[3][1])]
+    got = similar.similar_lsh(vectors_df(spark, new + odd), vectors_df(spark, hist + odd), 2.0, 1.0, 4)
+    units = similar.lsh_directions(3, 4)
+    place = lambda v: [math.floor(sum(x * y for x, y in zip(v, u)) / 1.0) for u in units]
+    meet = {(a, b) for a, v in new for b, w in hist if any(x == y for x, y in zip(place(v), place(w)))}
+    want = sorted(p for p in brute(new, hist, 2.0) if p[:2] in meet)
+    assert sorted((r.article_id, r.similar_id, r.distance) for r in got.collect()) == want and len(want) > 50
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "FlatMapGroupsInArrow" in plan
+
+
+def test_exact_join_compares_a_large_cell_in_blocks(spark, monkeypatch):
+    """All vectors in neighbouring cells: both sides are cut."""
+    monkeypatch.setattr(similar, "BLOCK_ROWS", 16)
+    hist = random_rows(100, 4, 11, scale=0.1)
+    new = hist[:40]
+    got = similar.similar_exact(vectors_df(spark, new), vectors_df(spark, hist), 0.3, max_broadcast_replicas=0)
+    assert {(r.article_id, r.similar_id, r.distance) for r in got.collect()} == brute(new, hist, 0.3)
+    assert "FlatMapGroupsInArrow" in got._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("dim", [1, 8, 200])
 def test_lsh_bucket_from_the_threshold(spark, dim):
     """Pairs just below the threshold, also those on opposite sides of the origin."""
