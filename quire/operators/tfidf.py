@@ -19,7 +19,7 @@ vocabulary aggregate on word (partial aggregation map-side, so a word found
 in every article is one row per task before the shuffle) -> words below the
 cap's count dropped (exact) -> distributed index -> vocabulary stored ->
 the scoring join on word (vocabulary broadcast only after a row
-count check, else sort-merge with AQE skew splitting) -> top-k window per
+count check, else its most frequent words; the rest sort-merge) -> top-k window per
 article with the group limit applied before its shuffle.
 """
 
@@ -103,22 +103,22 @@ def score(
     are dropped by the inner join.
 
     The vocabulary is broadcast when its row count is measured under
-    ``max_broadcast_rows``; otherwise both sides are shuffled on the word
-    (sort-merge, hot words split by AQE).  The term-frequency side is never
-    the broadcast side, whatever the size estimate of a checkpointed scan."""
+    ``max_broadcast_rows``.  Otherwise its ``max_broadcast_rows`` most frequent words
+    (the first by index) are: nearly all rows find their word there, and only those
+    of the other words, none of them frequent, are shuffled on the word
+    (sort-merge).  The term-frequency side is never the broadcast side, whatever
+    the size estimate of a checkpointed scan."""
     v = vocabulary.select("keyword", "index", "idf")
-    if row_count_at_most(v, max_broadcast_rows):
-        v, big = F.broadcast(v), tf
-    else:
-        big = tf.hint("merge")
-    return big.join(v, big["word"] == v["keyword"]).select(
-        "article_id",
-        "keyword",
-        "index",
-        "tf",
-        "idf",
-        (F.col("tf") * F.col("idf")).alias("tfidf"),
+    weighted = F.col("tf") * F.col("idf")
+    scored = lambda rows, words: rows.join(words, rows["word"] == words["keyword"]).select(
+        "article_id", "keyword", "index", "tf", "idf", weighted.alias("tfidf")
     )
+    if row_count_at_most(v, max_broadcast_rows):
+        return scored(tf, F.broadcast(v))
+    frequent = F.col("index") < max_broadcast_rows
+    first = F.broadcast(v.where(frequent))
+    others = tf.join(first, tf["word"] == first["keyword"], "left_anti").hint("merge")
+    return scored(tf, first).unionByName(scored(others, v.where(~frequent)))
 
 
 def top_keywords(scored: DataFrame, k: int = TOP_K) -> DataFrame:

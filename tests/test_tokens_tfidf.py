@@ -8,6 +8,7 @@ import math
 from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.sql import functions as F
 
+from quire.functions.lineage import gather
 from quire.functions.ranking import consecutive_index
 from quire.operators import tfidf, tokens
 
@@ -165,3 +166,26 @@ def test_vocab_cap_keeps_ties_exactly(spark):
     for cap in (1, 2, 3, 4, 5, 9):
         got = {r.keyword: r["index"] for r in tfidf.fit_vocabulary(tf, tfidf.document_count(a), vocab_size=cap).collect()}
         assert got == {w: i for w, i in full.items() if i < cap}
+
+
+def test_only_words_that_are_not_frequent_are_shuffled_for_scoring(spark):
+    """Over the broadcast bound the first words by index are still broadcast; rows
+    of all words, and of none in the vocabulary, score as with one join."""
+    rows = [(a, f"w{k}", k + 1) for a in range(4) for k in range(a, 9)] + [(1, "unknown", 2), (2, None, 1)]
+    tf = spark.createDataFrame(rows, "article_id long, word string, tf long")
+    vocab = spark.createDataFrame([(f"w{k}", k, 0.5 * k) for k in range(9)], "keyword string, index long, idf double")
+    whole, split = tfidf.score(tf, vocab), tfidf.score(tf, vocab, max_broadcast_rows=3)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "SortMergeJoin" in plan
+
+
+def test_words_of_an_article_are_counted_without_a_shuffle(spark):
+    """Also when its rows lie in many partitions."""
+    rows = [(i % 5, "alpha beta beta") for i in range(40)] + [(None, "gamma"), (None, "gamma")]
+    texts = spark.createDataFrame(rows, "article_id long, sentence string").repartition(13)
+    counted = tfidf.term_frequency(tokens.tokenize(gather(texts, "article_id")))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "word#" not in "".join(p.split(")")[0] for p in plan.split("hashpartitioning(")[1:])
+    want = {(a, w, n) for a in range(5) for w, n in (("alpha", 8), ("beta", 16))} | {(None, "gamma", 2)}
+    assert {tuple(r) for r in counted.collect()} == want
