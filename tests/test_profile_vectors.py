@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import collections
 import datetime as dt
+import hashlib
+import math
+import random
+import re
 
 import pytest
 
-from quire.operators import profile, vectors
+from quire.operators import cooccur, profile, vectors
 
 T = dt.datetime(2024, 1, 2, 10, 0)
 
@@ -91,3 +96,47 @@ def test_duplicate_keyword_last_wins(spark):
     kw = keywords(spark, [(1, "ka", 0.5, 1), (1, "ka", 0.2, 2)])
     got = profile.article_profile(kw, articles(spark, [(1, None)])).collect()
     assert got[0].keyword == {"ka": 0.2}
+
+
+@pytest.mark.parametrize("max_broadcast", [500_000, 3, 0])
+def test_cooccurrence_vectors_equal_a_plain_version(spark, max_broadcast):
+    """Words below the count, nulls, words beside themselves; the vocabulary whole,
+    in part and not at all broadcast."""
+    rnd = random.Random(4)
+    texts = [[rnd.choice("aaaabbbccdefgh") for _ in range(rnd.randrange(12))] for _ in range(40)]
+    texts += [None, [], ["once", "a", "a"], ["b", None, "c", "twice", "d"], ["twice"]]
+    counts = collections.Counter(w for t in texts for w in t or [] if w is not None)
+    pairs = collections.Counter()
+    for t in texts:
+        for i, x in enumerate(t or []):
+            for y in t[i + 1 : i + 4]:
+                if counts[x] >= 3 and counts[y] >= 3:
+                    pairs[x, y] += 1
+                    pairs[y, x] += 1
+    total = collections.Counter()
+    for (x, _), n in pairs.items():
+        total[x] += n
+    every, size = sum(total.values()), 40
+    bits = {w: sum(int(hashlib.md5(f"{w}#0".encode()).hexdigest()[8 * k : 8 * k + 8], 16) << 32 * k for k in range(4)) for w in counts}
+    want = {}
+    for (x, y), n in pairs.items():
+        pmi = math.log(n * every / (total[x] * total[y]))
+        if pmi > 0:
+            signs = [1 - 2 * (bits[y] >> d & 1) for d in range(size)]
+            want[x] = [v + pmi * s for v, s in zip(want.get(x, [0.0] * size), signs)]
+    df = spark.createDataFrame([(t,) for t in texts], "words array<string>").repartition(3)
+    got = {r.word: list(r.vector) for r in vectors.cooccurrence_vectors(df, size, 3, 3, max_broadcast).collect()}
+    assert set(got) == set(want) and "twice" not in got
+    for w in want:
+        assert got[w] == pytest.approx(want[w], abs=1e-9), w
+
+
+def test_word_pairs_are_counted_as_numbers(spark):
+    """Their strings are no key of any aggregate, whatever is broadcast."""
+    df = spark.createDataFrame([(list("abcab"),)], "words array<string>")
+    for max_broadcast in (10, 2, 0):
+        words = cooccur.vocabulary(df, 1)
+        pairs = cooccur.pair_counts(df, words, 5, max_broadcast)
+        plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate [" in plan and not re.search(r"Aggregate \[[^\]]*_[ab]#", plan)
+        assert {(r.a, r.b): r.n for r in pairs.collect()} == {(0, 0): 1, (0, 1): 4, (0, 2): 2, (1, 1): 1, (1, 2): 2}
