@@ -11,6 +11,9 @@ import pytest
 import __spark_entry__ as entry
 from paths import SMALL
 
+from pyspark.sql import functions as F
+
+from quire.functions import vectors as vec
 from quire.operators import als, recall, topn
 from quire.plans import inputs
 
@@ -196,3 +199,25 @@ def test_exact_recall_query_against_numpy(spark):
         assert len({r.article_id for r in rows}) == len(rows)
         assert all(abs(scores[r.article_id] - r.rating) < 2e-6 for r in rows)
         assert np.allclose(sorted(scores.values(), reverse=True)[: len(rows)], [r.rating for r in rows], atol=2e-6)
+
+
+def test_factors_of_the_recall_are_stored_first(spark, monkeypatch):
+    """The top-n reads its sides several times: they come from a table, not from clicks."""
+    given, top = [], topn.top_products
+    monkeypatch.setattr(topn, "top_products", lambda users, items, *a: given.extend([users, items]) or top(users, items, *a))
+    entry.queries()["factor_recall"](spark, SMALL)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in given]
+    assert len(plans) == 2 and not any("Aggregate" in p or "Join" in p for p in plans)
+
+
+@pytest.mark.parametrize("columns", [128, 2])
+def test_sums_of_vectors(spark, monkeypatch, columns):
+    """Vectors of other lengths, nulls in them, null and empty ones; as columns and as rows."""
+    monkeypatch.setattr(vec, "MAX_SUM_COLUMNS", columns)
+    rows = [("a", [1.0, 2.0, None]), ("a", [0.5]), ("a", None), ("b", []), ("b", None), ("c", [None]), ("d", [1.0]), (None, [2.0, 3.0])]
+    df = spark.createDataFrame(rows, "k string, v array<double>").repartition(3)
+    got = {r.k: r.v for r in vec.sums(df, "k", "v").collect()}
+    assert got == {"a": [1.5, 2.0, None], "c": [None], "d": [1.0], None: [2.0, 3.0]}
+    assert vec.sums(df.where("k = 'b'"), "k", "v").collect() == []
+    plan = vec.sums(df, "k", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Generate" in plan) == (columns == 2)
