@@ -13,7 +13,8 @@ the rounding of sums).
 A half step is one join and one aggregation: the products are summed as
 columns on the map side first, so a key with a third of all ratings costs one
 row a task, and what is shuffled is rank * (rank + 3) / 2 + 1 numbers a key and
-task.  The systems are solved by numpy, a batch of keys at a time.  Factors
+task that has ratings of it.  The ratings are laid out by the key of the step, once
+for users and once for items, so that is about one task a key however many there are.  The systems are solved by numpy, a batch of keys at a time.  Factors
 are written after every half step (short lineage); the other side's
 are broadcast only when they are counted small, else joined by key, where
 AQE splits a hot one.
@@ -106,11 +107,14 @@ def fit(
         raise ValueError(f"rank is 1 to {MAX_RANK}, max_iter at least 1, reg_param above 0")
     ship_package(ratings.sparkSession)
     value = F.col(rating).cast("double")
-    rows = materialize(ratings.select(user, item, value.alias("_r")).dropna())  # NaN counts as missing
-    items = materialize(start_factors(rows, item, rank, seed))
+    rows = ratings.select(user, item, value.alias("_r")).dropna()  # NaN counts as missing
+    # one copy by either key: nearly all ratings of a key are summed by one task, a hot key's by several
+    by_user = materialize(rows.hint("rebalance", F.col(user)))
+    by_item = materialize(by_user.hint("rebalance", F.col(item)))
+    items = materialize(start_factors(by_item, item, rank, seed))
     # the keys of a side stay the same, so each is counted once
-    small = [row_count_at_most(side, max_broadcast) for side in (items, rows.select(user).distinct())]
+    small = [row_count_at_most(side, max_broadcast) for side in (items, by_user.select(user).distinct())]
     for _ in range(max_iter):
-        users = materialize(half_step(rows, items, user, item, "_r", rank, reg_param, small[0]))
-        items = materialize(half_step(rows, users, item, user, "_r", rank, reg_param, small[1]))
+        users = materialize(half_step(by_user, items, user, item, "_r", rank, reg_param, small[0]))
+        items = materialize(half_step(by_item, users, item, user, "_r", rank, reg_param, small[1]))
     return users, items

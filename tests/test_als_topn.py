@@ -201,6 +201,20 @@ def test_exact_recall_query_against_numpy(spark):
         assert np.allclose(sorted(scores.values(), reverse=True)[: len(rows)], [r.rating for r in rows], atol=2e-6)
 
 
+def test_ratings_of_a_key_lie_in_one_file(spark, monkeypatch):
+    """The sums of a key are shuffled once for each task that has ratings of it."""
+    kept, write = [], als.materialize
+    monkeypatch.setattr(als, "materialize", lambda df: kept.append(write(df)) or kept[-1])
+    rows = [(f"u{u}", f"i{i}", 1.0) for u in range(40) for i in range(u % 3, 12, 3)]
+    df = spark.createDataFrame(rows, "user_id string, article_id string, clicked double").repartition(4, F.rand(2))
+    als.fit(df, rank=2, max_iter=1)
+    copies = [k for k in kept if set(k.columns) == {"user_id", "article_id", "_r"}]
+    assert [c.count() for c in copies] == [len(rows)] * 2
+    for copy, key in zip(copies, ("user_id", "article_id")):
+        files = copy.select(key, F.input_file_name().alias("f")).groupBy(key).agg(F.count_distinct("f").alias("n"))
+        assert files.agg(F.max("n")).first()[0] == 1
+
+
 def test_factors_of_the_recall_are_stored_first(spark, monkeypatch):
     """The top-n reads its sides several times: they come from a table, not from clicks."""
     given, top = [], topn.top_products
