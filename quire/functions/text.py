@@ -40,7 +40,8 @@ def sentence(*cols: Column) -> Column:
 
 
 def strip_html(c: Column) -> Column:
-    return F.regexp_replace(c, HTML_TAG_PATTERN, "")
+    """Texts without a '<' hold no tag: they are not decoded for the pattern."""
+    return F.when(F.contains(c, F.lit("<")), F.regexp_replace(c, HTML_TAG_PATTERN, "")).otherwise(c)
 
 
 def words(c: Column) -> Column:

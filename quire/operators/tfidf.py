@@ -110,15 +110,19 @@ def score(
     the size estimate of a checkpointed scan."""
     v = vocabulary.select("keyword", "index", "idf")
     weighted = F.col("tf") * F.col("idf")
-    scored = lambda rows, words: rows.join(words, rows["word"] == words["keyword"]).select(
-        "article_id", "keyword", "index", "tf", "idf", weighted.alias("tfidf")
-    )
+    found = lambda rows: rows.select("article_id", "keyword", "index", "tf", "idf", weighted.alias("tfidf"))
+    # the broadcast words are looked up by a long; as bounds, the words' equality
+    # stays a condition and is not made part of the key
+    hashed = tf.withColumn("_h", F.xxhash64("word"))
+    same = (F.col("_h") == F.col("_k")) & (F.col("word") >= F.col("keyword")) & (F.col("word") <= F.col("keyword"))
+    key = F.xxhash64("keyword").alias("_k")
     if row_count_at_most(v, max_broadcast_rows):
-        return scored(tf, F.broadcast(v))
+        return found(hashed.join(F.broadcast(v.select("*", key)), same))
     frequent = F.col("index") < max_broadcast_rows
-    first = F.broadcast(v.where(frequent))
-    others = tf.join(first, tf["word"] == first["keyword"], "left_anti").hint("merge")
-    return scored(tf, first).unionByName(scored(others, v.where(~frequent)))
+    first = F.broadcast(v.where(frequent).select("*", key))
+    others = hashed.join(first.select("keyword", "_k"), same, "left_anti").hint("merge")
+    rest = v.where(~frequent)
+    return found(hashed.join(first, same)).unionByName(found(others.join(rest, others["word"] == rest["keyword"])))
 
 
 def top_keywords(scored: DataFrame, k: int = TOP_K) -> DataFrame:

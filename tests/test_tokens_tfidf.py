@@ -8,6 +8,7 @@ import math
 from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.sql import functions as F
 
+from quire.functions import text
 from quire.functions.lineage import gather
 from quire.functions.ranking import consecutive_index
 from quire.operators import tfidf, tokens
@@ -189,3 +190,26 @@ def test_words_of_an_article_are_counted_without_a_shuffle(spark):
     assert "word#" not in "".join(p.split(")")[0] for p in plan.split("hashpartitioning(")[1:])
     want = {(a, w, n) for a in range(5) for w, n in (("alpha", 8), ("beta", 16))} | {(None, "gamma", 2)}
     assert {tuple(r) for r in counted.collect()} == want
+
+
+def test_scoring_looks_words_up_by_a_long(spark):
+    """As a key of the broadcast join a word's string is compared for each row; words
+    without an entry and null words find nothing, whatever is broadcast."""
+    tf = spark.createDataFrame(
+        [(1, "a", 2), (1, "b", 1), (2, "c", 3), (2, "unknown", 1), (None, "a", 1), (3, None, 4)], "article_id long, word string, tf long"
+    )
+    vocabulary = spark.createDataFrame([("a", 0, 0.5), ("b", 1, 1.5), ("c", 2, 2.0)], "keyword string, index long, idf double")
+    want = {(1, "a", 0, 1.0), (1, "b", 1, 1.5), (2, "c", 2, 6.0), (None, "a", 0, 0.5)}
+    for rows in (3, 1, 0):
+        scored = tfidf.score(tf, vocabulary, rows)
+        assert {(r["article_id"], r["keyword"], r["index"], r["tfidf"]) for r in scored.collect()} == want
+    plan = tfidf.score(tf, vocabulary, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [_h#" in plan and "BroadcastHashJoin [word" not in plan
+
+
+def test_texts_without_a_tag_are_not_searched(spark):
+    """Same text with and without; the pattern runs only where a '<' is."""
+    rows = spark.createDataFrame([("a <b>c</b> d",), ("a > b",), ("a < b",), ("",), (None,)], "t string")
+    stripped = rows.select(text.strip_html(F.col("t")).alias("t"))
+    assert [r.t for r in stripped.collect()] == ["a c d", "a > b", "a < b", "", None]
+    assert "contains" in stripped._jdf.queryExecution().optimizedPlan().toString().lower()
