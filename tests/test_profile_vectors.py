@@ -140,3 +140,21 @@ def test_word_pairs_are_counted_as_numbers(spark):
         plan = pairs._jdf.queryExecution().optimizedPlan().toString()
         assert "Aggregate [" in plan and not re.search(r"Aggregate \[[^\]]*_[ab]#", plan)
         assert {(r.a, r.b): r.n for r in pairs.collect()} == {(0, 0): 1, (0, 1): 4, (0, 2): 2, (1, 1): 1, (1, 2): 2}
+
+
+@pytest.mark.parametrize("max_broadcast", [100, 10])
+def test_pairs_of_a_long_text_are_streamed(spark, max_broadcast):
+    """A text of several batches is never one row, and no pair is lost between them."""
+    rnd = random.Random(2)
+    texts = [[rnd.choice("abcdefghijklmnopqrstuvwxyz") + rnd.choice("xy") for _ in range(n)] for n in (23_000, 3, 1, 12_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "words array<string>").coalesce(1)
+    words = cooccur.vocabulary(df, 1)
+    pairs = cooccur.pair_counts(df, words, 5, max_broadcast)
+    assert "collect_list" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    number = {r.word: r.id for r in words.collect()}
+    want = collections.Counter()
+    for t in texts:
+        for i, x in enumerate(t):
+            for y in t[i + 1 : i + 6]:
+                want[tuple(sorted((number[x], number[y])))] += 1
+    assert {(r.a, r.b): r.n for r in pairs.collect()} == want
