@@ -12,6 +12,8 @@ import re
 import pytest
 
 from quire.operators import cooccur, profile, vectors
+from quire.plans import queries
+from quire.plans.oracle import ORACLE
 
 T = dt.datetime(2024, 1, 2, 10, 0)
 
@@ -158,3 +160,8 @@ def test_pairs_of_a_long_text_are_streamed(spark, max_broadcast):
             for y in t[i + 1 : i + 6]:
                 want[tuple(sorted((number[x], number[y])))] += 1
     assert {(r.a, r.b): r.n for r in pairs.collect()} == want
+
+
+def test_registered_word_vectors_have_the_size_of_the_full_build():
+    assert queries.WORD_VECTOR_SIZE == vectors.FULL_BUILD_SIZE == 200
+    assert "range(200)" in ORACLE["word_vectors"]
