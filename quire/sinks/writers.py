@@ -67,8 +67,8 @@ def upsert_keyed(
 
     ``touched`` (keys and version) lists every key the batch recomputed: one
     without rows in ``updates`` loses its older rows (a tombstone).  The delta
-    is evaluated once, also when it reads the store itself, and a batch that
-    is written again, after a failure or not, changes nothing.  ``batch`` (see
+    is written once, also when it reads the store itself (whose files were listed
+    before), and a batch that is written again, after a failure or not, changes nothing.  ``batch`` (see
     ``snapshots``) is the write's sequence number; else it is the clock's."""
     delta = updates.withColumn(GONE_COL, F.lit(False))
     if touched is not None:
@@ -76,7 +76,7 @@ def upsert_keyed(
         left = touched.select(*keys, version_col).distinct()
         left = left.join(updates.select(*keys).distinct(), keys, "left_anti")
         delta = delta.unionByName(left.withColumn(GONE_COL, F.lit(True)), allowMissingColumns=True)
-    delta = materialize(delta.withColumn(DAY_COL, F.to_date(version_col)))
+    delta = delta.withColumn(DAY_COL, F.to_date(version_col))
     sequence = F.lit(time.time_ns() if batch is None else batch).alias(SEQ_COL, metadata={"keys": keys, "version": version_col})
     # one group of files per day, large days split and small ones packed by AQE;
     # rows in version order, so a time bound skips row groups inside a day

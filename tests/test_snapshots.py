@@ -7,7 +7,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from quire.sinks.pairs import PAIR_KEYS, both_sides
+from quire.functions import lineage
+from quire.sinks.pairs import PAIR_KEYS, both_sides, mirrored
 from quire.sinks.snapshots import batch_of, begin, commit, committed
 from quire.sinks.writers import compact, read_keyed, upsert_keyed
 
@@ -102,3 +103,21 @@ def test_pairs_are_replaced_on_both_sides(spark, scratch):
     # 3 has no partner any more; 8 never had one
     assert run(T3, [3, 8], []) == both((1, 4, 0.3))
     assert run(T3, [], []) == both((1, 4, 0.3))
+
+
+def test_pairs_are_stored_without_a_copy(spark, scratch, monkeypatch):
+    """Of the pairs one row each is shuffled, none is written beside the store, and of the
+    first run no list of replaced pairs is made."""
+    written, write = [], lineage.write_scratch
+    monkeypatch.setattr(lineage, "write_scratch", lambda df, *a: written.append(df.columns) or write(df, *a))
+    pairs = spark.createDataFrame([(1, 2, 0.5), (2, 1, 0.5), (3, 3, 0.0), (None, 4, 0.1), (4, None, 0.1)], "article_id long, similar_id long, distance double")
+    ids = pairs.select("article_id")
+    for day in (T1, T2):
+        rows, replaced = both_sides(spark, pairs, scratch + "/p", ids, F.lit(day))
+        assert day == T2 or replaced.count() == 0
+        upsert_keyed(spark, rows, scratch + "/p", PAIR_KEYS, "computed_at", replaced)
+    assert all(c == ["article_id"] for c in written)
+    got = {(r.article_id, r.similar_id) for r in read_keyed(spark, scratch + "/p").collect()}
+    assert got == {(1, 2), (2, 1), (3, 3), (None, 4), (4, None)} and mirrored(pairs).count() == 5
+    plan = mirrored(pairs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Aggregate [article_id")
